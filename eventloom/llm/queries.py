@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import simhash
+import public_tokenizers
+
+from eventloom.llm import langid, packing, simhash
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,5 +21,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {"op1_simhash": op1_simhash}
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.harmonic_pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by a network learned from those that aren't held out."""
+    return langid.identify_languages(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
+    "op2_packing": op2_packing,
+    "op4_language_id": op4_language_id,
+}
 ORACLES: dict[str, str] = {}
