@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from eventloom.llm import langid, packing, simhash
+from eventloom.llm import decontaminate, langid, linededup, packing, simhash
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,9 +31,24 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that repeat benchmark items, with the item, the place and the similarity."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without their hosts' boilerplate lines."""
+    found = linededup.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op4_language_id": op4_language_id,
+    "op8_decontamination": op8_decontamination,
+    "op9_line_dedup": op9_line_dedup,
+}
+ORACLES: dict[str, str] = {
+    "op9_line_dedup": linededup.ORACLE,
 }
-ORACLES: dict[str, str] = {}
