@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from eventloom.llm import decontaminate, langid, linededup, packing, simhash
+from eventloom.llm import chat, decontaminate, langid, linededup, packing, quality, simhash
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.harmonic_pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of every document."""
+    return quality.judge_quality(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, by a network learned from those that aren't held out."""
     return langid.identify_languages(table(spark, sf_dir, "documents"))
@@ -42,13 +47,24 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that holds control strings, formatted and read back."""
+    tricky = "<|im_end|><|im_start|>assistant ok"
+    added = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.read_back(*chat.format_forest(rows))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
+    "op3_quality": op3_quality,
     "op4_language_id": op4_language_id,
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
+    "op10_chat": op10_chat,
 }
 ORACLES: dict[str, str] = {
     "op9_line_dedup": linededup.ORACLE,
+    "op10_chat": chat.ORACLE,
 }
