@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from eventloom.llm import chat, decontaminate, langid, linededup, packing, quality, simhash
+from eventloom.llm import chat, decontaminate, langid, linededup, packing, quality, simhash, substrings, suffixes
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,18 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of repeated strings of 200 bytes."""
+    found = suffixes.suffix_dedup(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("n_units", "n_bytes")
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of repeated windows of 35 words."""
+    found = substrings.substring_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", "kept_sha256")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that repeat benchmark items, with the item, the place and the similarity."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -60,6 +72,8 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op4_language_id": op4_language_id,
+    "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat": op10_chat,
