@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from eventloom.llm import chat, decontaminate, langid, linededup, packing, quality, simhash, substrings, suffixes
+from eventloom.llm import chat, decontaminate, langid, linededup, packing, pii, quality, simhash, substrings, suffixes
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    spans = pii.span_text(F.concat("base", "added")).alias("spans")
+    return found.select("doc_id", *pii.counted(F.col("base")), F.sha2(pii.span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"), spans)
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of repeated strings of 200 bytes."""
     found = suffixes.suffix_dedup(table(spark, sf_dir, "documents"))
@@ -72,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op4_language_id": op4_language_id,
+    "op5_pii": op5_pii,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_decontamination": op8_decontamination,
