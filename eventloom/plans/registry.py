@@ -1,4 +1,4 @@
-"""All registered queries of the library and their DuckDB equivalents."""
+"""Where queries are registered, each with its DuckDB equivalent if SQL can express it."""
 
 from __future__ import annotations
 
@@ -6,6 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-FLAGSHIP = ""
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+FLAGSHIP = "p1_story_events"
+
+
+def query(oracle: str | None = None) -> Callable[[Query], Query]:
+    """Registers a function of (spark, sf_dir) under its name."""
+
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
