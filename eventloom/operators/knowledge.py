@@ -153,7 +153,7 @@ def parse_markup(pages: DataFrame) -> DataFrame:
         "box_type",
         without_key(F.col("infobox")).alias("infobox"),
         F.transform(F.regexp_extract_all("text", F.lit(r"\[\[Category:([^\]|]+)"), F.lit(1)), lambda x: F.trim(x)).alias("categories"),
-        F.trim(bare).alias("intro_para"),
+        F.regexp_replace(bare, r"^\s+|\s+$", "").alias("intro_para"),
     )
 
 

@@ -1 +1,133 @@
-"""x"""
+"""Sources and sinks: rows written in each format and read back, and the whole chain on stories made of the tables."""
+
+from __future__ import annotations
+
+import uuid
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from eventloom.plans.coding import Dimensions, code_events
+from eventloom.plans.registry import query, table
+from eventloom.sources import readers, sinks
+from eventloom.streaming.stories import event_stream, story_stream
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder of spark.checkpoint.dir; a local one only where that is unset."""
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints'}/scratch-{uuid.uuid4().hex}"
+
+
+def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    none = F.lit(None).cast("string")
+    key = F.col("o_orderkey").cast("string")
+    return table(spark, sf_dir, "orders").select(
+        key.alias("id"), none.alias("date"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("pub_date"), F.concat(F.lit("Ringish police met the anvil men in place"), key).alias("event_text"), none.alias("headline"), none.alias("publisher"), key.alias("story_id"), F.lit("1").alias("version"),
+        F.array(F.col("o_orderstatus")).alias("event_type"), F.array(F.concat(F.col("o_orderstatus"), F.lit("-x"))).alias("event_mode"), F.array().cast("array<string>").alias("contexts"),
+    )
+
+
+@query("select o_orderkey::varchar as id, strftime(o_orderdate, '%Y-%m-%d') as pub_date from orders")
+def s1_k1_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    sinks.write_events(_stories(spark, sf_dir), path)
+    return readers.read_stories(spark, path).select("id", "pub_date")
+
+
+@query("select count(*) as stories, 0::bigint as first, count(*) - 1 as last, 10::bigint as limited from orders")
+def s2_story_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    sinks.write_events(_stories(spark, sf_dir), path)
+    whole = readers.read_stories(spark, path, -1).agg(F.count("*").alias("stories"), F.min("doc_position").alias("first"), F.max("doc_position").alias("last"))
+    return whole.join(readers.read_stories(spark, path, 10).agg(F.count("*").alias("limited")))
+
+
+@query("select n_nationkey::varchar as code, n_name as name from nation union all select '', '' union all select 'IGO', 'Intergovernmental Organization'")
+def s4_country_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    rows = table(spark, sf_dir, "nation").select(F.lit("x").alias("CCA2"), F.col("n_name").alias("Name"), F.col("n_nationkey").cast("string").alias("CCA3"), F.lower("n_name").alias("Nationality"))
+    sinks.write_scores(rows, path)
+    return readers.country_lookup(readers.read_countries(spark, path))
+
+
+@query("select n_name as event, 'about, ' || n_name as event_def, null::varchar as extraction_notes from nation")
+def s6_codebook_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    sinks.write_scores(table(spark, sf_dir, "nation").select(F.col("n_name").alias("event"), F.concat(F.lit("about, "), "n_name").alias("event_def"), F.lit("m").alias("mode")), path)
+    return readers.read_codebook(spark, path).select("event", "event_def", "extraction_notes")
+
+
+@query("select page_id::varchar as title, url as text from pages where page_id % 3 > 0 union all select page_id::varchar, '' from pages where page_id % 3 = 0")
+def s8_xml_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    pages = table(spark, sf_dir, "pages")
+    body = F.when(F.col("page_id") % 3 > 0, F.col("url"))
+    xml = pages.select(F.col("page_id").cast("string").alias("title"), F.struct(F.struct(body.alias("_VALUE"), F.length("url").alias("_bytes")).alias("text")).alias("revision"))
+    xml.write.format("xml").option("rowTag", "page").option("rootTag", "mediawiki").option("compression", "bzip2").save(path)
+    return readers.read_dump(spark, path)
+
+
+@query("select p_brand as target, list_sort(list_distinct(list(p_name || ';'))) as redirects from part group by p_brand")
+def k4_redirect_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    sinks.write_redirects(table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("target")).agg(F.array_sort(F.collect_set(F.concat("p_name", F.lit(";")))).alias("redirects")), f"{path}/redirects3")
+    sinks.write_redirects(spark.createDataFrame([], "target string, redirects array<string>"), f"{path}/redirects2")
+    return spark.read.parquet(readers.latest_version(spark, path, "redirects"))
+
+
+@query("select o_orderstatus as kind, o_orderkey as a from orders")
+def k6_pair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    sinks.write_pairs(table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("kind"), F.col("o_orderkey").alias("a")), path, by="kind")
+    return spark.read.schema("a long, kind string").json(path).select("kind", "a")
+
+
+@query("select 'query: ' || p_partkey || ' | expected: ' || p_brand || ' | found: ' || case when p_partkey % 3 = 0 then '-' else p_type end as value from part where p_partkey % 2 = 0")
+def k8_miss_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    found = F.when(F.col("p_partkey") % 2 == 1, F.col("p_brand")).when(F.col("p_partkey") % 3 > 0, F.col("p_type"))
+    sinks.write_misses(table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("query"), F.col("p_brand").alias("expected"), found.alias("found")), path)
+    return spark.read.text(path)
+
+
+@query("select n_nationkey, n_name from nation")
+def k2_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(sinks.snapshot(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), scratch(spark), "geolocation", datetime(2020, 1, 2, 3)))
+
+
+@query("select c_custkey, c_nationkey from customer where c_custkey % 50 <= 25 and (c_custkey % 4 = 0 or c_custkey % 50 + 10 >= 25)")
+def s0_codes_valid_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = (F.col("c_custkey") % 50).cast("int")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", start.alias("valid_from"), F.when(F.col("c_custkey") % 4 > 0, start + 10).alias("valid_until"))
+    return readers.codes_valid_in(rows, F.lit(25)).select("c_custkey", "c_nationkey")
+
+
+@query("select o_orderkey || '_' || o_orderstatus || '_x' as id, o_orderstatus as event_type, 'x' as event_mode from orders")
+def st1_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every story arrives twice; the stream drops the copies within the watermark and lengthens the rest."""
+    source, out, state = (f"{scratch(spark)}/{k}" for k in ("in", "out", "state"))
+    stories = _stories(spark, sf_dir)
+    sinks.write_events(stories.unionByName(stories), source)
+    events = event_stream(story_stream(spark, source), "4000 days")
+    events.select("id", "event_type", "event_mode").writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query("""
+select o_orderkey || '_' || o_orderstatus || '_x' as event_id, o_orderstatus as event_type, 'RNG' as actor_country, 'COP' as actor_role, 'ANV' as recipient_country, 'CVL' as recipient_role, 'A place overlaps' as place_reason, o_orderkey % 9 as place, strftime(o_orderdate::date - 1, '%Y-%m-%d') as date_resolved from orders""")
+def e1_code_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain from stories to coded events, on a story for each order with the same actors."""
+    stories = _stories(spark, sf_dir)
+    event_id = F.concat_ws("_", "id", F.col("event_type")[0], F.lit("x"))
+    place = F.concat(F.lit("place"), "id")
+    answer = F.format_string('[{"event_type": "x", "anchor_quote": "q", "actor": "the Ringish police", "recipient": ["anvil men"], "date": "yesterday", "location": "%s"}]', place)
+    answers = stories.select(event_id.alias("event_id"), answer.alias("response"))
+    start = F.instr(F.col("event_text"), place) - 1
+    entity = F.struct(start.alias("start_char"), (start + F.length(place)).alias("end_char"), F.lit(0.9).alias("score"), (F.col("id").cast("long") % 9).alias("geonameid"))
+    places = stories.select(F.col("id").alias("orig_id"), F.array(entity).alias("geo_ents"))
+    roles = spark.createDataFrame([("police", "COP", ""), ("men", "CVL", "")], "pattern string, code_1 string, code_2 string")
+    dims = Dimensions([("Ringish", "RNG"), ("anvil", "ANV")], spark.createDataFrame([("RNG", "Ring"), ("ANV", "Anvil")], "code string, name string"), roles)
+    coded = code_events(stories, answers, places, dims)
+    actor, recipient = F.get("actors", F.lit(0)), F.get("recipients", F.lit(0))
+    return coded.select("event_id", "event_type", actor["country"].alias("actor_country"), actor["code_1"].alias("actor_role"), recipient["country"].alias("recipient_country"), recipient["code_1"].alias("recipient_role"), "place_reason", F.col("geo.geonameid").alias("place"), "date_resolved")
