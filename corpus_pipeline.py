@@ -22,8 +22,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each host's boilerplate lines out of its texts; n_chars follows."""
     columns = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    shortened = linededup.drop_boilerplate(docs)
-    return shortened.select(*[columns[c].alias(c) if c in columns else F.col(f"`{c}`") for c in docs.columns])
+    shortened = linededup.drop_boilerplate(docs.select("text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")))
+    return shortened.select(*[columns.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

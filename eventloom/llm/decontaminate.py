@@ -16,6 +16,8 @@ from eventloom.llm.simhash import hamming_ball
 
 #: Items that one pass over the documents looks for; more items are taken in blocks of this size.
 ITEMS_A_PASS = 20_000
+#: Windows whose bits are summed at once: bounds the memory of a very long text.
+WINDOWS_AT_ONCE = 1 << 14
 
 
 def _bits(hashes: np.ndarray) -> np.ndarray:
@@ -91,7 +93,8 @@ class Benchmark:
 
     def _windows(self, found: np.ndarray, starts: np.ndarray, length: int, size: int, best: dict) -> None:
         members, fps, table = self.tables[length]
-        for near in np.split(starts, np.flatnonzero(np.diff(starts) > size) + 1):
+        cuts = np.flatnonzero(np.diff(starts) > size) + 1
+        for near in np.split(starts, np.union1d(cuts, np.arange(WINDOWS_AT_ONCE, len(starts), WINDOWS_AT_ONCE))):
             low = int(near[0])
             sums = np.zeros((int(near[-1]) + size - low + 1, 64), np.int64)
             np.cumsum(_bits(found[low : int(near[-1]) + size]), axis=0, out=sums[1:])

@@ -83,10 +83,10 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3, seed:
 
 
 def keep_one_per_class(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """docs without near copies: of each class the row with the least doc_id stays (all columns; a repeated row once).
+    """docs without near copies: of each class the document with the least doc_id stays, with all its columns.
 
-    Rows without doc_id can't be told apart from their copies and stay. A document without any word stays too: an empty
-    text is nobody's copy.
+    Rows with one doc_id are one document and stay or go together. Rows without doc_id can't be told apart from their
+    copies and stay. A document without any word stays too: an empty text is nobody's copy.
     """
     found = simhash_components(docs, shingle, radius).where("component_id is not null and doc_id <> component_id and fp <> 0").select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
