@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators import actors
+from eventloom.operators import actors, mentions
 from eventloom.plans.registry import query, table
 
 #: A small dimension in the shape of the country list; the words stand in for names, as the tables hold invented text.
@@ -213,3 +213,20 @@ def t15_t16_query_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
 def t31_resolve_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     mentions = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("text"))
     return actors.resolve_once(mentions, ["text"], lambda d: d.withColumn("resolved", F.concat(F.lit("r"), "text"))).select("o_orderkey", "resolved")
+
+
+@query("""
+select s_suppkey, case when s_suppkey % 3 = 1 then 'UN' else s_name end as core_entity, n_name as geographic_info, case s_suppkey % 3 when 0 then 'minister' when 1 then 'official' else 'right-wing leader party' end as role from supplier join nation on s_nationkey = n_nationkey""")
+def t14_entity_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, name, nation = F.col("s_suppkey") % 3, F.col("s_name"), F.col("n_name")
+    person, place = F.struct(name.alias("text"), F.lit("PERSON").alias("label")), F.struct(nation.alias("text"), F.lit("GPE").alias("label"))
+    text = F.when(k == 0, F.concat(nation, F.lit(" minister "), name)).when(k == 1, F.concat(nation, F.lit("'s UN official"))).otherwise(F.concat(F.lit("right-wing leader "), name, F.lit(" of the "), nation, F.lit(" Party")))
+    rows = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = rows.select("s_suppkey", text.alias("text"), F.when(k == 1, F.array(place)).otherwise(F.array(place, person)).alias("ents"), F.lit(None).cast("array<string>").alias("appositives"))
+    return mentions.split_mentions(rows).select("s_suppkey", "core_entity", "geographic_info", "role")
+
+
+@query("select p_partkey, p_name || ' ' || p_type || ', ' || p_brand as shown from part")
+def p7_ranking_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", F.lit("\nmore")).alias("title"), F.lit(None).cast("string").alias("intro"), F.array("p_type", "p_brand").alias("names"))
+    return rows.select("p_partkey", mentions.ranking_text(rows, ["title", "intro", "names"]).alias("shown"))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import warnings
+import zipfile
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -86,6 +90,23 @@ def latest_version(spark: SparkSession, folder: str, prefix: str) -> str | None:
     return f"{folder}/{max(found)[1]}" if found else None
 
 
+def read_zipped_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of the CSV files inside zip archives. An archive can't be split, so each is unpacked by one task, line by line."""
+
+    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for content in (c for f in frames for c in f["content"]):
+            with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                for name in archive.namelist():
+                    if name.endswith(".csv"):
+                        with archive.open(name) as member:
+                            yield from (c[columns] for c in pd.read_csv(member, dtype=str, chunksize=10_000))
+
+    columns = [f.split()[0] for f in schema.split(", ")]
+    texts = ", ".join(f"{c} string" for c in columns)
+    rows = spark.read.format("binaryFile").load(path).select("content").mapInPandas(unpack, texts)
+    return rows.selectExpr(*[f"cast({c} as {f.split()[1]}) as {c}" for c, f in zip(columns, schema.split(", "))])
+
+
 def codes_valid_in(rows: DataFrame, when: Column) -> DataFrame:
     """Country codes whose validity interval (valid_from, valid_until, open if null) holds the year when."""
     return rows.where((F.coalesce("valid_from", F.lit(-9999)) <= when) & (F.coalesce("valid_until", F.lit(9999)) >= when))

@@ -103,3 +103,13 @@ def test_markup_with_nested_braces(spark):
 def test_search_nat_rejects_other_methods(spark):
     with pytest.raises(ValueError):
         actors.find_country(spark.range(1).select(F.lit("x").alias("text")), [], "shortest")
+
+
+def test_zipped_csv(spark, tmp_path):
+    import zipfile
+
+    for k in range(2):
+        with zipfile.ZipFile(tmp_path / f"{k}.zip", "w") as archive:
+            archive.writestr("x.csv", f'id,text,label\n{k},"a, b",\n')
+    rows = readers.read_zipped_csv(spark, f"{tmp_path}/*.zip", "id long, text string, label string").orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(0, "a, b", None), (1, "a, b", None)]
