@@ -132,7 +132,7 @@ def find_personal_data(docs: DataFrame, rounds: int = 2, min_support: int = 5, m
     words = words.withColumn("kind", F.get("over", F.lit(0))["kind"]).withColumn("free", F.size("over") == 0)
     new = discovered(words.select("value", "left", "kind"), rounds, min_support, min_score)
     spans = words.where("free").select("page", "value", "start", "end").join(new, "value").groupBy("page").agg(F.array_sort(F.collect_set(F.struct("start", "kind", "end"))).alias("added"))
-    joined = read.select("doc_id", "page", "base").join(spans, "page", "left")
+    joined = read.select("doc_id", "page", "base").join(cut(spans), "page", "left")  # cut: a join of plain exchanges can be split where a page has many copies
     return joined.select("doc_id", "base", F.coalesce("added", F.expr("cast(array() as array<struct<start:int,kind:int,end:int>>)")).alias("added"))
 
 
