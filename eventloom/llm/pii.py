@@ -67,8 +67,12 @@ def _tagged(kind: int) -> Callable[[Column], Column]:
     return lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"))
 
 
-def candidates(text: Column) -> Column:
-    """Words of a text that hold a digit or an at sign: array of (start, end, value, left), without the marks around them; left is the word before, in lower case, digits as 0."""
+def candidates(text: Column, base: Column) -> Column:
+    """Words of a text that hold a digit or an at sign: array of (start, end, value, left, kind), without the marks around them.
+
+    left is the word before, in lower case, digits as 0. Where a base span begins, the value is the whole span, whatever
+    spaces it holds, and kind is its kind; words inside a span are no candidates of their own.
+    """
     marks = r"""[\[\](){}<>"'|,;:!?*#$%&=.]"""
     hits = F.filter(_found(text, _CANDIDATE), lambda x: F.length(x["hit"]) <= 200)
 
@@ -78,9 +82,13 @@ def candidates(text: Column) -> Column:
         before = F.substring(text, F.greatest(x["start"] - 80, F.lit(0)) + 1, F.least(x["start"], F.lit(80)))
         left = F.regexp_replace(F.lower(F.regexp_extract(before, r"(\S+)\s*$", 1)), "[0-9]", "0")
         start = x["start"] + lead
-        return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), F.lower(value).alias("value"), left.alias("left"))
+        span = F.get(F.filter(base, lambda b: (b["start"] >= x["start"]) & (b["start"] < x["end"])), F.lit(0))
+        whole = F.lower(F.coalesce(F.substring(text, span["start"] + 1, span["end"] - span["start"]), value))
+        return F.struct(F.coalesce(span["start"], start).alias("start"), F.coalesce(span["end"], start + F.length(value)).alias("end"), whole.alias("value"), left.alias("left"), span["kind"].alias("kind"))
 
-    return F.when(text.rlike("[0-9@]"), F.transform(hits, shape)).otherwise(F.expr("cast(array() as array<struct<start:int,end:int,value:string,left:string>>)"))
+    outside = lambda x: ~F.exists(base, lambda b: (b["start"] < x["start"]) & (b["end"] > x["start"]))
+    none = F.expr("cast(array() as array<struct<start:int,end:int,value:string,left:string,kind:int>>)")
+    return F.when(text.rlike("[0-9@]"), F.transform(F.filter(hits, outside), shape)).otherwise(none)
 
 
 def _possible(kind: Column, value: Column) -> Column:
@@ -127,11 +135,11 @@ def find_personal_data(docs: DataFrame, rounds: int = 2, min_support: int = 5, m
     columns are ignored.
     """
     text = F.coalesce("text", F.lit(""))
-    read = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("page"), text.alias("text")).select("doc_id", "page", base_spans(F.col("text")).alias("base"), candidates(F.col("text")).alias("words")))
-    words = read.where(F.size("words") > 0).select("page", "base", F.explode("words").alias("w")).select("page", "w.*", F.filter("base", lambda b: (b["start"] < F.col("w.end")) & (b["end"] > F.col("w.start"))).alias("over"))
-    words = words.withColumn("kind", F.get("over", F.lit(0))["kind"]).withColumn("free", F.size("over") == 0)
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("page"), text.alias("text")).withColumn("base", base_spans(F.col("text")))
+    read = cut(named.select("doc_id", "page", "base", candidates(F.col("text"), F.col("base")).alias("words")))
+    words = read.where(F.size("words") > 0).select("page", F.explode("words").alias("w")).select("page", "w.*")
     new = discovered(words.select("value", "left", "kind"), rounds, min_support, min_score)
-    spans = words.where("free").select("page", "value", "start", "end").join(new, "value").groupBy("page").agg(F.array_sort(F.collect_set(F.struct("start", "kind", "end"))).alias("added"))
+    spans = words.where("kind is null").select("page", "value", "start", "end").join(new, "value").groupBy("page").agg(F.array_sort(F.collect_set(F.struct("start", "kind", "end"))).alias("added"))
     joined = read.select("doc_id", "page", "base").join(cut(spans), "page", "left")  # cut: a join of plain exchanges can be split where a page has many copies
     return joined.select("doc_id", "base", F.coalesce("added", F.expr("cast(array() as array<struct<start:int,kind:int,end:int>>)")).alias("added"))
 
