@@ -104,7 +104,7 @@ def format_forest(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranked = cut(leaves.repartitionByRange(parts, "path").sortWithinPartitions("path").withColumn("node", F.monotonically_increasing_id()))
     steps = ranked.select("node", F.posexplode("path").alias("depth", "name"))
-    owners = steps.groupBy("name").agg(F.min("node").alias("owner"))
+    owners = cut(steps.groupBy("name").agg(F.min("node").alias("owner")))  # cut: a join of plain exchanges can be split where many share a turn
     owned = steps.join(owners, "name").groupBy("node").agg(F.transform(F.array_sort(F.collect_list(F.struct("depth", "owner"))), lambda x: x["owner"]).alias("owners"))
     chunks = cut(by_batch(ranked.join(owned, "node").select("node", "turns", "owners"), _format, f"node long, chunk string, length long, loss {_SPANS}, position long, runs {_RUN}"))
     chunks = chunks.withColumn("part", F.shiftright("node", 33))  # the range that numbered it
