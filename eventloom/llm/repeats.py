@@ -86,7 +86,8 @@ def repeated_segments(texts: DataFrame, unit: Unit) -> DataFrame:
     """(page, anchor, content, n, mixed): the segments whose anchor occurs at least twice."""
     rows = cut(profiles(texts, unit)).select("page", F.explode(F.arrays_zip("anchors", "contents", "counts")).alias("s")).select("page", F.col("s.anchors").alias("anchor"), F.col("s.contents").alias("content"), F.col("s.counts").alias("n"))
     groups = rows.groupBy("anchor").agg(F.sum("n").alias("all"), F.min("content").alias("low"), F.max("content").alias("high")).where(F.col("all") >= 2)
-    return cut(rows.join(groups.select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "anchor").select("page", "anchor", "content", "n", "mixed"))
+    shared = cut(groups.select("anchor", (F.col("low") != F.col("high")).alias("mixed")))  # a join of plain exchanges can be split where an anchor is frequent
+    return cut(rows.join(shared, "anchor").select("page", "anchor", "content", "n", "mixed"))
 
 
 class PageFilter:

@@ -37,7 +37,7 @@ def compacted_paths(rows: DataFrame) -> DataFrame:
 def verified(paths: DataFrame, weights: DataFrame) -> DataFrame:
     """The paths that lie, at one length, at two source coordinates or more (a content of weight n stands for n places)."""
     placed = paths.join(weights, "content")
-    sound = placed.groupBy("path", (F.col("high") - F.col("low")).alias("length")).agg(F.sum("weight").alias("places")).where("places >= 2").select("path", "length")
+    sound = cut(placed.groupBy("path", (F.col("high") - F.col("low")).alias("length")).agg(F.sum("weight").alias("places")).where("places >= 2").select("path", "length"))
     return placed.withColumn("length", F.col("high") - F.col("low")).join(sound, ["path", "length"], "left_semi").select("content", "low", "high")
 
 
