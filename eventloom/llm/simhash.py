@@ -8,8 +8,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import by_batch, cut, raw_texts
+from eventloom.llm.common import by_batch, cut, raw_texts, rolling, word_hashes
 from eventloom.llm.components import connected_components
+from eventloom.llm.repeats import PageFilter
 
 #: Shingles whose bits are counted at once: bounds the memory of a very long text.
 BLOCK = 1 << 15
@@ -82,11 +83,89 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3, seed:
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_per_class(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+def hub_links(fps: DataFrame, limit: int, segments: int = 2) -> DataFrame:
+    """(a, b): values of fps(fp) that differ in at most limit bits, found by way of hubs; a hub is b.
+
+    Every value stands in the buckets of the Hamming ball of radius 1 around each of its segments, so two values meet if
+    they differ in 2 bits or fewer of a segment. A bucket's hub is its value that meets the most others in all its
+    buckets (the text that copies were made from meets more of them than any copy does), and each of the bucket's values
+    is held against the hub alone: work grows with the number of values, not with the pairs of a large group. Buckets of
+    two lose nothing.
+    """
+    width = 64 // segments
+    ball = F.array(*[F.lit(m) for m in hamming_ball(width, 1)])
+    part = lambda i: F.shiftrightunsigned("fp", width * i).bitwiseAND(F.lit((1 << width) - 1))
+    around = lambda i: F.transform(ball, lambda m: F.struct(F.lit(i).alias("segment"), part(i).bitwiseXOR(m).alias("key")))
+    places = fps.select(F.explode(F.flatten(F.array(*map(around, range(segments))))).alias("s"), "fp").select("s.segment", "s.key", "fp")
+    shared = cut(places.groupBy("segment", "key").agg(F.count("*").alias("n")).where("n >= 2"))
+    members = cut(places.join(shared, ["segment", "key"]))
+    central = cut(members.groupBy("fp").agg(F.sum("n").alias("met")))
+    hubs = cut(members.join(central, "fp").groupBy("segment", "key").agg(F.max(F.struct("met", "fp")).alias("hub")))
+    pairs = members.join(hubs, ["segment", "key"]).select(F.col("fp").alias("a"), F.col("hub.fp").alias("b"))
+    return pairs.where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= limit)).distinct()
+
+
+def similar_pairs(pairs: DataFrame, docs: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """The pairs(a, b) of doc_ids whose texts' sets of word shingles have a Jaccard similarity of at least threshold.
+
+    Only texts that stand in a pair are shuffled (a filter of fixed size, which may let others through, goes before).
+    """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("page")).distinct()
+    texts = PageFilter(ends).keep(docs.select(F.col("doc_id").alias("page"), "text").where("page is not null")).groupBy("page").agg(F.first("text").alias("text"))
+    texts = cut(texts.join(ends, "page", "left_semi"))
+
+    def shingles(text: bytes) -> set[int]:
+        words = word_hashes(text.lower().split())
+        return set(rolling(words, min(shingle, len(words)) or 1).tolist())
+
+    def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
+        known: dict[int, set[int]] = {}  # a hub comes with many
+        keep = []
+        for b, left, right in zip(batch.column(1).to_pylist(), *(raw_texts(batch.column(k)) for k in (2, 3))):
+            if b not in known:
+                known = {b: shingles(right)}
+            one, two = shingles(left), known[b]
+            keep.append(len(one & two) >= threshold * max(len(one | two), 1))
+        return batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    both = pairs.join(texts.withColumnRenamed("page", "a").withColumnRenamed("text", "left"), "a").join(texts.withColumnRenamed("page", "b").withColumnRenamed("text", "right"), "b")
+    return by_batch(both.select("a", "b", "left", "right"), kernel, "a long, b long")
+
+
+def keep_one_per_class(docs: DataFrame, shingle: int = 3, radius: int = 3, reach: int = 12, words: int = 5, threshold: float = 0.8) -> DataFrame:
     """docs without near copies: of each class the document with the least doc_id stays, with all its columns.
 
+    Documents are linked as in simhash_components(), and beyond that radius if one of two fingerprints, of shingles and
+    of shingles a word shorter, differs in at most reach bits and their sets of shingles of so many words have a Jaccard
+    similarity of threshold or more. Those links are sought by way of hubs (hub_links), which finds pairs up to 5 bits
+    apart wherever a bucket isn't crowded, and more distant ones in part.
+
     Rows with one doc_id are one document and stay or go together. Rows without doc_id can't be told apart from their
     copies and stay. A document without any word stays too: an empty text is nobody's copy.
     """
-    found = simhash_components(docs, shingle, radius).where("component_id is not null and doc_id <> component_id and fp <> 0").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    named = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
+    shorter = max(shingle - 1, 1)
+
+    def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = raw_texts(batch.column(1))
+        found = [np.array([fingerprint(x, k, seed) for x in texts], np.uint64).view(np.int64) for k, seed in ((shingle, 42), (shorter, 43))]
+        return pa.record_batch([batch.column(0), *map(pa.array, found)], ["doc_id", "fp", "other"])
+
+    fps = cut(by_batch(named, kernel, "doc_id long, fp long, other long").where("fp <> 0"))
+    values = cut(fps.groupBy("fp").agg(F.min(F.struct("doc_id", "other")).alias("m")).select("fp", F.col("m.doc_id").alias("least"), F.col("m.other").alias("other")))
+    others = cut(values.groupBy("other").agg(F.min("least").alias("least")))
+
+    def ids(links: DataFrame, names: DataFrame) -> DataFrame:
+        """Links between fingerprints as links between the least doc_ids that have them; names(fp, least)."""
+        ends = [names.select(F.col("fp").alias(c), F.col("least").alias(f"id_{c}")) for c in ("a", "b")]
+        return links.join(ends[0], "a").join(ends[1], "b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+
+    first, second = values.select("fp", "least"), others.select(F.col("other").alias("fp"), "least")
+    close = ids(hamming_links(first.select("fp"), radius), first)
+    equal = values.join(others.withColumnRenamed("least", "b"), "other").select(F.col("least").alias("a"), "b").where("a <> b")
+    maybe = ids(hub_links(first.select("fp"), reach), first).unionByName(ids(hub_links(second.select("fp"), reach), second)).unionByName(equal)
+    similar = similar_pairs(cut(maybe.distinct()), named, words, threshold)
+    classes = connected_components(close.unionByName(similar)).withColumnRenamed("node", "least")
+    of_value = first.join(classes, "least", "left").select("fp", F.coalesce("component", "least").alias("kept"))
+    copies = fps.join(of_value, "fp").where("doc_id <> kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
