@@ -130,10 +130,14 @@ def cut_windows(text: bytes, size: int) -> np.ndarray:
 def train(labelled: DataFrame, shape: Shape = Shape()) -> ByteNet | None:
     """A network learned from labelled(doc_id, text, lang); None if no row has text, language and doc_id.
 
-    The rows are chosen by the hash of doc_id, and their windows by another, before anything comes to the driver, which
-    gets train_rows * windows_per_row pieces of window characters at most.
+    The rows are chosen by the hash of doc_id, and their windows by another, before anything comes to the driver. Their
+    number is counted first, so that tasks pass on only hashes under a limit which about twice train_rows stay below;
+    the driver gets those rows' windows_per_row pieces of window characters, however many tasks there are.
     """
-    usable = labelled.where("doc_id is not null and lang is not null and length(text) > 0")
+    named = labelled.where("doc_id is not null and lang is not null")
+    share = min(1.0, 2 * shape.train_rows / max(named.count(), 1))
+    limit = min(int(share * (1 << 64)) - (1 << 63), (1 << 63) - 1)
+    usable = named.where((F.length("text") > 0) & (F.xxhash64("doc_id") <= limit))
     starts = [F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length("text") - shape.window, F.lit(1))).cast("int") + 1 for k in range(shape.windows_per_row)]
     parts = F.array(*[F.substring(F.col("text"), s, F.lit(shape.window)) for s in starts])
     rows = usable.select(F.xxhash64("doc_id").alias("h"), "doc_id", "lang", parts.alias("parts")).orderBy("h", "doc_id", "lang", "parts").limit(shape.train_rows).collect()
