@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.llm.common import cut
+
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
@@ -32,7 +34,7 @@ def boilerplate_lines(docs: DataFrame, max_ratio: float, min_pages: int) -> tupl
     host, text = F.col("source"), F.col("text")
     keys = F.array_distinct(F.transform(F.filter(_lines(text), _has_word), lambda x: _line_key(host, x)))
     pages = docs.where("text is not null").select(host, *_page_key(host, text), keys.alias("lines")).groupBy("source", "page1", "page2").agg(F.first("lines").alias("lines"))
-    totals = pages.groupBy("source").agg(F.count("*").alias("pages"))
+    totals = cut(pages.groupBy("source").agg(F.count("*").alias("pages")))
     counts = pages.select("source", F.explode("lines").alias("l")).groupBy("source", "l.l1", "l.l2").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     found = counts.join(totals.withColumnRenamed("source", "host"), F.col("source").eqNullSafe(F.col("host"))).where(F.col("n") > max_ratio * F.col("pages"))
     return pages.select("page1", "page2", "lines"), found.select("l1", "l2")
@@ -49,7 +51,7 @@ def drop_boilerplate(docs: DataFrame, max_ratio: float = 0.1, min_pages: int = 3
     """
     pages, found = boilerplate_lines(docs, max_ratio, min_pages)
     lost = pages.select("page1", "page2", F.explode("lines").alias("l")).select("page1", "page2", "l.*").join(found, ["l1", "l2"])
-    lost = lost.groupBy("page1", "page2").agg(F.collect_set(F.struct("l1", "l2")).alias("lost"))
+    lost = cut(lost.groupBy("page1", "page2").agg(F.collect_set(F.struct("l1", "l2")).alias("lost")))  # cut: a join of plain exchanges can be split where a page has many copies
     host, text = F.col("source"), F.col("text")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped")]).alias("row")
     joined = docs.select(row, host, text, *_page_key(host, text)).join(lost, ["page1", "page2"], "left")
