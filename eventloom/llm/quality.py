@@ -78,7 +78,7 @@ def judge_quality(docs: DataFrame, min_group: int = 30, accuracy: int = 10_000)
     sketches = [F.percentile_approx(s, [0.25, 0.75], accuracy).alias(name) for name, s in signals.items()]
     passed = judged.where(~F.col("base_failed"))
     groups = passed.groupBy("lang", "source").agg(F.count("*").alias("n"), *sketches).where(F.col("n") >= min_group)
-    limits = groups.select(F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), *[_fence(F.col(name)).alias(f"limit_{name}") for name in SIGNALS])
+    limits = cut(groups.select(F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), *[_fence(F.col(name)).alias(f"limit_{name}") for name in SIGNALS]))
     corpus = passed.agg(*sketches).select(*[_fence(F.col(name)).alias(f"corpus_{name}") for name in SIGNALS])  # one row
     joined = judged.join(limits, F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source")), "left").join(F.broadcast(corpus))
     within = F.lit(True)
