@@ -125,3 +125,22 @@ def test_chat_oddities(spark):
 def test_escaping_is_reversible(text):
     assert chat.unescape(chat.escape(text)) == text
     assert "<|im" not in chat.escape(text)
+
+
+def test_near_copies_leave_one(spark):
+    """Copies of one text that differ in a word or two go, whichever of them is least stays; other texts stay."""
+    words = [f"w{i * 7919 % 1009}" for i in range(300)]
+    rows = [(100 + k, " ".join([*words[: 10 * k], f"new{k}", *words[10 * k + 1 :]]), "en", "a", 0) for k in range(20)]
+    rows += [(200 + k, " ".join(f"own{k}x{i}" for i in range(300)), "en", "a", 0) for k in range(5)]
+    kept = {r.doc_id for r in simhash.keep_one_per_class(odd.docs(spark, rows)).collect()}
+    assert {200, 201, 202, 203, 204, 100} <= kept and len(kept) <= 7
+
+
+def test_similarity_decides(spark):
+    """Fingerprints may be near by chance: below the similarity a document stays."""
+    a = " ".join(f"t{i}" for i in range(100))
+    b = " ".join(f"t{i}" if i % 8 else f"u{i}" for i in range(100))
+    docs = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    pairs = spark.createDataFrame([(2, 1)], "a long, b long")
+    assert simhash.similar_pairs(pairs, docs, 5, 0.8).count() == 0
+    assert simhash.similar_pairs(pairs, docs, 5, 0.2).count() == 1
