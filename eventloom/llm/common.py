@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Where checkpoints go if the session names no folder (a local session, as in tests).
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
+ROWS_AT_ONCE = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,13 +30,14 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def by_batch(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Applies kernel to each Arrow batch of each partition; a batch holds whole rows, so memory is bounded by the batch size."""
+    """Applies kernel to each partition, ROWS_AT_ONCE rows at a time: a worker holds what the kernel makes of so many rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = kernel(batch)
-            if out is not None:
-                yield out
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                out = kernel(batch.slice(at, ROWS_AT_ONCE))
+                if out is not None:
+                    yield out
 
     return df.mapInArrow(run, schema)
 

@@ -15,7 +15,7 @@ from eventloom.llm.repeats import Unit, mixed_contents, remove_repeats, repeated
 #: Names and ranks are packed by threes into 64 bits, so a block that is sorted at once must have fewer symbols than 2**BITS.
 BITS = 21
 #: Symbols at which a block is closed, and those a group may have to be sorted in one block.
-BLOCK, GROUP = 1 << 20, 1 << 19
+BLOCK, GROUP = 1 << 19, 1 << 18
 
 
 def suffix_ranks(symbols: np.ndarray) -> np.ndarray:
@@ -143,7 +143,7 @@ def suffix_dedup(docs: DataFrame, window: int = 200, anchor: int = 64) -> DataFr
         small = rows.join(large, "anchor", "left_anti").select("content", "weight", "anchor", "data")
         sorted_runs = small.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sort_blocks, "content long, low long, high long")
         counted = by_batch(rows.join(large, "anchor", "left_semi").select("content", "weight", "data"), windows, "content long, place long, edge long, weight long")
-        twice = counted.groupBy("edge").agg(F.sum("weight").alias("n")).where("n >= 2").select("edge")
+        twice = cut(counted.groupBy("edge").agg(F.sum("weight").alias("n")).where("n >= 2").select("edge"))
         counted_runs = counted.join(twice, "edge").select("content", F.col("place").alias("low"), F.col("place").alias("high"))
         return repeated_runs(sorted_runs.unionByName(counted_runs))
 
