@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import by_batch, cut, raw_texts, rolling, word_hashes
+from eventloom.llm.common import ROWS_AT_ONCE, by_batch, cut, raw_texts, rolling, word_hashes
 from eventloom.llm.components import connected_components
 from eventloom.llm.repeats import PageFilter
 
 #: Shingles whose bits are counted at once: bounds the memory of a very long text.
 BLOCK = 1 << 15
+#: Places in which shingles are counted by hash, to put rare ones first.
+COUNTERS = 1 << 18
 
 
 def fingerprint(text: bytes, shingle: int, seed: int) -> int:
@@ -83,26 +87,90 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3, seed:
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def hub_links(fps: DataFrame, limit: int, segments: int = 2) -> DataFrame:
-    """(a, b): values of fps(fp) that differ in at most limit bits, found by way of hubs; a hub is b.
+def shingle_set(text: bytes, width: int) -> np.ndarray:
+    """Hashes of a text's different shingles of width words (A-Z in lower case); a shorter text is one shingle, one without words has none."""
+    words = word_hashes(text.lower().split())
+    return np.unique(rolling(words, min(width, len(words)) or 1))
+
+
+def shingle_counts(docs: DataFrame, width: int) -> np.ndarray:
+    """How many rows of docs(text) hold a shingle, about: entry h % COUNTERS counts all shingles with such a hash h."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                for text in raw_texts(batch.slice(at, ROWS_AT_ONCE).column(0)):
+                    np.add.at(held, shingle_set(text, width) % np.uint64(COUNTERS), 1)
+        at = np.flatnonzero(held)
+        yield pa.record_batch([pa.array(at), pa.array(held[at])], ["at", "n"])
+
+    total = np.zeros(COUNTERS, np.int64)
+    for r in docs.select("text").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        total[r.at] = r.n
+    return total
+
+
+def shared_prefixes(docs: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(token, page, n, pos): the prefix shingles of each page of docs(page, text) that another page's prefix holds too.
 
-    Every value stands in the buckets of the Hamming ball of radius 1 around each of its segments, so two values meet if
-    they differ in 2 bits or fewer of a segment. A bucket's hub is its value that meets the most others in all its
-    buckets (the text that copies were made from meets more of them than any copy does), and each of the bucket's values
-    is held against the hub alone: work grows with the number of values, not with the pairs of a large group. Buckets of
-    two lose nothing.
+    The shingles of all pages stand in one order, rare ones (shingle_counts) first. A set of n shingles whose similarity
+    with another is at least threshold shares threshold * n of them, so the first n - ceil(threshold * n) + 1 of both in
+    that order have one in common: the prefixes lose no pair, whatever the order. pos counts from 0.
     """
-    width = 64 // segments
-    ball = F.array(*[F.lit(m) for m in hamming_ball(width, 1)])
-    part = lambda i: F.shiftrightunsigned("fp", width * i).bitwiseAND(F.lit((1 << width) - 1))
-    around = lambda i: F.transform(ball, lambda m: F.struct(F.lit(i).alias("segment"), part(i).bitwiseXOR(m).alias("key")))
-    places = fps.select(F.explode(F.flatten(F.array(*map(around, range(segments))))).alias("s"), "fp").select("s.segment", "s.key", "fp")
-    shared = cut(places.groupBy("segment", "key").agg(F.count("*").alias("n")).where("n >= 2"))
-    members = cut(places.join(shared, ["segment", "key"]))
-    central = cut(members.groupBy("fp").agg(F.sum("n").alias("met")))
-    hubs = cut(members.join(central, "fp").groupBy("segment", "key").agg(F.max(F.struct("met", "fp")).alias("hub")))
-    pairs = members.join(hubs, ["segment", "key"]).select(F.col("fp").alias("a"), F.col("hub.fp").alias("b"))
-    return pairs.where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= limit)).distinct()
+    held = shingle_counts(docs, width)
+
+    def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sizes, prefixes = [], []
+        for text in raw_texts(batch.column(1)):
+            found = shingle_set(text, width)
+            order = np.lexsort((found, held[found % np.uint64(COUNTERS)]))
+            sizes.append(len(found))
+            prefixes.append(found[order[: len(found) - int(np.ceil(threshold * len(found) - 1e-9)) + 1]].view(np.int64))
+        return pa.record_batch([batch.column(0), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], ["page", "n", "tokens"])
+
+    sets = cut(by_batch(docs.select("page", "text"), kernel, "page long, n long, tokens array<long>").groupBy("page").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")))
+    places = sets.select("page", "n", F.posexplode("tokens").alias("pos", "token"))
+    shared = cut(places.groupBy("token").agg(F.count("*").alias("size")).where("size >= 2"))
+    return cut(places.join(shared, "token"))
+
+
+def _in_reach(threshold: float) -> Column:
+    """Whether two members of a token can be similar, if it is their first common one: what is left of both sets from it on is enough."""
+    left = F.least(F.col("n") - F.col("pos"), F.col("other_n") - F.col("other_pos"))
+    return (1 + threshold) * left >= threshold * (F.col("n") + F.col("other_n")) - 1e-6
+
+
+def similar_classes(docs: DataFrame, links: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
+    """(node, component): classes of the pages of docs(page, text) under links(a, b) and all pairs whose sets of shingles
+    of width words have a Jaccard similarity of at least threshold.
+
+    Similar pages share a token of their prefixes. First each token's members are held against one of them, its hub (the
+    member that meets the most others). In a group of near copies that makes one class with work in proportion to its
+    size. Then, for each token whose members are in more than one class, all members outside its largest class are held
+    against all members of other classes. Only pairs that are in one class already are left out, so the classes are
+    those of all pairs.
+    """
+    members = shared_prefixes(docs, width, threshold)
+    texts = docs.select(F.col("page").alias("doc_id"), "text")
+    central = cut(members.groupBy("page").agg(F.sum("size").alias("met")))
+    hubs = cut(members.join(central, "page").groupBy("token").agg(F.max(F.struct("met", "page", "n", "pos")).alias("hub")))
+    other = [F.col(f"hub.{c}").alias(f"other_{c}") for c in ("page", "n", "pos")]
+    held = members.join(hubs, "token").select("page", "n", "pos", *other).where(_in_reach(threshold))
+    tried = cut(held.where("page <> other_page").select(F.col("page").alias("a"), F.col("other_page").alias("b")).distinct())
+    links = cut(links.unionByName(similar_pairs(tried, texts, width, threshold)))
+    classes = cut(connected_components(links)).withColumnRenamed("node", "page")
+    placed = cut(members.join(classes, "page", "left").select("token", "page", "n", "pos", F.coalesce("component", "page").alias("class")))
+    sizes = placed.groupBy("token", "class").agg(F.count("*").alias("size"))
+    open_ = cut(sizes.groupBy("token").agg(F.count("*").alias("classes"), F.max(F.struct("size", "class")).alias("largest")).where("classes >= 2"))
+    rest = cut(placed.join(open_, "token").select("token", "page", "n", "pos", "class", F.col("largest.class").alias("main")))
+    outside = rest.where("class <> main")
+    others = rest.select("token", *[F.col(c).alias(f"other_{c}") for c in ("page", "n", "pos", "class")])
+    met = outside.join(others, "token").where((F.col("class") != F.col("other_class")) & _in_reach(threshold))
+    ends = [f("page", "other_page").alias(c) for f, c in ((F.least, "a"), (F.greatest, "b"))]
+    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    left = cut(met.select(*ends).distinct().join(known, ["a", "b"], "left_anti"))
+    return connected_components(links.unionByName(similar_pairs(left, texts, width, threshold)))
 
 
 def similar_pairs(pairs: DataFrame, docs: DataFrame, shingle: int, threshold: float) -> DataFrame:
@@ -115,8 +183,7 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, shingle: int, threshold: fl
     texts = cut(texts.join(ends, "page", "left_semi"))
 
     def shingles(text: bytes) -> set[int]:
-        words = word_hashes(text.lower().split())
-        return set(rolling(words, min(shingle, len(words)) or 1).tolist())
+        return set(shingle_set(text, shingle).tolist())
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
         known: dict[int, set[int]] = {}  # a hub comes with many
@@ -132,40 +199,30 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, shingle: int, threshold: fl
     return by_batch(both.select("a", "b", "left", "right"), kernel, "a long, b long")
 
 
-def keep_one_per_class(docs: DataFrame, shingle: int = 3, radius: int = 3, reach: int = 12, words: int = 5, threshold: float = 0.8) -> DataFrame:
+def keep_one_per_class(docs: DataFrame, shingle: int = 3, radius: int = 3, words: int = 5, threshold: float = 0.8) -> DataFrame:
     """docs without near copies: of each class the document with the least doc_id stays, with all its columns.
 
-    Documents are linked as in simhash_components(), and beyond that radius if one of two fingerprints, of shingles and
-    of shingles a word shorter, differs in at most reach bits and their sets of shingles of so many words have a Jaccard
-    similarity of threshold or more. Those links are sought by way of hubs (hub_links), which finds pairs up to 5 bits
-    apart wherever a bucket isn't crowded, and more distant ones in part.
+    Documents are linked as in simhash_components(), and, however far apart their fingerprints are, if their sets of
+    shingles of so many words have a Jaccard similarity of threshold or more (similar_classes, which loses none).
 
     Rows with one doc_id are one document and stay or go together. Rows without doc_id can't be told apart from their
     copies and stay. A document without any word stays too: an empty text is nobody's copy.
     """
-    named = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
-    shorter = max(shingle - 1, 1)
+    named = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("page"), "text").where("doc_id is not null")
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = raw_texts(batch.column(1))
-        found = [np.array([fingerprint(x, k, seed) for x in texts], np.uint64).view(np.int64) for k, seed in ((shingle, 42), (shorter, 43))]
-        return pa.record_batch([batch.column(0), *map(pa.array, found)], ["doc_id", "fp", "other"])
-
-    fps = cut(by_batch(named, kernel, "doc_id long, fp long, other long").where("fp <> 0"))
-    values = cut(fps.groupBy("fp").agg(F.min(F.struct("doc_id", "other")).alias("m")).select("fp", F.col("m.doc_id").alias("least"), F.col("m.other").alias("other")))
-    others = cut(values.groupBy("other").agg(F.min("least").alias("least")))
-
-    def ids(links: DataFrame, names: DataFrame) -> DataFrame:
-        """Links between fingerprints as links between the least doc_ids that have them; names(fp, least)."""
-        ends = [names.select(F.col("fp").alias(c), F.col("least").alias(f"id_{c}")) for c in ("a", "b")]
-        return links.join(ends[0], "a").join(ends[1], "b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-
-    first, second = values.select("fp", "least"), others.select(F.col("other").alias("fp"), "least")
-    close = ids(hamming_links(first.select("fp"), radius), first)
-    equal = values.join(others.withColumnRenamed("least", "b"), "other").select(F.col("least").alias("a"), "b").where("a <> b")
-    maybe = ids(hub_links(first.select("fp"), reach), first).unionByName(ids(hub_links(second.select("fp"), reach), second)).unionByName(equal)
-    similar = similar_pairs(cut(maybe.distinct()), named, words, threshold)
-    classes = connected_components(close.unionByName(similar)).withColumnRenamed("node", "least")
-    of_value = first.join(classes, "least", "left").select("fp", F.coalesce("component", "least").alias("kept"))
-    copies = fps.join(of_value, "fp").where("doc_id <> kept").select("doc_id").distinct()
+        found = np.array([fingerprint(x, shingle, 42) for x in raw_texts(batch.column(2))], np.uint64)
+        return pa.record_batch([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["doc_id", "page", "fp"])
+
+    fps = cut(by_batch(named, kernel, "doc_id long, page long, fp long").where("fp <> 0"))
+    pages = cut(fps.groupBy("page").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp")))
+    values = cut(pages.groupBy("fp").agg(F.min("page").alias("first")))
+    ends = [values.select(F.col("fp").alias(c), F.col("first").alias(f"page_{c}")) for c in ("a", "b")]
+    close = hamming_links(values.select("fp"), radius).join(ends[0], "a").join(ends[1], "b").select(F.col("page_a").alias("a"), F.col("page_b").alias("b"))
+    equal = pages.join(values, "fp").where("page <> first").select(F.col("page").alias("a"), F.col("first").alias("b"))
+    classes = similar_classes(named.select("page", "text"), close.unionByName(equal), words, threshold)
+    of_page = pages.join(classes.withColumnRenamed("node", "page"), "page", "left").withColumn("class", F.coalesce("component", "page"))
+    of_page = cut(of_page.select("page", "least", "class"))
+    kept = of_page.groupBy("class").agg(F.min("least").alias("kept"))
+    copies = fps.join(of_page.join(kept, "class").select("page", "kept"), "page").where("doc_id <> kept").select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
