@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import by_batch, cut, raw_texts, rolling, word_hashes
@@ -13,9 +13,8 @@ WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: Each signal, and by how much it may exceed the far-out fence of its group before a document falls: a group in which
-#: hardly any document has symbols must not reject the first that has one.
-SIGNALS = {"symbols": ("n_symbols", 0.1), "dup_lines": ("n_dup_lines", 0.1), "repeats": ("n_repeat_words", 0.25), "word_length": ("word_chars", 2.0)}
+#: Each signal: a count and what it is divided by.
+SIGNALS = {"symbols": ("n_symbols", "n_words"), "dup_lines": ("n_dup_lines", "n_lines"), "repeats": ("n_repeat_words", "n_words"), "word_length": ("word_chars", "n_words")}
 
 
 def repeated_words(hashes: np.ndarray) -> int:
@@ -34,38 +33,32 @@ def repeated_words(hashes: np.ndarray) -> int:
     return int((np.cumsum(edges) > 0).sum())
 
 
-def counts(text: bytes) -> tuple[int, int, int, int, int]:
+def counts(text: bytes) -> tuple[int, int, int, int, int, int]:
     words = text.split()
     lines = [x for x in text.split(b"\n") if x.strip(SPACES)]
     chars = len(text.decode()) - (len(text) - len(text.translate(None, SPACES)))
-    return len(words), chars, len(text) - len(text.translate(None, SYMBOLS)), len(lines) - len(set(lines)), repeated_words(word_hashes(words))
+    return len(words), chars, len(text) - len(text.translate(None, SYMBOLS)), len(lines) - len(set(lines)), repeated_words(word_hashes(words)), len(lines)
 
 
 def text_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source and the five counts of each row of docs."""
+    """doc_id, lang, source, the five counts and n_lines of each row of docs."""
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = np.array([counts(x) for x in raw_texts(batch.column(3))], np.int64).reshape(-1, len(COUNTS))
-        return pa.record_batch([*batch.columns[:3], *map(pa.array, found.T.copy())], ["doc_id", "lang", "source", *COUNTS])
+        found = np.array([counts(x) for x in raw_texts(batch.column(3))], np.int64).reshape(-1, len(COUNTS) + 1)
+        return pa.record_batch([*batch.columns[:3], *map(pa.array, found.T.copy())], ["doc_id", "lang", "source", *COUNTS, "n_lines"])
 
     wanted = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"), "text")
-    return by_batch(wanted, kernel, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS))
+    return by_batch(wanted, kernel, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in [*COUNTS, "n_lines"]))
 
 
-def _fence(quartiles: Column) -> Column:
-    """Tukey's far-out fence: the upper quartile and three times the distance between the quartiles."""
-    return quartiles[1] + 3 * (quartiles[1] - quartiles[0])
-
-
-def judge_quality(docs: DataFrame, min_group: int = 30, accuracy: int = 10_000) -> DataFrame:
+def judge_quality(docs: DataFrame, min_group: int = 30, accuracy: int = 10_000, quantile: float = 0.95) -> DataFrame:
     """(doc_id, the five counts, base_failed, kept) for each row of docs(doc_id, text, lang, source).
 
     A document fails the base rules with fewer than 20 words or more than 30 % of its words in repeated windows. The
     others are held against their group, the documents of their language and source that passed the base rules: each
-    signal, a count per word, may not exceed the group's fence (upper quartile and three times the distance of the
-    quartiles) by more than its slack. Quartiles come from mergeable rank sketches (Greenwald-Khanna, rank error
-    1 / accuracy), which are built per partition and merged, so a group of any size moves a few kilobytes a partition.
-    A group of fewer than min_group documents takes the quartiles of the whole corpus. Verdicts are joined to the counts
+    signal, a count per word (duplicate lines per line), may not exceed the group's quantile of it. Quantiles come from
+    mergeable rank sketches (Greenwald-Khanna, rank error 1 / accuracy), which are built per partition and merged, so a group of any size moves a few kilobytes a partition.
+    A group of fewer than min_group documents takes the quantiles of the whole corpus. Verdicts are joined to the counts
     alone; texts aren't shuffled.
 
     A null text has no words and fails; null languages or sources form a group; null doc_ids and repeated rows stay; an
@@ -74,14 +67,14 @@ def judge_quality(docs: DataFrame, min_group: int = 30, accuracy: int = 10_000)
     counted = cut(text_counts(docs))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     judged = counted.withColumn("base_failed", failed)
-    signals = {name: F.col(column) / F.greatest("n_words", F.lit(1)) for name, (column, _) in SIGNALS.items()}
-    sketches = [F.percentile_approx(s, [0.25, 0.75], accuracy).alias(name) for name, s in signals.items()]
+    signals = {name: F.col(column) / F.greatest(F.col(per), F.lit(1)) for name, (column, per) in SIGNALS.items()}
+    sketches = [F.percentile_approx(s, quantile, accuracy).alias(name) for name, s in signals.items()]
     passed = judged.where(~F.col("base_failed"))
     groups = passed.groupBy("lang", "source").agg(F.count("*").alias("n"), *sketches).where(F.col("n") >= min_group)
-    limits = cut(groups.select(F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), *[_fence(F.col(name)).alias(f"limit_{name}") for name in SIGNALS]))
-    corpus = passed.agg(*sketches).select(*[_fence(F.col(name)).alias(f"corpus_{name}") for name in SIGNALS])  # one row
+    limits = cut(groups.select(F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), *[F.col(name).alias(f"limit_{name}") for name in SIGNALS]))
+    corpus = passed.agg(*sketches).select(*[F.col(name).alias(f"corpus_{name}") for name in SIGNALS])  # one row
     joined = judged.join(limits, F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source")), "left").join(F.broadcast(corpus))
     within = F.lit(True)
-    for name, (_, slack) in SIGNALS.items():
-        within = within & (signals[name] <= F.coalesce(f"limit_{name}", f"corpus_{name}", F.lit(0.0)) + slack)
+    for name in SIGNALS:
+        within = within & (signals[name] <= F.coalesce(f"limit_{name}", f"corpus_{name}", F.lit(0.0)))
     return joined.select("doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & within).alias("kept"))
