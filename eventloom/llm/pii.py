@@ -11,28 +11,56 @@ from eventloom.llm.common import cut
 
 KINDS = ["email", "ip", "card", "phone"]
 _OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
-#: A run can begin a match only at its first character or where the last match ended, so no other start is tried: time
-#: stays linear in the text.
-_EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+#: A run can begin a match only at its first character or where the last match ended, so no other start is tried. All
+#: repeated groups are possessive, which the regex engine walks in a loop: time is linear in the text and the stack flat.
+_EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 _IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
+_CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,}+"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Everything that can't be part of a run of digits with single separators.
-_NOT_CARD = r"[^0-9\x20-]|[\x20-](?![0-9])|(?<![0-9])[\x20-]"
-_CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: What may be an identifier though no base pattern takes it: an address without a dot or with "at" and "dot" written out,
+#: colon-parted hexadecimal or defanged network addresses, and 9 to 19 digits with any marks between, spaces included,
+#: where no number stands before.
+_ADDRESS = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++(?:@|\x20?[\[({]at[\])}]\x20?|\x20at\x20(?=[\p{L}\p{N}-]++\x20dot\x20))[\p{L}\p{N}-]++(?:(?:\.|\x20?[\[({]dot[\])}]\x20?|\x20dot\x20)[\p{L}\p{N}-]++)*+"
+_HOST = r"(?<![\p{L}\p{N}:.])(?:(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])|[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\[dot\])[0-9]{1,3}){3}(?![0-9]))"
+_NUMBER = r"(?<![0-9])(?<![0-9][\x20().\/_-]{1,3})[+(]{0,2}[0-9](?:[\x20().\/_-]{0,3}[0-9]){8,18}(?![0-9])"
+#: The word next to a span, with anything but letters and digits between.
+_WORD_BEFORE = r"(?<![\p{L}\p{N}])([\p{L}\p{N}]*+)[^\p{L}\p{N}]*+$"
+_WORD_AFTER = r"^[^\p{L}\p{N}]*+([\p{L}\p{N}]++)"
+
+
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """The array's running sums under an associative join, in log2(n) passes over it: appending one by one would copy all before it."""
+
+    def doubled(done: Column, k: Column) -> Column:
+        step = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(done, lambda x, i: F.when(i >= step, join(F.get(done, i - step), x)).otherwise(x))
+
+    def passes(v: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(v), F.lit(2)).cast("double"))).cast("int") - 1), v, doubled)
+
+    return bound(values, passes)
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once: a lambda that names an expression computes it for each element anew."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _found(text: Column, pattern: str) -> Column:
-    """The matches of pattern in text with their places: array of (start, end, hit), counted in code points."""
-    gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.zip_with(F.slice(gaps, 1, F.greatest(F.size(hits), F.lit(1))), hits, lambda g, h: F.struct(F.length(g).alias("gap"), F.length(h).alias("width"), h.alias("hit")))
-    empty = F.expr("struct(0 as at, cast(array() as array<struct<start:int,end:int,hit:string>>) as found)")
+    """The matches of pattern in text: array of (start, end, hit, left, right), places in code points, left and right the words beside it."""
+    word = lambda gap, where: F.lower(F.regexp_extract(F.coalesce(gap, F.lit("")), where, 1))
+
+    def steps(p: Column) -> Column:
+        return F.transform(p["hits"], lambda h, i: F.struct(F.get(p["gaps"], i).alias("gap"), h.alias("hit"), F.get(p["gaps"], i + 1).alias("next")))
 
-    def step(done: Column, s: Column) -> Column:
-        start = done["at"] + s["gap"]
-        end = start + s["width"]
-        return F.struct(end.alias("at"), F.concat(done["found"], F.array(F.struct(start.alias("start"), end.alias("end"), s["hit"].alias("hit")))).alias("found"))
+    def shape(s: Column, end: Column) -> Column:
+        return F.struct((end - F.length(s["hit"])).alias("start"), end.alias("end"), s["hit"].alias("hit"), word(s["gap"], _WORD_BEFORE).alias("left"), word(s["next"], _WORD_AFTER).alias("right"))
 
-    return F.aggregate(F.filter(steps, lambda s: s["hit"].isNotNull()), empty, step, lambda done: done["found"])
+    def placed(parts: Column) -> Column:
+        return F.zip_with(parts, running(F.transform(parts, lambda s: F.length(s["gap"]) + F.length(s["hit"])), lambda a, b: a + b), shape)
+
+    cut_up = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"))
+    return bound(bound(cut_up, steps), placed)
 
 
 def _digits(hit: Column) -> Column:
@@ -49,98 +77,104 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(digits) - 1), F.lit(0), add) % 10 == 0
 
 
-def base_spans(text: Column) -> Column:
-    """All base matches of a text: array of (start, end, kind), kind being a place in KINDS; by start, then kind."""
-    none = F.expr("cast(array() as array<struct<start:int,end:int,hit:string>>)")
+_NONE = "cast(array() as array<struct<start:int,end:int,hit:string,left:string,right:string>>)"
+_SPAN = "array<struct<start:int,kind:int,end:int,hit:string,left:string,right:string>>"
+
+
+def seed_spans(text: Column) -> Column:
+    """All base matches of a text, with the words beside them: array of (start, kind, end, hit, left, right), kind being a place in KINDS; by start, then kind."""
+    none = F.expr(_NONE)
     size = lambda x: F.length(_digits(x["hit"]))
-    masked = F.regexp_replace(text, _NOT_CARD, "x")
     found = [
         F.when(F.contains(text, F.lit("@")), _found(text, _EMAIL)).otherwise(none),
         F.filter(F.when(text.rlike(r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]"), _found(text, _IP)).otherwise(none), lambda x: x["hit"].rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$")),
-        F.filter(F.when(text.rlike(r"[0-9](?:[\x20-]?[0-9]){11}"), _found(masked, r"[0-9\x20-]{12,}")).otherwise(none), lambda x: size(x).between(12, 19) & _luhn(_digits(x["hit"]))),
+        F.filter(F.when(text.rlike(r"[0-9](?:[\x20-]?[0-9]){11}"), _found(text, _CARD)).otherwise(none), lambda x: size(x).between(12, 19) & _luhn(_digits(x["hit"]))),
         F.filter(F.when(F.contains(text, F.lit("+")), _found(text, _PHONE)).otherwise(none), lambda x: size(x).between(9, 15)),
     ]
     return F.array_sort(F.concat(*[F.transform(f, _tagged(k)) for k, f in enumerate(found)]))
 
 
 def _tagged(kind: int) -> Callable[[Column], Column]:
-    return lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"))
+    return lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"), x["hit"].alias("hit"), x["left"].alias("left"), x["right"].alias("right"))
 
 
 def candidates(text: Column, base: Column) -> Column:
-    """Words of a text that hold a digit or an at sign: array of (start, end, value, left, kind), without the marks around them.
+    """What looks like an identifier and touches no base span: the same array as base; kind is email, ip, or for a number card.
 
-    left is the word before, in lower case, digits as 0. Where a base span begins, the value is the whole span, whatever
-    spaces it holds, and kind is its kind; words inside a span are no candidates of their own.
+    A number of 9 to 15 digits may be a phone, one of 12 to 19 a card; which of the two is for its contexts to tell. Which
+    candidates touch a base span is told by one merge: in the order of places, a candidate sees the furthest end of the
+    base spans that begin before its own end.
     """
-    marks = r"""[\[\](){}<>"'|,;:!?*#$%&=.]"""
-    hits = F.filter(_found(text, _CANDIDATE), lambda x: F.length(x["hit"]) <= 200)
-
-    def shape(x: Column) -> Column:
-        lead = F.length(x["hit"]) - F.length(F.regexp_replace(x["hit"], f"^{marks}+", ""))
-        value = F.regexp_replace(F.regexp_replace(x["hit"], f"^{marks}+", ""), f"{marks}+$", "")
-        before = F.substring(text, F.greatest(x["start"] - 80, F.lit(0)) + 1, F.least(x["start"], F.lit(80)))
-        left = F.regexp_replace(F.lower(F.regexp_extract(before, r"(\S+)\s*$", 1)), "[0-9]", "0")
-        start = x["start"] + lead
-        span = F.get(F.filter(base, lambda b: (b["start"] >= x["start"]) & (b["start"] < x["end"])), F.lit(0))
-        whole = F.lower(F.coalesce(F.substring(text, span["start"] + 1, span["end"] - span["start"]), value))
-        return F.struct(F.coalesce(span["start"], start).alias("start"), F.coalesce(span["end"], start + F.length(value)).alias("end"), whole.alias("value"), left.alias("left"), span["kind"].alias("kind"))
-
-    outside = lambda x: ~F.exists(base, lambda b: (b["start"] < x["start"]) & (b["end"] > x["start"]))
-    none = F.expr("cast(array() as array<struct<start:int,end:int,value:string,left:string,kind:int>>)")
-    return F.when(text.rlike("[0-9@]"), F.transform(F.filter(hits, outside), shape)).otherwise(none)
-
-
-def _possible(kind: Column, value: Column) -> Column:
-    """Whether a word looks like an identifier of the kind at all."""
-    digits = F.length(_digits(value))
-    plain = value.rlike(r"^\+?[0-9][0-9 ().-]*$")
-    return (
-        F.when(kind == 0, value.rlike(r"^[^@\s]+@[^@\s]+$"))
-        .when(kind == 1, value.rlike(r"^[0-9]+(?:\.[0-9]+){3}$"))
-        .when(kind == 2, plain & digits.between(12, 19))
-        .otherwise(plain & digits.between(9, 15))
-    )
-
-
-def discovered(words: DataFrame, rounds: int = 2, min_support: int = 5, min_score: float = 0.9) -> DataFrame:
-    """(value, kind): identifiers that the base patterns miss, of words(value, left, kind), kind being that of the base span that begins there or null.
-
-    Seeds are the values that base patterns matched. A lexical pattern is the word before; it scores, for a kind, the mean
-    score of the different values it precedes, and counts only with min_support different seeds and a score of
-    min_score. A value scores 1 less the product of the doubts its patterns leave. Patterns and values score each other
-    in turns, over the graph of their different pairs.
+    none = F.expr(_NONE)
+    found = [
+        F.when(text.rlike(r"@|[\[({]at[\])}]|\x20dot\x20"), _found(text, _ADDRESS)).otherwise(none),
+        F.when(text.rlike(r":[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:|[0-9][\[(](?:\.|dot)[\])]"), _found(text, _HOST)).otherwise(none),
+        F.when(text.rlike(r"[0-9](?:[\x20().\/_-]{0,3}[0-9]){8}"), _found(text, _NUMBER)).otherwise(none),
+    ]
+    made = F.concat(*[F.transform(f, _tagged(k)) for k, f in enumerate(found)])
+    event = lambda x, at, order, end: F.struct(at.alias("at"), F.lit(order).alias("order"), end.alias("reach"), x.alias("span"))
+
+    def apart(m: Column) -> Column:
+        seen = F.zip_with(m, running(F.transform(m, lambda e: e["reach"]), F.greatest), lambda e, r: F.struct(e["order"].alias("order"), r.alias("reach"), e["span"].alias("span")))
+        return F.transform(F.filter(seen, lambda e: (e["order"] == 0) & (e["reach"] <= e["span"]["start"])), lambda e: e["span"])
+
+    def merged(new: Column) -> Column:
+        events = F.array_sort(F.concat(F.transform(new, lambda x: event(x, x["end"], 0, F.lit(-1))), F.transform(base, lambda x: event(x, x["start"], 1, x["end"]))))
+        return F.when(F.size(new) == 0, F.expr(f"cast(array() as {_SPAN})")).otherwise(bound(events, apart))
+
+    return bound(made, merged)
+
+
+def discovered(words: DataFrame, rounds: int = 2, min_support: int = 5, min_trust: float = 0.5, min_score: float = 0.7) -> DataFrame:
+    """(value, kind): identifiers that the base patterns miss, of words(value, left, right, kind, seed).
+
+    Seeds are the values that base patterns matched. A lexical pattern is the word before a value or the word after it. It
+    scores, for a kind, the mean score of the different values it stands beside (others count 0), and counts only with
+    min_support such values and a mean of min_trust. A value scores 1 less the product of the doubts its patterns leave,
+    and is taken from min_score on: one pattern that mostly stands beside such identifiers is enough, as are two that
+    do so every other time. Patterns and values score each other in turns over the graph of their different pairs; the graph is
+    one checkpointed table with a row per pair, aggregated before each shuffle.
     """
-    pairs = cut(words.where("left <> ''").select("left", "value").distinct())
-    sizes = pairs.groupBy("left").agg(F.count("*").alias("size"))
-    seeds = cut(words.where("kind is not null").select("value", "kind", F.lit(1.0).alias("score")).distinct())
+    sides = F.array(*[F.when(F.col(c) != "", F.concat(F.lit(f"{c} "), c)) for c in ("left", "right")])
+    pairs = cut(words.select("value", "kind", "seed", F.explode(F.array_compact(sides)).alias("pattern")).distinct())
+    graph = pairs.select("pattern", "value").distinct()
+    sizes = cut(graph.groupBy("pattern").agg(F.count("*").alias("size")))
+    seeds = cut(words.where("seed").select("value", "kind", F.lit(1.0).alias("score")).distinct())
+    digits = F.length(_digits(F.col("value")))
+    kinds = F.when(F.col("kind") < 2, F.array("kind")).otherwise(F.array_compact(F.array(F.when(digits >= 12, 2), F.when(digits <= 15, 3))))
+    open_ = cut(pairs.where("not seed").select("pattern", "value", F.explode(kinds).alias("kind")).distinct())
     scores = seeds
     for _ in range(rounds):
-        support = pairs.join(scores, "value").groupBy("left", "kind").agg(F.sum("score").alias("score"), F.count("*").alias("support"))
-        patterns = support.where(F.col("support") >= min_support).join(sizes, "left").select("left", "kind", (F.col("score") / F.col("size")).alias("trust")).where(F.col("trust") >= min_score)
+        support = graph.join(scores, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("score"), F.count("*").alias("support")).where(F.col("support") >= min_support)
+        patterns = support.join(sizes, "pattern").select("pattern", "kind", (F.col("score") / F.col("size")).alias("trust")).where(F.col("trust") >= min_trust)
         doubt = F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-9))))
-        new = pairs.join(patterns, "left").where(_possible(F.col("kind"), F.col("value"))).groupBy("value", "kind").agg((1 - F.exp(doubt)).alias("score")).where(F.col("score") >= min_score)
+        new = open_.join(patterns, ["pattern", "kind"]).groupBy("value", "kind").agg((1 - F.exp(doubt)).alias("score")).where(F.col("score") >= min_score)
         scores = cut(seeds.unionByName(new).groupBy("value", "kind").agg(F.max("score").alias("score")))
-    return scores.join(seeds.select("value", "kind"), ["value", "kind"], "left_anti").select("value", "kind")
+    unseen = scores.join(seeds.select("value").distinct(), "value", "left_anti")
+    return unseen.groupBy("value").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
 
 
-def find_personal_data(docs: DataFrame, rounds: int = 2, min_support: int = 5, min_score: float = 0.9) -> DataFrame:
+def find_personal_data(docs: DataFrame, rounds: int = 2, min_support: int = 5, min_trust: float = 0.5, min_score: float = 0.7) -> DataFrame:
     """(doc_id, base, added) for each row of docs(doc_id, text): spans (start, kind, end) in code points, end exclusive.
 
     base has the matches of the fixed patterns, per kind from the left and without overlap, that pass their checks;
-    added the words that discovered() names and that no base span touches. Texts are read once; after that only words
-    with a digit or an at sign move, by a hash of their text, so copies share what is found.
+    added the candidates() that discovered() names. Texts are read once, whole, in time linear in their length but for a
+    logarithm; no word, context or span has a longest length. After that only spans with the words beside them move, by
+    the number of their row, so that no text, host or copy is a key of its own, whatever its number of rows.
 
     A null or empty text has no spans; null doc_ids and repeated rows stay; an empty table gives an empty result; other
     columns are ignored.
     """
     text = F.coalesce("text", F.lit(""))
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("page"), text.alias("text")).withColumn("base", base_spans(F.col("text")))
-    read = cut(named.select("doc_id", "page", "base", candidates(F.col("text"), F.col("base")).alias("words")))
-    words = read.where(F.size("words") > 0).select("page", F.explode("words").alias("w")).select("page", "w.*")
-    new = discovered(words.select("value", "left", "kind"), rounds, min_support, min_score)
-    spans = words.where("kind is null").select("page", "value", "start", "end").join(new, "value").groupBy("page").agg(F.array_sort(F.collect_set(F.struct("start", "kind", "end"))).alias("added"))
-    joined = read.select("doc_id", "page", "base").join(cut(spans), "page", "left")  # cut: a join of plain exchanges can be split where a page has many copies
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("seeds", seed_spans(F.col("text")))
+    read = cut(named.select("doc_id", F.monotonically_increasing_id().alias("row"), "seeds", candidates(F.col("text"), F.col("seeds")).alias("open")))
+    marked = lambda seed: lambda x: F.struct(x.alias("span"), F.lit(seed).alias("seed"))
+    tagged = F.concat(F.transform("seeds", marked(True)), F.transform("open", marked(False)))
+    words = read.select("row", F.explode(tagged).alias("w")).select("row", "w.seed", "w.span.*").withColumn("value", F.lower("hit"))
+    new = discovered(words.select("value", "left", "right", "kind", "seed"), rounds, min_support, min_trust, min_score)
+    spans = words.where("not seed").select("row", "value", "start", "end").join(new, "value").groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "kind", "end"))).alias("added"))
+    base = F.transform("seeds", lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
+    joined = read.select("doc_id", "row", base.alias("base")).join(cut(spans), "row", "left")
     return joined.select("doc_id", "base", F.coalesce("added", F.expr("cast(array() as array<struct<start:int,kind:int,end:int>>)")).alias("added"))
 
 
