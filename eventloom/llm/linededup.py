@@ -17,8 +17,17 @@ def _has_word(line: Column) -> Column:
 
 
 def _line_key(host: Column, line: Column) -> Column:
-    """128 bits that name a line of a host; a null host is a host of its own."""
-    return F.struct(F.xxhash64(F.lit(1), F.isnull(host), host, line).alias("l1"), F.xxhash64(F.lit(2), F.isnull(host), host, line).alias("l2"))
+    """128 bits, as text, that name a line of a host; a null host is a host of its own. Sets of texts are hashed, sets of structs compared one by one."""
+    named = F.when(host.isNull(), "").otherwise(F.concat(F.length(host).cast("string"), F.lit(":"), host))
+    return F.md5(F.concat(named, F.lit("\n"), line).cast("binary"))
+
+
+def sorted_contains(keys: Column, key: Column) -> Column:
+    """Whether a sorted array holds a key, by binary search; null if the array is null."""
+    bit = lambda k: F.call_function("shiftleft", F.lit(1), k)
+    widths = F.sequence(F.floor(F.log2(F.greatest(F.size(keys), F.lit(1)).cast("double"))).cast("int"), F.lit(0), F.lit(-1))
+    upto = F.aggregate(widths, F.lit(0), lambda n, k: F.when(F.get(keys, n + bit(k) - 1) <= key, n + bit(k)).otherwise(n))
+    return F.get(keys, upto - 1).eqNullSafe(key)
 
 
 def _page_key(host: Column, text: Column) -> list[Column]:
@@ -26,7 +35,7 @@ def _page_key(host: Column, text: Column) -> list[Column]:
 
 
 def boilerplate_lines(docs: DataFrame, max_ratio: float, min_pages: int) -> tuple[DataFrame, DataFrame]:
-    """Pages (page1, page2, lines) and the lines (l1, l2) of docs(text, source) that are boilerplate.
+    """Pages (page1, page2, lines) and the lines (l) of docs(text, source) that are boilerplate.
 
     A page is a different text of a host, so that copies of one page don't make its own lines boilerplate. Only hashes
     are shuffled; counts are combined before each shuffle, so a host with most of the pages is no single task's work.
@@ -35,9 +44,9 @@ def boilerplate_lines(docs: DataFrame, max_ratio: float, min_pages: int) -> tupl
     keys = F.array_distinct(F.transform(F.filter(_lines(text), _has_word), lambda x: _line_key(host, x)))
     pages = docs.where("text is not null").select(host, *_page_key(host, text), keys.alias("lines")).groupBy("source", "page1", "page2").agg(F.first("lines").alias("lines"))
     totals = cut(pages.groupBy("source").agg(F.count("*").alias("pages")))
-    counts = pages.select("source", F.explode("lines").alias("l")).groupBy("source", "l.l1", "l.l2").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    counts = pages.select("source", F.explode("lines").alias("l")).groupBy("source", "l").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     found = counts.join(totals.withColumnRenamed("source", "host"), F.col("source").eqNullSafe(F.col("host"))).where(F.col("n") > max_ratio * F.col("pages"))
-    return pages.select("page1", "page2", "lines"), found.select("l1", "l2")
+    return pages.select("page1", "page2", "lines"), found.select("l")
 
 
 def drop_boilerplate(docs: DataFrame, max_ratio: float = 0.1, min_pages: int = 3) -> DataFrame:
@@ -50,12 +59,13 @@ def drop_boilerplate(docs: DataFrame, max_ratio: float = 0.1, min_pages: int = 3
     stay; an empty table gives an empty result; other columns are carried along unless they are named like the new ones.
     """
     pages, found = boilerplate_lines(docs, max_ratio, min_pages)
-    lost = pages.select("page1", "page2", F.explode("lines").alias("l")).select("page1", "page2", "l.*").join(found, ["l1", "l2"])
-    lost = cut(lost.groupBy("page1", "page2").agg(F.collect_set(F.struct("l1", "l2")).alias("lost")))  # cut: a join of plain exchanges can be split where a page has many copies
+    lost = pages.select("page1", "page2", F.explode("lines").alias("l")).join(found, "l")
+    lost = cut(lost.groupBy("page1", "page2").agg(F.array_sort(F.collect_set("l")).alias("lost")))  # cut: a join of plain exchanges can be split where a page has many copies
     host, text = F.col("source"), F.col("text")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped")]).alias("row")
     joined = docs.select(row, host, text, *_page_key(host, text)).join(lost, ["page1", "page2"], "left")
-    kept = F.filter(_lines(text), lambda x: ~(_has_word(x) & F.array_contains("lost", _line_key(host, x))))
+    keyed = F.transform(_lines(text), lambda x: F.struct(x.alias("line"), F.when(_has_word(x), _line_key(host, x)).alias("key")))
+    kept = F.transform(F.filter(keyed, lambda x: ~F.coalesce(x["key"].isNotNull() & sorted_contains(F.col("lost"), x["key"]), F.lit(False))), lambda x: x["line"])
     shortened = joined.withColumn("kept", F.when(F.col("lost").isNotNull(), kept))
     n = F.coalesce(F.size(_lines(text)), F.lit(0))
     return shortened.select(
