@@ -6,7 +6,7 @@ import hashlib
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import by_batch, cut
@@ -32,23 +32,30 @@ def _unescape_role(role: str) -> str:
     return unescape(role.replace("<|n", "\n"))
 
 
+def _name(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The MD5 names of each prefix of each conversation's turns, one chained to the next."""
+    paths = []
+    for turns in batch.column(1).to_pylist():
+        path, name = [], b""
+        for t in turns:
+            name = hashlib.md5(name + b"%d:" % len(t["role"]) + t["role"].encode() + t["text"].encode()).digest()
+            path.append(name)
+        paths.append(path)
+    return pa.record_batch([batch.column(0), batch.column(1), pa.array(paths, pa.list_(pa.binary()))], ["conv_id", "turns", "path"])
+
+
 def ordered_turns(rows: DataFrame) -> DataFrame:
     """(conv_id, turns, path) for each conversation of rows(conv_id, turn, role, text); path names each prefix of the turns.
 
     A name is the MD5 of the one before it, the role and the text, so conversations share a name exactly if they share
-    all turns up to there.
+    all turns up to there. A row without conv_id is a conversation of its own.
     """
-    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    role, text, conv = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit("")), F.col("conv_id").cast("long")
     turn = F.struct(F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    whole = rows.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-
-    def named(done: Column, t: Column) -> Column:
-        before = F.coalesce(F.get(done, F.size(done) - 1), F.lit(b""))
-        content = F.concat(before, F.length(t["role"]).cast("string").cast("binary"), F.lit(b":"), t["role"].cast("binary"), t["text"].cast("binary"))
-        return F.concat(done, F.array(F.unhex(F.md5(content))))
-
-    path = F.aggregate("turns", F.expr("cast(array() as array<binary>)"), named)
-    return whole.select("conv_id", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"), path.alias("path"))
+    own = F.when(conv.isNull(), F.monotonically_increasing_id())
+    whole = rows.select(conv.alias("conv_id"), own.alias("own"), turn.alias("t")).groupBy("conv_id", "own").agg(F.array_sort(F.collect_list("t")).alias("turns"))
+    named = by_batch(whole.select("conv_id", "turns"), _name, "conv_id long, turns array<struct<turn:long,role:string,text:string>>, path array<binary>")
+    return named.withColumn("turns", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))))
 
 
 _RUN = "array<struct<owner:long,length:long>>"
@@ -96,7 +103,7 @@ def format_forest(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     the shuffle that finds its owner.
 
     Turns are in order of turn, then role, then text; rows that repeat are repeated turns. A null role or text is empty;
-    rows without conv_id make up one conversation, without turn come first; an empty text is a turn without characters;
+    a row without conv_id is a conversation of its own; rows without turn come first; an empty text is a turn without characters;
     an empty table gives an empty result; other columns are ignored.
     """
     conversations = cut(ordered_turns(rows).withColumn("leaf", F.element_at("path", -1)))
@@ -140,24 +147,26 @@ def _read(batch: pa.RecordBatch) -> pa.RecordBatch:
 def read_back(forest: DataFrame, members: DataFrame) -> DataFrame:
     """Each conversation as the forest has it: its turns' and its learned text's digests and sizes.
 
-    A conversation is read once for each node, not for each conv_id; its stretches are fetched from their owners.
+    A conversation is read once for each node, not for each conv_id; its stretches are fetched from their owners, of whose
+    chunks only the stretch itself is moved on.
     """
     own = forest.select("node", F.size("ancestors").alias("k"), F.col("node").alias("owner"), "length")
     shared = forest.select("node", F.posexplode("ancestors").alias("k", "a")).select("node", "k", "a.owner", (F.col("a.end") - F.col("a.start")).alias("length"))
     texts = forest.select(F.col("node").alias("owner"), "chunk", "loss")
-    parts = own.unionByName(shared).join(texts, "owner").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("k", "length", "chunk", "loss"))).alias("parts"))
+    used = F.struct("k", "length", F.substring(F.col("chunk"), F.lit(1), F.col("length").cast("int")).alias("chunk"), F.filter("loss", lambda s: s["end"] <= F.col("length")).alias("loss"))
+    parts = own.unionByName(shared).join(texts, "owner").select("node", used.alias("part")).groupBy("node").agg(F.array_sort(F.collect_list("part")).alias("parts"))
     read = by_batch(parts, _read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
     return members.join(read.withColumnRenamed("conv_id", "node"), "node").drop("node")
 
 
 ORACLE = r"""
 with rows as (
-  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
-  union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over () as row from conversations
+  union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok', 0 union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok', 0)
 select conv_id, count(*)::bigint as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
   coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
   sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
   sum(length('<|im_start|>') + length(replace(replace(role, '<|', '<||'), chr(10), '<|n')) + length(replace(text, '<|', '<||')) + length('<|im_end|>') + 2)::bigint as formatted_chars
-from rows group by conv_id
+from rows group by conv_id, case when conv_id is null then row end
 """
