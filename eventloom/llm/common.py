@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-#: Where checkpoints go if the session names no folder (a local session, as in tests).
+#: Where checkpoints go in a local session that names no folder, as in tests.
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 ROWS_AT_ONCE = 1024
 
@@ -21,11 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialises df in the shared checkpoint folder and drops its lineage.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset a local one is set.
+    The folder is the session's ``spark.checkpoint.dir``; where that is unset a local session takes a local one, and a
+    cluster, whose executors couldn't see it, is an error.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or LOCAL_CHECKPOINTS)
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(shared or LOCAL_CHECKPOINTS)
     return df.checkpoint()
 
 
