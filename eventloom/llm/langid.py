@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyspark.sql.types as T
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import by_batch, raw_texts
@@ -23,7 +23,7 @@ _LETTER = re.compile(r"[^\W\d_]")
 class Shape:
     """Sizes of the network and of its training.
 
-    train_rows bounds the labelled rows that are learned from: those with the least hash of their doc_id, of each of
+    train_rows bounds the labelled rows that are learned from: those with the least hash of doc_id and text, of each of
     which windows_per_row windows of window bytes are used.
     """
 
@@ -130,17 +130,20 @@ def cut_windows(text: bytes, size: int) -> np.ndarray:
 def train(labelled: DataFrame, shape: Shape = Shape()) -> ByteNet | None:
     """A network learned from labelled(doc_id, text, lang); None if no row has text, language and doc_id.
 
-    The rows are chosen by the hash of doc_id, and their windows by another, before anything comes to the driver. Their
-    number is counted first, so that tasks pass on only hashes under a limit which about twice train_rows stay below;
-    the driver gets those rows' windows_per_row pieces of window characters, however many tasks there are.
+    The sample is the train_rows rows with the least hash of doc_id and text; its windows are chosen by another hash,
+    before anything comes to the driver. Rows are counted first, so that tasks pass on only hashes under a limit which
+    about twice train_rows stay below. If repeated rows, which share a hash, leave fewer than that below the limit, it is
+    raised until there are enough or all rows are below it; the sample is the same whatever the limit. The driver gets
+    those rows' windows_per_row pieces of window characters, however many tasks there are.
     """
-    named = labelled.where("doc_id is not null and lang is not null")
-    share = min(1.0, 2 * shape.train_rows / max(named.count(), 1))
-    limit = min(int(share * (1 << 64)) - (1 << 63), (1 << 63) - 1)
-    usable = named.where((F.length("text") > 0) & (F.xxhash64("doc_id") <= limit))
-    starts = [F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length("text") - shape.window, F.lit(1))).cast("int") + 1 for k in range(shape.windows_per_row)]
-    parts = F.array(*[F.substring(F.col("text"), s, F.lit(shape.window)) for s in starts])
-    rows = usable.select(F.xxhash64("doc_id").alias("h"), "doc_id", "lang", parts.alias("parts")).orderBy("h", "doc_id", "lang", "parts").limit(shape.train_rows).collect()
+    named = labelled.select("doc_id", "text", "lang").where("doc_id is not null and lang is not null").where(F.length("text") > 0)
+    total = named.count()
+    share, rows = min(1.0, 2 * shape.train_rows / max(total, 1)), []
+    while len(rows) < min(shape.train_rows, total):
+        rows = _sample(named, shape, share)
+        if share == 1.0:
+            break
+        share = min(1.0, 8 * share)
     if not rows:
         return None
     languages = sorted({r.lang for r in rows})
@@ -150,32 +153,48 @@ def train(labelled: DataFrame, shape: Shape = Shape()) -> ByteNet | None:
     return net
 
 
-def predict(docs: DataFrame, net: ByteNet | None) -> DataFrame:
-    """docs with lang_pred and score for each row's text.
+def _sample(named: DataFrame, shape: Shape, share: float) -> list[Row]:
+    """(lang, parts) of the first train_rows rows in order of the hash of doc_id and text, of those in the lowest share of all hashes."""
+    limit = min(int(share * (1 << 64)) - (1 << 63), (1 << 63) - 1)
+    starts = [F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length("text") - shape.window, F.lit(1))).cast("int") + 1 for k in range(shape.windows_per_row)]
+    parts = F.array(*[F.substring(F.col("text"), s, F.lit(shape.window)) for s in starts])
+    hashed = named.withColumn("h", F.xxhash64("doc_id", "text")).where(F.col("h") <= limit)
+    return hashed.select("h", "doc_id", "lang", parts.alias("parts")).orderBy("h", "doc_id", "lang", "parts").limit(shape.train_rows).collect()
 
-    The whole text is cut into windows of equal length; the mean of their log probabilities, normalised, is the
-    document's distribution, its maximum the prediction and score. A null text, or one without any letter, is
-    undetermined with score 0, as is every text if nothing could be learned; null doc_ids and repeated rows stay, and an
-    empty table gives an empty result.
-    """
-    tables = net.tables() if net else {}
 
-    def classify(text: bytes) -> tuple[str, float]:
+class Classifier:
+    """The language and score of whole texts."""
+
+    def __init__(self, net: ByteNet | None):
+        self.net, self.tables = net, net.tables() if net else {}
+
+    def __call__(self, text: bytes) -> tuple[str, float]:
+        net = self.net
         if net is None or not _LETTER.search(text.decode()):
             return UNDETERMINED, 0.0
         windows, total = cut_windows(text, net.shape.window), np.zeros(len(net.languages))
         for at in range(0, len(windows), BLOCK):
-            total += net.log_probabilities(windows[at : at + BLOCK], tables).sum(axis=0)
+            total += net.log_probabilities(windows[at : at + BLOCK], self.tables).sum(axis=0)
         total = np.exp((total - total.max()) / len(windows))
         best = int(total.argmax())
         return net.languages[best], float(total[best] / total.sum())
 
+
+def predict(docs: DataFrame, net: ByteNet | None) -> DataFrame:
+    """docs with lang_pred and score for each row's text.
+
+    The whole text is cut into windows of equal length; the mean of their log probabilities, normalised, is the
+    document's distribution, its maximum the prediction and score. A null text, or one without any letter, is
+    undetermined with score 0, as is every text if nothing could be learned; null doc_ids and repeated rows stay, and an
+    empty table gives an empty result.
+    """
+    classify, at = Classifier(net), docs.columns.index("text")
+
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [classify(x) for x in raw_texts(batch.column(at))]
         columns = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
         return pa.record_batch([*batch.columns, *columns], [*batch.schema.names, "lang_pred", "score"])
 
-    at = docs.columns.index("text")
     return by_batch(docs, kernel, T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
@@ -191,7 +210,15 @@ def identify_languages(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, shape: Shape = Shape(), min_score: float = 0.5) -> DataFrame:
-    """docs without the rows whose language is undetermined or has a score under min_score; all columns, no shuffle."""
-    wrapped = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    accepted = predict(wrapped, train(docs.where(~held_out()), shape)).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
-    return accepted.select("row.*")
+    """docs without the rows whose language is undetermined or has a score under min_score; all columns, no shuffle.
+
+    A null text, or one without any letter, goes; null doc_ids and repeated rows go or stay by their text alone; an empty
+    table stays empty; no other column than text is read for a verdict.
+    """
+    classify, at = Classifier(train(docs.where(~held_out()), shape)), docs.columns.index("text")
+
+    def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [classify(x) for x in raw_texts(batch.column(at))]
+        return batch.filter(pa.array([x[0] != UNDETERMINED and x[1] >= min_score for x in found], pa.bool_()))
+
+    return by_batch(docs, kernel, docs.schema)
