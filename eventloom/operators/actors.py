@@ -25,6 +25,19 @@ ROLE_PRIORITIES = {
 #: Fixed domain values: role codes that stand for a country of their own.
 COUNTRY_ROLES = ["IGO", "MNC", "NGO", "ISM", "EUR", "UNO"]
 
+#: Fixed domain values: why a code was chosen.
+ONLY_CODE = "only one code"
+SETTLEMENT = "It's a city/settlement, so no code1 applies"
+ONLY_INFOBOX = "Only one entry in the info box"
+FIRST_INFOBOX = "Picking highest priority Wiki info box title"
+ONLY_ROLE_WIKI = "only one unique code1, returning wiki code"
+ONLY_ROLE_CONFIDENT = "only one unique code1: returning highest conf"
+SHORT_DESCRIPTION = "Picking Wiki short description"
+ONLY_LOOKUP = "Using pre-wiki lookup"
+EQUAL_LOOKUPS = "All pre-wiki lookups are the same"
+PRIORITY_WIKI = "Ranked by code1 priority, returning wiki code"
+PRIORITY_FIRST = "Ranked by code1 priority, returning first"
+
 
 def role_priority(code: Column) -> Column:
     table = F.create_map(*[F.lit(x) for pair in ROLE_PRIORITIES.items() for x in pair])
@@ -191,38 +204,41 @@ def pick_best_code(codes: DataFrame, known: DataFrame) -> DataFrame:
     before = F.filter(rows, lambda c: (c["source"] == "BERT matching on non-entity text") & filled(c["country"]) & filled(c["code_1"]))
     agree = (F.size(before) > 0) & (F.size(F.array_distinct(F.transform(before, lambda c: F.struct(c["country"], c["code_1"])))) == 1)
     priority = lambda c: F.struct(-role_priority(c["code_1"]), (~filled(c["wiki"])).cast("int"))
+    ranked = by(rows, priority)
     rules: list[tuple[Column, Column, str]] = [
-        (F.size(rows) == 1, F.get(rows, F.lit(0)), "only one code"),
-        (boxed["query"] == "settlement", boxed, "a settlement has no role"),
-        (F.size(infobox) == 1, F.get(infobox, F.lit(0)), "only one infobox entry"),
-        (F.size(infobox) > 1, by(infobox, lambda c: F.coalesce(c["office_num"], F.lit(0))), "first infobox office"),
-        ((F.size(roles) == 1) & (F.size(wiki_coded) > 0), F.get(wiki_coded, F.lit(0)), "only one role, from an article"),
-        (F.size(roles) == 1, by(coded, lambda c: -F.coalesce(c["conf"], F.lit(0.0))), "only one role, highest confidence"),
-        (F.size(described) > 0, F.get(described, F.lit(0)), "short description"),
-        (agree, F.get(before, F.lit(0)), "lookup before the article"),
-        (F.size(rows) > 1, by(rows, priority), "role priority"),
+        (F.size(rows) == 1, F.get(rows, F.lit(0)), ONLY_CODE),
+        (boxed["query"] == "settlement", boxed, SETTLEMENT),
+        (F.size(infobox) == 1, F.get(infobox, F.lit(0)), ONLY_INFOBOX),
+        (F.size(infobox) > 1, by(infobox, lambda c: F.coalesce(c["office_num"], F.lit(0))), FIRST_INFOBOX),
+        ((F.size(roles) == 1) & (F.size(wiki_coded) > 0), F.get(wiki_coded, F.lit(0)), ONLY_ROLE_WIKI),
+        (F.size(roles) == 1, by(coded, lambda c: -F.coalesce(c["conf"], F.lit(0.0))), ONLY_ROLE_CONFIDENT),
+        (F.size(described) > 0, F.get(described, F.lit(0)), SHORT_DESCRIPTION),
+        (F.size(before) == 1, F.get(before, F.lit(0)), ONLY_LOOKUP),
+        (agree, F.get(before, F.lit(0)), EQUAL_LOOKUPS),
+        ((F.size(rows) > 1) & filled(ranked["wiki"]), ranked, PRIORITY_WIKI),
+        (F.size(rows) > 1, ranked, PRIORITY_FIRST),
     ]
     choice = reduce(lambda c, r: c.when(r[0], F.struct(r[1].alias("c"), F.lit(r[2]).alias("reason"))), rules[1:], F.when(rules[0][0], F.struct(rules[0][1].alias("c"), F.lit(rules[0][2]).alias("reason"))))
     chosen = actors.withColumn("pick", choice)
     reason, own = F.col("pick.reason"), F.col("pick.c.country")
     best_country = F.when(F.col("different") == 1, F.col("top")).otherwise(F.coalesce(F.when(filled(F.col("known")), F.col("known")), F.col("top"), F.lit("")))
-    keeps_own = reason.isin("only one code", "a settlement has no role")
-    intergovernmental = reason.isin("only one infobox entry", "first infobox office", "short description") & (F.col("pick.c.code_1") == "IGO")
+    keeps_own = reason.isin(ONLY_CODE, SETTLEMENT)
+    intergovernmental = reason.isin(ONLY_INFOBOX, FIRST_INFOBOX, SHORT_DESCRIPTION) & (F.col("pick.c.code_1") == "IGO")
     country = (
         F.when(F.col("pick").isNull(), F.col("known"))
-        .when(keeps_own, F.when(filled(own), own).when(reason == "only one code", F.coalesce("known", F.lit(""))).otherwise(best_country))
+        .when(keeps_own, F.when(filled(own), own).when(reason == ONLY_CODE, F.coalesce("known", F.lit(""))).otherwise(best_country))
         .when(intergovernmental, F.lit("IGO"))
         .otherwise(best_country)
     )
     found = chosen.where(F.col("pick").isNotNull() | filled(F.col("known")))
     return found.select(
         "actor",
-        F.when(reason == "a settlement has no role", "").otherwise(F.coalesce("pick.c.code_1", F.lit(""))).alias("code_1"),
+        F.when(reason == SETTLEMENT, "").otherwise(F.coalesce("pick.c.code_1", F.lit(""))).alias("code_1"),
         F.coalesce("pick.c.code_2", F.lit("")).alias("code_2"),
         country.alias("country"),
         F.coalesce("pick.c.source", F.lit("country only")).alias("source"),
         F.coalesce(F.when(filled(F.col("pick.c.wiki")), F.col("pick.c.wiki")), "w.wiki", F.lit("")).alias("wiki"),
-        F.coalesce(reason, F.lit("country only")).alias("best_reason"),
+        F.coalesce(reason, F.lit("")).alias("best_reason"),
     )
 
 

@@ -7,64 +7,76 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed domain values: words that mark a role, and words that a role takes over from its mention.
+#: Fixed domain values: labels of places, and words that mark a role.
+PLACES = ["GPE", "LOC", "FAC", "NORP"]
 ROLE_WORDS = ["official", "president", "mayor", "secretary", "minister", "member", "council", "general", "party", "service", "airport", "police", "attacker", "right-wing", "wing"]
-ROLE_SUFFIXES = ["airport", "service", "council"]
-_GAP = "\u0001"
+#: Fixed domain values: what each feature of a phrase adds to its score as a role. words counts up to three.
+ROLE_WEIGHTS = {"keyword": 5, "words": 1, "leads": 2, "tiny": -2}
+#: Fixed domain values: words that a role takes over from its mention, and what the role must hold for that.
+COMPLETIONS = {"party": "wing", "airport": "", "service": "", "council": ""}
+_OWNED = r"([A-Za-z']+)['’]s\s+([A-Za-z]+)"
 
 
-def _first(entities: Column, *labels: str) -> Column:
-    return F.get(F.filter(entities, lambda e: e["label"].isin(*labels)), F.lit(0))["text"]
+def _literal(word: Column) -> Column:
+    """A regular expression for the word as it stands, not inside a longer word; for null one that matches nothing."""
+    quoted = F.concat(F.lit("\\b\\Q"), F.replace(word, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E\\b"))
+    return F.coalesce(quoted, F.lit(r"(?!)"))
 
 
-def _tidy(candidate: Column, place: Column) -> Column:
-    """A candidate without the place, possessives, marks at its end and a last "of"."""
-    bare = F.when(place.isNotNull(), F.replace(candidate, place, F.lit(""))).otherwise(candidate)
-    for pattern, by in ((r"['’]s\s+", " "), (r"[,.:;]+$", ""), (r"\s+", " "), (r"^[‘’]", ""), (r"\bof\b\s*$", "")):
-        bare = F.trim(F.regexp_replace(bare, pattern, by))
-    return bare
+def role_phrase(text: Column, place: Column) -> Column:
+    """A phrase as a role: no place, no possessive ending, single spaces, and no mark or "of" left over at its edges."""
+    words = F.split(F.regexp_replace(text, F.concat(_literal(place), F.lit(r"|['’]s(?=\s)")), F.lit(" ")), r"\s+")
+    return F.regexp_replace(F.array_join(words, " "), r"^[ ‘’]+|(?: of)?[ ,.:;]*$|^of$", "")
 
 
-def _score(candidate: Column, text: Column) -> Column:
-    low = F.lower(candidate)
-    known = reduce(lambda c, w: c | F.contains(low, F.lit(w)), ROLE_WORDS[1:], F.contains(low, F.lit(ROLE_WORDS[0])))
-    return F.when(known, 5).otherwise(0) + F.least(F.size(F.split(candidate, r"\s+")), F.lit(3)) + F.when(F.lower(text).startswith(low), 2).otherwise(0) - F.when(F.length(candidate) < 3, 2).otherwise(0)
+def role_features(phrase: Column, mention: Column) -> Column:
+    """What speaks for a phrase as the role in a mention: a struct with a number for each of ROLE_WEIGHTS."""
+    low = F.lower(phrase)
+    return F.struct(
+        F.exists(F.array(*map(F.lit, ROLE_WORDS)), lambda w: F.contains(low, w)).cast("int").alias("keyword"),
+        F.least(F.size(F.split(phrase, " ")), F.lit(3)).alias("words"),
+        F.startswith(F.lower(mention), low).cast("int").alias("leads"),
+        (F.length(phrase) < 3).cast("int").alias("tiny"),
+    )
 
 
 def split_mentions(mentions: DataFrame) -> DataFrame:
     """mentions with core_entity, role and geographic_info.
 
-    mentions has text, ents(text, label) in order and appositives, the texts of appositive phrases. The core is the first
-    person, else the first organization or word in capitals; after a place's possessive it is the organization owned.
-    Roles are sought in appositives, in what neither core nor place covers, before a person and after an organization;
-    the best by keywords, length and place counts, the first of equal ones. Steps are columns, so each is computed once.
+    mentions has text, ents(text, label) in order and appositives, the texts of appositive phrases. The place is the first
+    place. The core is, of these, the first there is: the organization that the place owns ("Iran's IRGC"), a person, an
+    organization; a word in capitals is one too. A role is a phrase beside core and place: an appositive, a stretch that
+    neither covers, what leads up to a person, what follows an organization. Of these, as role_phrase(), the one with the
+    greatest weighted sum of role_features() is taken, the first of equal ones; then COMPLETIONS are added. A mention
+    without entities has neither core nor place; without phrases it has no role.
     """
-    text, core, place = F.col("text"), F.col("_core"), F.col("geographic_info")
-    possessive = r"([A-Za-z']+)['’]s\s+([A-Za-z]+)"
-    named = mentions.withColumns({
-        "geographic_info": _first(F.col("ents"), "GPE", "LOC", "FAC", "NORP"),
-        "_person": _first(F.col("ents"), "PERSON"),
-        "_orgs": F.array_distinct(F.concat(F.transform(F.filter("ents", lambda e: e["label"] == "ORG"), lambda e: e["text"]), F.regexp_extract_all("text", F.lit(r"\b([A-Z]{2,})\b"), F.lit(1)))),
+    text, place, core, role = (F.col(c) for c in ("text", "geographic_info", "core_entity", "role"))
+    named = lambda *labels: F.transform(F.filter("ents", lambda e: e["label"].isin(*labels)), lambda e: e["text"])
+    read = mentions.withColumns({
+        "geographic_info": F.get(named(*PLACES), F.lit(0)),
+        "_people": named("PERSON"),
+        "_groups": F.array_distinct(F.concat(named("ORG"), F.regexp_extract_all("text", F.lit(r"\b([A-Z]{2,})\b"), F.lit(1)))),
     })
-    owned = F.regexp_extract(text, possessive, 2)
-    owned = F.when(F.regexp_extract(text, possessive, 1) == place, F.get(F.filter("_orgs", lambda o: F.contains(o, owned)), F.lit(0)))
-    cored = named.withColumn("_core", F.coalesce(owned, "_person", F.get("_orgs", F.lit(0))))
-    covered = reduce(lambda t, c: F.when(c.isNotNull(), F.replace(t, c, F.lit(_GAP))).otherwise(t), [core, place], text)
-    segments = F.filter(F.transform(F.split(covered, _GAP), lambda s: F.regexp_replace(s, "^[ ,]+|[ ,]+$", "")), lambda s: F.length(s) > 1)
+    owner, owned = F.regexp_extract(text, _OWNED, 1), F.regexp_extract(text, _OWNED, 2)
+    ours = F.when(owner == place, F.get(F.filter("_groups", lambda g: F.contains(g, owned)), F.lit(0)))
+    cored = read.withColumn("core_entity", F.coalesce(ours, F.get("_people", F.lit(0)), F.get("_groups", F.lit(0))))
+
     at = F.instr(text, core)
-    before = F.when(core == F.col("_person"), F.trim(F.substring(text, F.lit(1), at - 1)))
-    after = F.when(F.array_contains("_orgs", core), F.regexp_replace(F.trim(F.substr(text, at + F.length(core))), r"^'s\s+", ""))
-    others = F.filter(F.coalesce("appositives", F.expr("array()")), lambda a: core.isNull() | ~F.contains(a, core))
-    listed = cored.withColumn("_roles", F.filter(F.transform(F.array_compact(F.concat(others, segments, F.array(before, after))), lambda c: _tidy(c, place)), lambda c: c != ""))
-    ranked = F.array_max(F.transform("_roles", lambda c, i: F.struct(_score(c, text).alias("score"), (-i).alias("order"), c.alias("role"))))["role"]
-    low = F.lower(text)
-    role = F.col("role")
-    party = F.contains(low, F.lit("party")) & F.contains(F.lower(role), F.lit("wing")) & ~F.contains(F.lower(role), F.lit("party"))
-    repaired = listed.withColumn("role", ranked).withColumn("role", F.when(party, F.concat(role, F.lit(" party"))).otherwise(role))
-    for suffix in ROLE_SUFFIXES:
-        missing = F.contains(low, F.lit(suffix)) & ~F.contains(F.lower(role), F.lit(suffix))
-        repaired = repaired.withColumn("role", F.when(missing, F.concat(role, F.lit(f" {suffix}"))).otherwise(role))
-    return repaired.withColumn("core_entity", core).drop("_core", "_person", "_orgs", "_roles")
+    beside = F.filter(F.transform(F.split(text, F.concat_ws("|", _literal(core), _literal(place))), lambda s: F.regexp_replace(s, "^[ ,]+|[ ,]+$", "")), lambda s: F.length(s) > 1)
+    sources = F.concat(
+        F.filter(F.coalesce("appositives", F.expr("array()")), lambda a: ~F.coalesce(F.contains(a, core), F.lit(False))),
+        beside,
+        F.array(F.when(F.array_contains("_people", core), F.substring(text, F.lit(1), at - 1)), F.when(F.array_contains("_groups", core), F.substr(text, at + F.length(core)))),
+    )
+    phrases = F.filter(F.transform(F.array_compact(sources), lambda s: role_phrase(s, place)), lambda p: p != "")
+    weighed = lambda f: reduce(lambda total, n: total + f[n] * ROLE_WEIGHTS[n], ROLE_WEIGHTS, F.lit(0))
+    listed = cored.withColumn("_phrases", phrases).withColumn("_features", F.transform("_phrases", lambda p: role_features(p, text)))
+    best = F.array_max(F.transform("_features", lambda f, i: F.struct(weighed(f).alias("score"), (-i).alias("before"))))
+    found = listed.withColumn("role", F.get("_phrases", -best["before"]))
+    for word, condition in COMPLETIONS.items():
+        lacks = F.contains(F.lower(text), F.lit(word)) & F.contains(F.lower(role), F.lit(condition)) & ~F.contains(F.lower(role), F.lit(word))
+        found = found.withColumn("role", F.when(lacks, F.concat(role, F.lit(f" {word}"))).otherwise(role))
+    return found.drop("_people", "_groups", "_phrases", "_features")
 
 
 def ranking_text(articles: DataFrame, fields: list[str]) -> Column:

@@ -48,9 +48,9 @@ _LINES = ["# comment", "", "!macro! = x", "POLICE_CHIEF [~COP]", "deputy_!minist
 
 @query("""
 select p_partkey, x.* from part, (values ('police chief', 'COP', ''), ('Deputy Minister Of War', 'GOV', 'MIL'), ('Deputy Ministers Of War', 'GOV', 'MIL'), ('Deputy Ministry Of War', 'GOV', 'MIL'), ('Deputy Ministries Of War', 'GOV', 'MIL'),
- ('market person', 'BUS', ''), ('market man', 'BUS', ''), ('market woman', 'BUS', ''), ('market men', 'BUS', ''), ('market women', 'BUS', ''), ('court', 'JUD', '')) x(pattern, code_1, code_2) where p_partkey < 50""")
+ ('market person', 'BUS', ''), ('market man', 'BUS', ''), ('market woman', 'BUS', ''), ('market men', 'BUS', ''), ('market women', 'BUS', ''), ('court', 'JUD', '')) x(pattern, code_1, code_2)""")
 def t13_s7_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = table(spark, sf_dir, "part").where("p_partkey < 50").select("p_partkey")
+    keys = table(spark, sf_dir, "part").select("p_partkey")
     lines = keys.select(F.col("p_partkey").alias("line"), F.explode(F.array(*map(F.lit, _LINES))).alias("value"))
     return actors.parse_agents(lines).withColumnRenamed("line", "p_partkey")
 
@@ -129,39 +129,47 @@ def t20_article_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CODES = """(select user_id as actor, event_id as pos, case event_type when 'view' then 'GOV' when 'click' then 'MIL' when 'error' then '' when 'signup' then 'IGO' else 'CVL' end as code_1,
- case when event_id % 4 = 0 then 'C' || (event_id % 3) else '' end as country, case event_id % 6 when 0 then 'Infobox' when 1 then 'Wiki short description' when 2 then 'Infobox Type' else 'Direct match' end as source,
- case when event_id % 12 = 2 then 'settlement' else 'q' end as query, value as conf, (event_id % 5)::int as office_num, case when event_id % 2 = 0 then 'w' || event_id else '' end as wiki from events where event_id % 7 = 0 and (user_id % 3 > 0 or event_id % 5 = 0))"""
+ case when event_id % 4 = 0 then 'C' || (event_id % 3) else '' end as country, case when user_id % 4 < 2 and event_id % 11 > 0 then 'Direct match' when event_id % 6 = 0 then 'Infobox' when event_id % 6 = 1 then 'Wiki short description' when event_id % 6 = 2 then 'Infobox Type' when event_id % 6 = 3 then 'BERT matching on non-entity text' else 'Direct match' end as source,
+ case when event_id % 12 = 2 then 'settlement' else 'q' end as query, value as conf, (event_id % 5)::int as office_num, case when event_id % 2 = 0 and user_id % 3 > 0 then 'w' || event_id else '' end as wiki from events
+ union all select 1000000 + c_custkey, c_custkey, 'GOV', '', 'Direct match', 'q', 0.5, 0, '' from customer where c_custkey % 2 = 0)"""
+_KNOWN = "(select distinct user_id as actor, case when user_id % 4 = 0 then 'K' || (user_id % 2) else '' end as country from events union all select 1000000 + c_custkey, case when c_custkey % 3 > 0 then 'N' || c_nationkey else '' end from customer)"
 
 
 @query(f"""
-with codes as {_CODES}, known as (select distinct user_id as actor, case when user_id % 4 = 0 then 'K' || (user_id % 2) else '' end as country from events),
+with codes as {_CODES}, known as {_KNOWN},
 votes as (select actor, pos, country from codes union all select actor, 1 << 30, country from known),
 counts as (select actor, country, count(*) as n, min(pos) as seen from votes where country <> '' group by 1, 2), top as (select actor, arg_max(country, (n, -seen)) as top, count(*) as different from counts group by 1),
-p as (select *, case code_1 when 'IGO' then 200 when 'GOV' then 100 when 'MIL' then 80 when 'CVL' then 10 else 0 end as prio from codes),
+p as (select *, case code_1 when 'IGO' then 200 when 'GOV' then 100 when 'MIL' then 80 when 'CVL' then 10 else 0 end as prio, source = 'BERT matching on non-entity text' and country <> '' and code_1 <> '' as looked from codes),
 g as (select actor, count(*) as n, count(*) filter (where source = 'Infobox') as boxes, count(distinct code_1) filter (where code_1 <> '') as roles, count(*) filter (where code_1 <> '' and wiki <> '') as wiki_roles, count(*) filter (where source = 'Wiki short description') as sd,
+  count(*) filter (where looked) as lookups, count(distinct country || '|' || code_1) filter (where looked) as different_lookups, arg_min(pos, pos) filter (where looked) as look_pos,
   arg_min(pos, pos) filter (where source in ('Infobox Type', 'Infobox Title')) as box_pos, arg_min(query, pos) filter (where source in ('Infobox Type', 'Infobox Title')) as box_query, arg_min(pos, pos) as any_pos,
   arg_min(pos, (office_num, pos)) filter (where source = 'Infobox') as office_pos, arg_min(pos, pos) filter (where code_1 <> '' and wiki <> '') as wiki_pos, arg_min(pos, (-conf, pos)) filter (where code_1 <> '') as conf_pos,
-  arg_min(pos, pos) filter (where source = 'Wiki short description') as sd_pos, arg_min(pos, (-prio, (wiki = '')::int, pos)) as prio_pos, arg_min(wiki, pos) filter (where wiki <> '') as first_wiki from p group by actor),
-r as (select *, case when n = 1 then 'only one code' when box_query = 'settlement' then 'a settlement has no role' when boxes = 1 then 'only one infobox entry' when boxes > 1 then 'first infobox office' when roles = 1 and wiki_roles > 0 then 'only one role, from an article'
-   when roles = 1 then 'only one role, highest confidence' when sd > 0 then 'short description' else 'role priority' end as reason from g),
-c as (select actor, reason, first_wiki, case reason when 'only one code' then any_pos when 'a settlement has no role' then box_pos when 'only one infobox entry' then office_pos when 'first infobox office' then office_pos when 'only one role, from an article' then wiki_pos
-   when 'only one role, highest confidence' then conf_pos when 'short description' then sd_pos else prio_pos end as pos from r),
+  arg_min(pos, pos) filter (where source = 'Wiki short description') as sd_pos, arg_min(pos, (-prio, (wiki = '')::int, pos)) as prio_pos, arg_min(wiki, (-prio, (wiki = '')::int, pos)) as prio_wiki, arg_min(wiki, pos) filter (where wiki <> '') as first_wiki from p group by actor),
+r as (select *, case when n = 1 then 'only one code' when box_query = 'settlement' then 'It''s a city/settlement, so no code1 applies' when boxes = 1 then 'Only one entry in the info box' when boxes > 1 then 'Picking highest priority Wiki info box title'
+   when roles = 1 and wiki_roles > 0 then 'only one unique code1, returning wiki code' when roles = 1 then 'only one unique code1: returning highest conf' when sd > 0 then 'Picking Wiki short description'
+   when lookups = 1 then 'Using pre-wiki lookup' when lookups > 1 and different_lookups = 1 then 'All pre-wiki lookups are the same' when prio_wiki <> '' then 'Ranked by code1 priority, returning wiki code' else 'Ranked by code1 priority, returning first' end as reason from g),
+c as (select actor, reason, first_wiki, case reason when 'only one code' then any_pos when 'It''s a city/settlement, so no code1 applies' then box_pos when 'Only one entry in the info box' then office_pos when 'Picking highest priority Wiki info box title' then office_pos
+   when 'only one unique code1, returning wiki code' then wiki_pos when 'only one unique code1: returning highest conf' then conf_pos when 'Picking Wiki short description' then sd_pos when 'Using pre-wiki lookup' then look_pos when 'All pre-wiki lookups are the same' then look_pos else prio_pos end as pos from r),
 b as (select actor, case when different = 1 then top when k.country <> '' then k.country else coalesce(top, '') end as best, k.country as known from known k left join top using (actor))
-select b.actor, case when reason = 'a settlement has no role' then '' else coalesce(p.code_1, '') end as code_1,
- case when reason is null then known when reason in ('only one code', 'a settlement has no role') then case when p.country <> '' then p.country when reason = 'only one code' then known else best end
-  when reason in ('only one infobox entry', 'first infobox office', 'short description') and p.code_1 = 'IGO' then 'IGO' else best end as country,
- coalesce(source, 'country only') as source, coalesce(case when p.wiki <> '' then p.wiki end, first_wiki, '') as wiki, coalesce(reason, 'country only') as best_reason
+select b.actor, case when reason = 'It''s a city/settlement, so no code1 applies' then '' else coalesce(p.code_1, '') end as code_1,
+ case when reason is null then known when reason in ('only one code', 'It''s a city/settlement, so no code1 applies') then case when p.country <> '' then p.country when reason = 'only one code' then known else best end
+  when reason in ('Only one entry in the info box', 'Picking highest priority Wiki info box title', 'Picking Wiki short description') and p.code_1 = 'IGO' then 'IGO' else best end as country,
+ coalesce(source, 'country only') as source, coalesce(case when p.wiki <> '' then p.wiki end, first_wiki, '') as wiki, coalesce(reason, '') as best_reason
 from b left join c using (actor) left join p on p.actor = c.actor and p.pos = c.pos where reason is not null or known <> ''""")
 def t21_pick_best_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, kind, user = F.col("event_id"), F.col("event_type"), F.col("user_id")
     rows = table(spark, sf_dir, "events")
-    codes = rows.where("event_id % 7 = 0 and (user_id % 3 > 0 or event_id % 5 = 0)").select(
+    source = F.when((user % 4 < 2) & (e % 11 > 0), "Direct match").when(e % 6 == 0, "Infobox").when(e % 6 == 1, "Wiki short description").when(e % 6 == 2, "Infobox Type").when(e % 6 == 3, "BERT matching on non-entity text").otherwise("Direct match")
+    codes = rows.select(
         user.alias("actor"), e.alias("pos"), F.when(kind == "view", "GOV").when(kind == "click", "MIL").when(kind == "error", "").when(kind == "signup", "IGO").otherwise("CVL").alias("code_1"), F.lit("").alias("code_2"),
-        F.when(e % 4 == 0, F.concat(F.lit("C"), (e % 3).cast("string"))).otherwise("").alias("country"), F.when(e % 6 == 0, "Infobox").when(e % 6 == 1, "Wiki short description").when(e % 6 == 2, "Infobox Type").otherwise("Direct match").alias("source"),
-        F.when(e % 12 == 2, "settlement").otherwise("q").alias("query"), F.col("value").alias("conf"), (e % 5).cast("int").alias("office_num"), F.when(e % 2 == 0, F.concat(F.lit("w"), e.cast("string"))).otherwise("").alias("wiki"),
+        F.when(e % 4 == 0, F.concat(F.lit("C"), (e % 3).cast("string"))).otherwise("").alias("country"), source.alias("source"),
+        F.when(e % 12 == 2, "settlement").otherwise("q").alias("query"), F.col("value").alias("conf"), (e % 5).cast("int").alias("office_num"), F.when((e % 2 == 0) & (user % 3 > 0), F.concat(F.lit("w"), e.cast("string"))).otherwise("").alias("wiki"),
     )
+    customers, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    single = customers.where(key % 2 == 0).select((1_000_000 + key).alias("actor"), key.alias("pos"), F.lit("GOV").alias("code_1"), F.lit("").alias("code_2"), F.lit("").alias("country"), F.lit("Direct match").alias("source"), F.lit("q").alias("query"), F.lit(0.5).alias("conf"), F.lit(0).alias("office_num"), F.lit("").alias("wiki"))
     known = rows.select(user.alias("actor"), F.when(user % 4 == 0, F.concat(F.lit("K"), (user % 2).cast("string"))).otherwise("").alias("country")).distinct()
-    return actors.pick_best_code(codes, known).select("actor", "code_1", "country", "source", "wiki", "best_reason")
+    known = known.unionByName(customers.select((1_000_000 + key).alias("actor"), F.when(key % 3 > 0, F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))).otherwise("").alias("country")))
+    return actors.pick_best_code(codes.unionByName(single), known).select("actor", "code_1", "country", "source", "wiki", "best_reason")
 
 
 @query("""
@@ -216,13 +224,21 @@ def t31_resolve_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select s_suppkey, case when s_suppkey % 3 = 1 then 'UN' else s_name end as core_entity, n_name as geographic_info, case s_suppkey % 3 when 0 then 'minister' when 1 then 'official' else 'right-wing leader party' end as role from supplier join nation on s_nationkey = n_nationkey""")
+select s_suppkey, case when s_suppkey % 5 in (1, 4) then 'UN' else s_name end as core_entity, n_name as geographic_info,
+ case s_suppkey % 5 when 0 then 'minister' when 1 then 'official' when 2 then 'right-wing leader party' when 3 then n_name || 'ian airport chief' else 'council' end as role from supplier join nation on s_nationkey = n_nationkey""")
 def t14_entity_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, name, nation = F.col("s_suppkey") % 3, F.col("s_name"), F.col("n_name")
+    """Mentions of all suppliers: a place before a role, a possessive, words that a role takes over, a place inside a longer word, a role after an organization."""
+    k, name, nation = F.col("s_suppkey") % 5, F.col("s_name"), F.col("n_name")
     person, place = F.struct(name.alias("text"), F.lit("PERSON").alias("label")), F.struct(nation.alias("text"), F.lit("GPE").alias("label"))
-    text = F.when(k == 0, F.concat(nation, F.lit(" minister "), name)).when(k == 1, F.concat(nation, F.lit("'s UN official"))).otherwise(F.concat(F.lit("right-wing leader "), name, F.lit(" of the "), nation, F.lit(" Party")))
+    text = (
+        F.when(k == 0, F.concat(nation, F.lit(" minister "), name))
+        .when(k == 1, F.concat(nation, F.lit("'s UN official")))
+        .when(k == 2, F.concat(F.lit("right-wing leader "), name, F.lit(" of the "), nation, F.lit(" Party")))
+        .when(k == 3, F.concat(nation, F.lit("ian airport chief "), name, F.lit(" of "), nation))
+        .otherwise(F.concat(nation, F.lit(" UN council")))
+    )
     rows = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    rows = rows.select("s_suppkey", text.alias("text"), F.when(k == 1, F.array(place)).otherwise(F.array(place, person)).alias("ents"), F.lit(None).cast("array<string>").alias("appositives"))
+    rows = rows.select("s_suppkey", text.alias("text"), F.when(k.isin(1, 4), F.array(place)).otherwise(F.array(place, person)).alias("ents"), F.lit(None).cast("array<string>").alias("appositives"))
     return mentions.split_mentions(rows).select("s_suppkey", "core_entity", "geographic_info", "role")
 
 
