@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -34,23 +35,60 @@ def merge_cases(redirects: DataFrame) -> DataFrame:
     return kept.select("target", F.array_sort(F.array_distinct(F.concat("redirects", F.coalesce("more", F.filter("redirects", lambda _: F.lit(False)))))).alias("redirects"))
 
 
+#: Fixed domain values: what a title of no article of its own holds, in the order of the checks, and where: at its start,
+#: at its end, or anywhere.
+UNWANTED_TITLES = [
+    ("end", ".jpg"),
+    ("end", ".png"),
+    ("anywhere", "-stub"),
+    ("start", "User"),
+    ("start", "Selected anniversaries"),
+    ("anywhere", "(Disambiguation)"),
+    ("anywhere", "(disambiguation)"),
+    ("anywhere", "Articles for deletion"),
+    ("start", "List "),
+    ("start", "Portal "),
+    ("anywhere", "Today's featured article"),
+    ("anywhere", "Featured article candidates"),
+    ("start", "Peer review/"),
+    ("start", "Requests for adminship/"),
+    ("start", "Featured list candidates/"),
+    ("start", "Sockpuppet investigations/"),
+]
+#: Fixed domain values: what an introduction of no article of its own holds, in the order of the checks, and where: at its
+#: start, anywhere, or among so many first characters.
+UNWANTED_INTROS = [
+    ("start", "REDIRECT"),
+    ("start", "#REDIRECT"),
+    ("start", "redirect"),
+    ("start", "#redirect"),
+    ("start", "Redirect"),
+    ("start", "#Redirect"),
+    ("anywhere", "Category:"),
+    ("start", "<noinclude>"),
+    (100, "may refer to"),
+    (100, "most often refers"),
+    (100, "most commonly refers"),
+    (100, "Portal:"),
+    (100, "portal:"),
+]
+
+
+def holds_any(text: Column, unwanted: list[tuple[str | int, str]]) -> Column:
+    """Whether text holds one of the phrases at the place given beside it."""
+    at = {"start": F.startswith, "end": F.endswith, "anywhere": F.contains}
+    hits = [at[where](text, F.lit(phrase)) if where in at else F.contains(F.substring(text, 1, where), F.lit(phrase)) for where, phrase in unwanted]
+    return reduce(lambda a, b: a | b, hits)
+
+
 def admissible_title(title: Column) -> Column:
     """Whether a page can be an article: no file, stub, user or maintenance page, list, portal or discussion."""
-    bad = (
-        title.rlike(r"\.(jpg|png)$")
-        | F.contains(title, F.lit("-stub"))
-        | title.rlike("^(User|Selected anniversaries|List |Portal |Categories for)")
-        | title.rlike(r"\([Dd]isambiguation\)")
-        | title.rlike("Articles for deletion|Today's featured article|Featured article candidates|Peer review/|Requests for adminship/|Featured list candidates/|Sockpuppet investigations/")
-    )
-    return F.coalesce((title != "") & ~bad, F.lit(False))
+    return F.coalesce((title != "") & ~holds_any(title, UNWANTED_TITLES), F.lit(False))
 
 
 def admissible_intro(intro: Column) -> Column:
     """Whether an introduction belongs to an article of its own: no redirect, category or list of meanings."""
-    head = F.substring(intro, 1, 100)
-    bad = intro.rlike(_REDIRECT) | intro.rlike(r"(?i)^redirect") | F.contains(intro, F.lit("Category:")) | F.contains(intro, F.lit("<noinclude>")) | head.rlike("may refer to|most often refers|most commonly refers|[Pp]ortal:")
-    return F.coalesce((F.trim(intro) != "") & ~bad, F.lit(False))
+    return F.coalesce((F.trim(intro) != "") & ~holds_any(intro, UNWANTED_INTROS), F.lit(False))
 
 
 def attach_redirects(articles: DataFrame, redirects: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventloom.operators.knowledge import holds_any
+
 
 @dataclass(frozen=True)
 class Field:
@@ -79,9 +81,34 @@ def recall_at(hits: DataFrame, gold: DataFrame, cutoffs: list[int]) -> DataFrame
     return at.groupBy("k").agg(F.avg((F.col("article_id").isNull() | F.coalesce(F.col("rank") <= F.col("k"), F.lit(False))).cast("int")).alias("recall"))
 
 
+#: Fixed domain values: what the title of no actor's article holds, in the order of the checks, and where.
+UNWANTED_TITLES = [
+    ("anywhere", "stub:"),
+    ("anywhere", "User:"),
+    ("anywhere", "Wikipedia:"),
+    ("start", "Wikipedia:"),
+    ("start", "Talk:"),
+    ("anywhere", "disambiguation"),
+    ("start", "Template:"),
+    ("start", "Category:"),
+    ("start", "Portal:"),
+]
+#: Fixed domain values: what the introduction of no actor's article holds, in the order of the checks, and among how many
+#: first characters.
+UNWANTED_INTROS = [
+    (50, "Category:"),
+    (50, "is the name of"),
+    (50, "may refer to"),
+    (40, "is used as an abbreviation for"),
+    (50, "can refer to"),
+    (50, "most commonly refers to"),
+    (80, "usually refers to"),
+    (80, "may stand for"),
+    (50, "is a surname"),
+]
+
+
 def good_article(title: Column, intro: Column) -> Column:
     """Whether a retrieved article can be an actor: no maintenance page, no list of meanings, and an introduction of some length."""
-    bad_title = title.rlike(r"(stub|User|Wikipedia):") | title.rlike(r"^(Wikipedia|Talk|Template|Category|Portal):") | F.contains(title, F.lit("disambiguation"))
-    begins = lambda n, *phrases: F.greatest(*[F.contains(F.substring(intro, 1, n), F.lit(p)) for p in phrases]) if len(phrases) > 1 else F.contains(F.substring(intro, 1, n), F.lit(phrases[0]))
-    bad_intro = begins(50, "Category:", "is the name of", "may refer to", "can refer to", "most commonly refers to", "is a surname") | begins(40, "is used as an abbreviation for") | begins(80, "usually refers to", "may stand for")
-    return F.coalesce(~bad_title & ~bad_intro & (F.length(intro) > 50) & (F.trim(intro) != ""), F.lit(False))
+    bad = holds_any(title, UNWANTED_TITLES) | holds_any(intro, UNWANTED_INTROS)
+    return F.coalesce(~bad & (F.length(intro) > 50) & (F.trim(intro) != ""), F.lit(False))

@@ -78,14 +78,18 @@ def f1_good_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages(spark, sf_dir).where(retrieval.good_article(F.col("title"), F.col("intro"))).select("page_id", "title")
 
 
-_TITLES = ["a.jpg", "b.png", "x-stub", "User x", "Selected anniversaries", "M (disambiguation)", "Articles for deletion", "List of", "Portal x", "Peer review/x", "Categories for", "", "plain"]
-_INTROS = ["", "#REDIRECT [[A]]", "redirect to", "Category: x", "<noinclude>", "It may refer to", "x portal: y", "text"]
+_TITLES = ["a.jpg", "b.png", "x-stub", "User x", "Selected anniversaries", "M (disambiguation)", "Articles for deletion", "List of", "Portal x", "Peer review/x", "Requests for adminship/x", "Featured list candidates/x", "Sockpuppet investigations/x", "", "On Peer review/x", "The List of", "a Portal x", "x Sockpuppet investigations/", "Categories for", "a.jpg file", "plain"]
+_INTROS = ["", "#REDIRECT [[A]]", "redirect to", "It is in Category: x", "<noinclude>", "It may refer to", "x portal: y", "see <noinclude>", "#ReDirect", "a redirect", "text"]
+_ADMITTED = r"""
+with t as (select page_id, list_extract({titles}, (page_id % {n} + 1)::int) as title, list_extract({intros}, (page_id % {m} + 1)::int) as intro from pages)
+select page_id, title <> '' and not regexp_matches(title, '\.(jpg|png)$|-stub|^(User|Selected anniversaries)|\([Dd]isambiguation\)|Articles for deletion|^List |^Portal |Today''s featured article|Featured article candidates|^Peer review/|^Requests for adminship/|^Featured list candidates/|^Sockpuppet investigations/') as title_ok,
+ intro <> '' and not regexp_matches(intro, '^#?(REDIRECT|redirect|Redirect)|Category:|^<noinclude>') and not regexp_matches(substr(intro, 1, 100), 'may refer to|most often refers|most commonly refers|[Pp]ortal:') as intro_ok from t"""
 
 
-@query(f"select page_id, page_id % 13 = 12 as title_ok, page_id % 8 = 7 as intro_ok from pages where {len(_TITLES)} = 13 and {len(_INTROS)} = 8")
+@query(_ADMITTED.format(titles=_TITLES, n=len(_TITLES), intros=_INTROS, m=len(_INTROS)))
 def f2_f3_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
-    title = F.element_at(F.array(*map(F.lit, _TITLES)), (F.col("page_id") % 13 + 1).cast("int"))
-    intro = F.element_at(F.array(*map(F.lit, _INTROS)), (F.col("page_id") % 8 + 1).cast("int"))
+    title = F.element_at(F.array(*map(F.lit, _TITLES)), (F.col("page_id") % len(_TITLES) + 1).cast("int"))
+    intro = F.element_at(F.array(*map(F.lit, _INTROS)), (F.col("page_id") % len(_INTROS) + 1).cast("int"))
     return table(spark, sf_dir, "pages").select("page_id", knowledge.admissible_title(title).alias("title_ok"), knowledge.admissible_intro(intro).alias("intro_ok"))
 
 
@@ -130,9 +134,9 @@ _MARKUP = "{{Short description|A %s thing}}\n{{Infobox widget\n| name = %s\n| al
 
 @query("""
 select p_partkey::varchar as title, 'A ' || p_type || ' thing' as short_desc, 'widget' as box_type, list_sort(list_distinct([p_name, 'x' || p_brand, 'y'])) as alternative_names, ['Things', p_brand] as categories, p_name || ' is a widget of some importance to everybody.' as intro_para, 3::bigint as infobox_keys,
- [(p_partkey + 1)::varchar || 'r'] as redirects from part where p_partkey < 300""")
+ [(p_partkey + 1)::varchar || 'r'] as redirects from part""")
 def t28_p10_p12_knowledge_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").where("p_partkey < 300")
+    part = table(spark, sf_dir, "part")
     key = F.col("p_partkey").cast("string")
     pages = part.select(key.alias("title"), F.format_string(_MARKUP, "p_type", "p_name", "p_brand", "p_name", "p_brand").alias("text"))
     redirects = part.select(F.concat((F.col("p_partkey") + 1).cast("string"), F.lit("r")).alias("title"), F.concat(F.lit("#REDIRECT [["), key, F.lit("]]")).alias("text"))
@@ -192,7 +196,7 @@ def w2_choose_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.choose_by_model(_scores(spark, sf_dir), F.col("title_sim"))
 
 
-_FRAME_SQL = """(select p_brand as task, p_partkey as rank, split_part(p_name, ' ', 1) as query, p_name as title, p_type as country, p_type || ' made by ' || p_brand as intro_para, case when p_partkey % 2 = 0 then [p_type, p_name] end as names from part where p_partkey < 500)"""
+_FRAME_SQL = """(select p_brand as task, p_partkey as rank, split_part(p_name, ' ', 1) as query, p_name as title, p_type as country, p_type || ' made by ' || p_brand as intro_para, case when p_partkey % 2 = 0 then [p_type, p_name] end as names from part)"""
 
 
 @query(f"""
@@ -200,5 +204,5 @@ select task, rank, (title in (query, upper(query)))::int as exact_title_match, c
  round(1 - levenshtein(query, title) / greatest(length(query), length(title)), 6) as levenshtein, (row_number() over (partition by task order by 1 - levenshtein(query, title) / greatest(length(query), length(title)) desc, rank) = 1)::int as best_lev from {_FRAME_SQL}""")
 def a9_a10_w3_score_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.when(F.col("p_partkey") % 2 == 0, F.array("p_type", "p_name"))
-    rows = table(spark, sf_dir, "part").where("p_partkey < 500").select(F.col("p_brand").alias("task"), F.col("p_partkey").alias("rank"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("query"), F.col("p_name").alias("title"), F.col("p_type").alias("country"), F.concat("p_type", F.lit(" made by "), "p_brand").alias("intro_para"), F.lit(None).cast("string").alias("short_desc"), names.alias("alternative_names"), F.lit(None).cast("array<string>").alias("redirects"), F.lit(None).cast("string").alias("infobox_name"))
+    rows = table(spark, sf_dir, "part").select(F.col("p_brand").alias("task"), F.col("p_partkey").alias("rank"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("query"), F.col("p_name").alias("title"), F.col("p_type").alias("country"), F.concat("p_type", F.lit(" made by "), "p_brand").alias("intro_para"), F.lit(None).cast("string").alias("short_desc"), names.alias("alternative_names"), F.lit(None).cast("array<string>").alias("redirects"), F.lit(None).cast("string").alias("infobox_name"))
     return ranking.score_candidates(rows).select("task", "rank", "exact_title_match", "country_match", "alt_names_count", "intro_length", "num_es_results", F.round("levenshtein", 6).alias("levenshtein"), "best_lev")
