@@ -41,9 +41,13 @@ def clean_query(text: Column) -> Column:
 
 
 def title_case(text: Column) -> Column:
-    """Every run of letters begins with a capital and goes on in lower case (initcap looks at white space only)."""
+    """Every run of letters begins with a capital and goes on in lower case (initcap looks at white space only).
+
+    A first letter whose capital has several letters, as that of an eszett, keeps the first of them large.
+    """
     runs = F.regexp_extract_all(text, F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substr(r, F.lit(2))))), "")
+    first = lambda r: F.upper(F.substring(r, 1, 1))
+    return F.array_join(F.transform(runs, lambda r: F.concat(F.substring(first(r), 1, 1), F.lower(F.substr(first(r), F.lit(2))), F.lower(F.substr(r, F.lit(2))))), "")
 
 
 def levenshtein_similarity(a: Column, b: Column) -> Column:

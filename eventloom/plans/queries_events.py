@@ -105,17 +105,14 @@ def j2_codebook_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.codebook_lookup(rows, book).select("c_custkey", "event_def", "mode_def")
 
 
-_SPANS_SQL = """(select l_orderkey, list({'n': l_linenumber, 's': l_linenumber * 10, 'e': l_linenumber * 10 + l_quantity::int, 'score': l_discount * 10} order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount) as ents from lineitem group by l_orderkey)"""
-
-
-@query(f"""
-with e as (select o_orderkey, case when o_orderkey % 7 > 0 then o_orderkey % 60 end as s, ents from orders left join {_SPANS_SQL} on o_orderkey = l_orderkey),
-u as (select o_orderkey, s, s + 12 as t, ents, unnest(ents) as x, generate_subscripts(ents, 1) as i from e where s is not null),
-o as (select o_orderkey, i, x, greatest(least(t, x.e) - greatest(s, x.s), 0) as inter, 12 + x.e - x.s as total from u),
-b as (select o_orderkey, inter / (total - inter) as iou, i, x.score as score, x.n as n from o qualify row_number() over (partition by o_orderkey order by inter / (total - inter) desc, i) = 1)
-select e.o_orderkey as event_id, round(b.iou, 9) as overlap, case when s is null then 'No location attribute' when ents is null then 'No place was geolocated: entities are missing'
-  when b.iou < 0.5 then 'The location doesn''t overlap enough with any place' when b.score > 0.3 then 'A place overlaps' else 'A place overlaps but its score is too low' end as reason,
- case when s is not null and b.iou >= 0.5 and b.score > 0.3 then b.n end as place from e left join b using (o_orderkey)""")
+@query("""
+with e as (select o_orderkey, case when o_orderkey % 7 > 0 then o_orderkey % 60 end as s from orders),
+x as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_linenumber * 10 as f, l_linenumber * 10 + l_quantity::int as t from lineitem),
+o as (select o_orderkey, greatest(least(s + 12, t) - greatest(s, f), 0) / (greatest(12 + t - f - greatest(least(s + 12, t) - greatest(s, f), 0), 1))::double as iou, l_linenumber as n, l_partkey, l_suppkey, l_quantity, l_discount from e join x on o_orderkey = l_orderkey),
+b as (select o_orderkey, max(iou) as iou, arg_max({'n': n, 'd': l_discount}, (iou, -n, -l_partkey, -l_suppkey, -l_quantity, -l_discount)) as p from o where iou is not null group by o_orderkey)
+select e.o_orderkey as event_id, case when s is not null then round(iou, 9) end as overlap, case when s is null then 'No location attribute' when iou is null then 'No place was geolocated: entities are missing'
+  when iou < 0.5 then 'The location doesn''t overlap enough with any place' when p.d * 10 > 0.3 then 'A place overlaps' else 'A place overlaps but its score is too low' end as reason,
+ case when s is not null and iou >= 0.5 and p.d * 10 > 0.3 then p.n end as place from e left join b using (o_orderkey)""")
 def t25_event_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     entity = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount")

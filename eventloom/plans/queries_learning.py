@@ -92,7 +92,7 @@ def m3_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventloom.plans.queries_articles import _scores
 
     features = ["exact_title_match", "redirect_match", "title_sim", "context_sim_intro", "alt_names_count", "intro_length"]
-    scores = _scores(spark, sf_dir).where("task < 300").withColumn("correct", ((F.col("exact_title_match") == 1) & (F.col("title_sim") > 0.3)).cast("double"))
+    scores = _scores(spark, sf_dir).withColumn("correct", ((F.col("exact_title_match") == 1) & (F.col("title_sim") > 0.3)).cast("double"))
     model = learning.fit_ranker(scores, features, trees=5, depth=3)
     ranked = learning.ranker_probability(model, scores)
     return choose_by_model(ranked, F.col("probability")).select("task", "article_id", F.round("probability", 4).alias("probability"))

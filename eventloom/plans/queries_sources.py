@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from datetime import datetime
 
@@ -15,8 +16,11 @@ from eventloom.streaming.stories import event_stream, story_stream
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the shared folder of spark.checkpoint.dir; a local one only where that is unset."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints'}/scratch-{uuid.uuid4().hex}"
+    """A new path in the shared folder of spark.checkpoint.dir; where that is unset a local one, in a local session alone."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{shared or '/tmp/checkpoints'}/scratch-{uuid.uuid4().hex}"
 
 
 def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
