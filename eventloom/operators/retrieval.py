@@ -1,10 +1,11 @@
-"""Scored full-text retrieval on inverted-index tables (BM25 and token-overlap fields)."""
+"""Scored full-text retrieval on inverted-index tables: BM25 and token-overlap fields, exact words, required terms, importance."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventloom.operators.knowledge import holds_any
@@ -12,16 +13,42 @@ from eventloom.operators.knowledge import holds_any
 
 @dataclass(frozen=True)
 class Field:
-    """A searched field: its weight, whether matches count alike (boolean) or by BM25, and whether its column is an array."""
+    """A searched field.
+
+    boost weighs a match of the query's words, exact one of the query as it stands with a single word of the field. A
+    boolean field counts matches alike, others by BM25. An array's items are searched together; in a whole field each
+    item, or the text itself, is one word, as it stands.
+    """
 
     name: str
     boost: float
+    exact: float = 0.0
     boolean: bool = False
     array: bool = False
+    whole: bool = False
 
 
 #: Fixed domain values: the boosts of the default query.
-DEFAULT_FIELDS = [Field("title", 50), Field("redirects", 50, boolean=True, array=True), Field("alternative_names", 20, array=True), Field("intro_para", 5), Field("short_desc", 10)]
+DEFAULT_FIELDS = [
+    Field("title", 50, exact=250),
+    Field("redirects", 50, exact=100, boolean=True, array=True),
+    Field("alternative_names", 20, exact=100, array=True),
+    Field("intro_para", 5),
+    Field("short_desc", 10),
+]
+#: Fixed domain values: the boosts of a term that an article must hold besides.
+REQUIRED_FIELDS = [
+    Field("title", 100),
+    Field("redirects", 100, boolean=True, array=True),
+    Field("alternative_names", 1, array=True),
+    Field("intro_para", 1),
+    Field("categories", 1, array=True, whole=True),
+    Field("infobox", 1, array=True, whole=True),
+]
+#: Fixed domain values: what an article gains by the number of its redirects, categories and alternative names.
+IMPORTANCE = [("redirects", 5, 5), ("redirects", 10, 30), ("redirects", 20, 100), ("categories", 5, 3), ("categories", 10, 50), ("alternative_names", 2, 2), ("alternative_names", 5, 10)]
+#: Fixed domain values: what an article gains by having an infobox and a short description.
+PRESENCE = [("infobox", 3), ("short_desc", 2)]
 K1, B = 1.2, 0.75
 
 
@@ -32,48 +59,99 @@ def tokens(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Index:
-    """postings(field, token, article_id, tf), lengths(field, article_id, len), frequencies(field, token, df) and totals(field, n, mean_len)."""
+    """postings(field, token, article_id, impact) and frequencies(field, token, idf).
+
+    impact is what a posting brings in a field of boost 1 for an idf of 1: the part of BM25 that depends on the article
+    alone. So a search reads one table and adds up products; lengths and means aren't looked up again. In boolean fields
+    both numbers are 1.
+    """
 
     postings: DataFrame
-    lengths: DataFrame
     frequencies: DataFrame
-    totals: DataFrame
 
 
 def build_index(articles: DataFrame, fields: list[Field]) -> Index:
-    """The tables of an inverted index over articles(article_id, fields). Write them, clustered by token, to search often."""
-    text = lambda f: F.array_join(f.name, " ") if f.array else F.col(f.name)
-    per_field = F.array(*[F.struct(F.lit(f.name).alias("field"), tokens(F.coalesce(text(f), F.lit(""))).alias("tokens")) for f in fields])
-    split = articles.select("article_id", F.explode(per_field).alias("f")).select("article_id", "f.field", "f.tokens").where(F.size("tokens") > 0)
-    postings = split.select("article_id", "field", F.explode("tokens").alias("token")).groupBy("field", "token", "article_id").agg(F.count("*").alias("tf"))
-    lengths = split.select("field", "article_id", F.size("tokens").alias("len"))
-    return Index(postings, lengths, postings.groupBy("field", "token").agg(F.count("*").alias("df")), lengths.groupBy("field").agg(F.count("*").alias("n"), F.avg("len").alias("mean_len")))
+    """The tables of an inverted index over articles(article_id, fields). write_index() them to search more than once."""
 
+    def words(f: Field) -> Column:
+        items = F.col(f.name) if f.array else F.array(f.name)
+        if f.whole:
+            return F.filter(F.coalesce(items, F.array().cast("array<string>")), lambda x: F.coalesce(x, F.lit("")) != "")
+        return tokens(F.coalesce(F.array_join(items, " "), F.lit("")))
 
-def search(queries: DataFrame, index: Index, fields: list[Field], k: int = 200, required: DataFrame | None = None) -> DataFrame:
+    unique = list({f.name: f for f in fields}.values())
+    flat = lambda which: F.col("field").isin(*[f.name for f in unique if which(f)] or [""])
+    per_field = F.array(*[F.struct(F.lit(f.name).alias("field"), words(f).alias("tokens")) for f in unique])
+    split = articles.select("article_id", F.explode(per_field).alias("f")).select("article_id", "f.field", "f.tokens").where(F.size("tokens") > 0)
+    counted = split.select("article_id", "field", F.size("tokens").alias("len"), F.explode("tokens").alias("token")).groupBy("field", "token", "article_id").agg(F.count("*").alias("tf"), F.first("len").alias("len"))
+    totals = split.groupBy("field").agg(F.count("*").alias("n"), F.avg(F.size("tokens")).alias("mean_len"))  # a row per field
+    boolean, whole = flat(lambda f: f.boolean), flat(lambda f: f.whole)
+    norm = F.when(whole, 1.0).otherwise(1 - B + B * F.col("len") / F.col("mean_len"))
+    impact = F.when(boolean, 1.0).otherwise(F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * norm))
+    idf = F.when(boolean, 1.0).otherwise(F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)))
+    postings = counted.join(F.broadcast(totals), "field").select("field", "token", "article_id", impact.alias("impact"))
+    frequencies = counted.groupBy("field", "token").agg(F.count("*").alias("df")).join(F.broadcast(totals), "field").select("field", "token", idf.alias("idf"))
+    return Index(postings, frequencies)
+
+
+def write_index(index: Index, path: str) -> None:
+    """Writes an index; postings are clustered by token, so that a search for few words skips most row groups."""
+    index.postings.repartitionByRange("token", "article_id").sortWithinPartitions("token").write.mode("overwrite").parquet(f"{path}/postings")
+    postings = index.postings.sparkSession.read.parquet(f"{path}/postings")
+    index.frequencies.write.mode("overwrite").parquet(f"{path}/frequencies")
+    if not {"field", "token", "article_id", "impact"} <= set(postings.columns):
+        raise ValueError("the written index lacks columns")
+
+
+def read_index(spark: SparkSession, path: str) -> Index:
+    """A written index; one without the expected columns is refused."""
+    index = Index(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/frequencies"))
+    missing = {"field", "token", "article_id", "impact"} - set(index.postings.columns) | {"field", "token", "idf"} - set(index.frequencies.columns)
+    if missing:
+        raise ValueError(f"no usable index at {path}: {', '.join(sorted(missing))} missing")
+    return index
+
+
+def _clauses(queries: DataFrame, text: str, fields: list[Field], required: bool) -> DataFrame:
+    """(query_id, required, field, token, boost): a row for each word of a query and field, and for the query as it stands."""
+    whole = lambda boost, f: F.when(F.col(text) != "", F.array(F.struct(F.lit(f.name).alias("field"), F.col(text).alias("token"), F.lit(float(boost)).alias("boost"))))
+    analysed = lambda f: F.transform(F.array_distinct(tokens(F.col(text))), lambda t: F.struct(F.lit(f.name).alias("field"), t.alias("token"), F.lit(float(f.boost)).alias("boost")))
+    parts = [whole(f.boost, f) if f.whole else analysed(f) for f in fields] + [whole(f.exact, f) for f in fields if f.exact]
+    none = F.expr("cast(array() as array<struct<field:string,token:string,boost:double>>)")
+    return queries.select("query_id", F.lit(required).alias("required"), F.explode(F.concat(*[F.coalesce(p, none) for p in parts])).alias("c")).select("query_id", "required", "c.*")
+
+
+def search(queries: DataFrame, index: Index, fields: list[Field], k: int = 200, required: DataFrame | None = None, required_fields: list[Field] = REQUIRED_FIELDS, importance: DataFrame | None = None) -> DataFrame:
     """(query_id, article_id, score, rank): the k best articles for each of queries(query_id, query).
 
-    The score is the sum over fields and tokens of boost times BM25, or of the boost alone in boolean fields. Query
-    tokens meet postings in an equi join; scores are summed per partition before they shuffle by query and article, and
-    the rank filter is pushed into the window, so each partition sorts k rows a query. Equal scores rank by article_id.
-    With required(query_id, term) an article must also hold a token of the term in one of the fields.
+    The score is the sum, over fields and the query's words, of boost times BM25, or of the boost alone in boolean fields,
+    and of the exact boost where the query itself is a word of the field. With required(query_id, term) an article must
+    match the term too, in required_fields, and its score there is added. importance(article_id, bonus) adds a bonus to
+    articles that match. Clauses are few, so Spark broadcasts them if they are small enough, and postings meet them in
+    one pass; products are summed per partition before they shuffle by query and article, and the rank filter is pushed
+    into the window, so each partition sorts k rows a query. Equal scores rank by article_id.
     """
-    weights = F.create_map(*[F.lit(x) for f in fields for x in (f.name, float(f.boost))])
-    boolean = F.col("field").isin(*[f.name for f in fields if f.boolean] or [""])
-    wanted = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("token"))
-    priced = index.frequencies.join(F.broadcast(index.totals), "field")  # a row per field
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    terms = wanted.join(priced.select("field", "token", "mean_len", idf.alias("idf")), "token")
-    hits = terms.join(index.postings, ["field", "token"]).join(index.lengths, ["field", "article_id"])
-    bm25 = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("mean_len")))
-    scored = hits.groupBy("query_id", "article_id").agg(F.sum(F.try_element_at(weights, F.col("field")) * F.when(boolean, 1.0).otherwise(bm25)).alias("score"))
+    clauses = _clauses(queries, "query", fields, False)
     if required is not None:
-        needed = required.select("query_id", F.explode(F.array_distinct(tokens(F.col("term")))).alias("token")).join(index.postings, "token").select("query_id", "article_id").distinct()
-        scored = scored.join(needed, ["query_id", "article_id"], "left_semi")
+        clauses = clauses.unionByName(_clauses(required, "term", required_fields, True))
+    terms = clauses.join(index.frequencies, ["field", "token"]).select("query_id", "required", "field", "token", (F.col("boost") * F.col("idf")).alias("weight"))
+    hits = terms.join(index.postings, ["field", "token"])
+    scored = hits.groupBy("query_id", "article_id").agg(F.sum(F.col("weight") * F.col("impact")).alias("score"), F.max("required").alias("held"), F.min("required").alias("only"))
+    scored = scored.where("not only" if required is None else "held and not only").select("query_id", "article_id", "score")
+    if importance is not None:
+        scored = scored.join(importance, "article_id", "left").select("query_id", "article_id", (F.col("score") + F.coalesce("bonus", F.lit(0.0))).alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "article_id")
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
+def importance_bonus(redirects: Column, categories: Column, alternative_names: Column, infobox: Column, short_desc: Column) -> Column:
+    """What an article gains by its importance: by the sizes of its lists, and for having an infobox or a short description."""
+    sizes = {"redirects": F.coalesce(F.size(redirects), F.lit(0)), "categories": F.coalesce(F.size(categories), F.lit(0)), "alternative_names": F.coalesce(F.size(alternative_names), F.lit(0))}
+    has = {"infobox": F.coalesce(F.size(infobox), F.lit(0)) > 0, "short_desc": F.coalesce(short_desc, F.lit("")) != ""}
+    gains = [F.when(sizes[f] >= least, float(boost)).otherwise(0.0) for f, least, boost in IMPORTANCE] + [F.when(has[f], float(boost)).otherwise(0.0) for f, boost in PRESENCE]
+    return reduce(lambda a, b: a + b, gains)
+
+
 def recall_at(hits: DataFrame, gold: DataFrame, cutoffs: list[int]) -> DataFrame:
     """(k, recall): the share of gold(query_id, article_id) found among the first k hits; a null gold article counts as found."""
     ranked = gold.join(hits.select("query_id", "article_id", "rank"), ["query_id", "article_id"], "left")

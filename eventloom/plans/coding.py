@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.dates import resolve_dates
-from eventloom.functions.text import clean_query, exact_title
-from eventloom.operators import actors, events, retrieval
+from eventloom.functions.text import clean_query
+from eventloom.operators import actors, events, ranking, retrieval
+from eventloom.sources.sinks import checkpointed
 
 
 @dataclass(frozen=True)
@@ -47,13 +48,21 @@ def _cleaned(column: str) -> Column:
 
 
 def query_wiki(queries: DataFrame, articles: DataFrame, k: int = 50) -> DataFrame:
-    """(query_id, title, date): the article that each of queries(query_id, query, date) names: among the k best hits the first with that title."""
+    """(query_id, title, date): the article that each of queries(query_id, query, date) names, if one does.
+
+    Each different text is searched once. Of its k best hits that can be actors, the rules of precedence choose
+    (ranking.choose_by_rules), over flags and name similarities; similarities that encoders would give count 0 unless
+    articles bring them.
+    """
     numbered = articles.where(retrieval.good_article(F.col("title"), F.col("intro_para"))).withColumn("article_id", F.col("title"))
     fields = retrieval.DEFAULT_FIELDS
-    hits = retrieval.search(queries, retrieval.build_index(numbered, fields), fields, k)
-    named = hits.join(queries, "query_id").join(numbered.select("article_id", "title", "redirects"), "article_id")
-    match = exact_title(F.col("query"), F.lit(None).cast("string"), F.col("title")) | F.coalesce(F.array_contains("redirects", F.col("query")), F.lit(False))
-    return actors.rank_first(named.where(match), ["query_id"], F.col("rank")).select("query_id", "title", "date")
+    texts = queries.select(F.col("query").alias("query_id"), "query").distinct()
+    hits = retrieval.search(texts, retrieval.build_index(numbered, fields), fields, k)
+    named = hits.withColumnRenamed("query_id", "task").join(numbered.select("article_id", "title", "redirects", "alternative_names", "infobox", "intro_para", "short_desc"), "article_id")
+    frame = ranking.score_candidates(named.withColumns({"query": F.col("task"), "country": F.lit(None).cast("string"), "infobox_name": F.try_element_at("infobox", F.lit("name"))}))
+    outside = {c: F.lit(0.0) for c in ("title_sim", "context_sim_intro", "context_sim_short", "actor_desc_sim_intro", "actor_desc_sim_short")}
+    chosen = ranking.choose_by_rules(frame.withColumns(outside).withColumn("has_context", F.lit(False)))
+    return queries.join(chosen.select(F.col("task").alias("query"), F.col("article_id").alias("title")), "query").select("query_id", "title", "date")
 
 
 def article_roles(linked: DataFrame, articles: DataFrame, dims: Dimensions) -> DataFrame:
@@ -72,17 +81,19 @@ def article_roles(linked: DataFrame, articles: DataFrame, dims: Dimensions) -> D
     return shape(current, 0).unionByName(former).unionByName(shape(coded.where("n = -1"), 1))
 
 
-def code_events(stories: DataFrame, answers: DataFrame, places: DataFrame, dims: Dimensions, articles: DataFrame | None = None) -> DataFrame:
+def code_events(stories: DataFrame, answers: DataFrame, places: DataFrame, dims: Dimensions, articles: DataFrame | None = None, folder: str | None = None) -> DataFrame:
     """Coded events: a row per story, type and mode with its actors' and recipients' codes, place and date.
 
     answers(event_id, response) are the extractor's texts, places(orig_id, geo_ents) the geoparser's entities with spans;
-    both come from models outside and are inputs here.
+    both come from models outside and are inputs here. With a folder that all executors share, the lengthened stories, the
+    parsed answers and the coded mentions are written there once, instead of being computed in each branch that uses them.
     """
-    lengthened = events.lengthen_stories(stories)
+    kept = (lambda df: checkpointed(df, folder)) if folder else (lambda df: df)
+    lengthened = kept(events.lengthen_stories(stories))
     parsed = events.parse_answers(answers)
-    long = events.attribute_rows(parsed).join(lengthened.select(F.col("id").alias("event_id"), "pub_date", "event_text"), "event_id")
+    long = kept(events.attribute_rows(parsed).join(lengthened.select(F.col("id").alias("event_id"), "pub_date", "event_text"), "event_id"))
     people = long.where(F.col("attr_type").isin("ACTOR", "RECIP")).withColumn("date", F.col("pub_date"))
-    coded = people.join(agent_to_code(people, dims, articles), ["text", "date"], "left").select("event_id", "attr_type", "pos", "text", F.coalesce("country", F.lit("")).alias("country"), F.coalesce("code_1", F.lit("")).alias("code_1"), F.coalesce("wiki", F.lit("")).alias("wiki"))
+    coded = people.join(kept(agent_to_code(people, dims, articles)), ["text", "date"], "left").select("event_id", "attr_type", "pos", "text", F.coalesce("country", F.lit("")).alias("country"), F.coalesce("code_1", F.lit("")).alias("code_1"), F.coalesce("wiki", F.lit("")).alias("wiki"))
     named = events.country_names(coded, dims.countries)
     row = F.struct("pos", "text", "country", "code_1", "wiki", "country_name")
     of = lambda t, name: F.array_sort(F.collect_list(F.when(F.col("attr_type") == t, row))).alias(name)

@@ -7,55 +7,107 @@ from pyspark.sql import functions as F
 
 from eventloom.operators import knowledge, ranking, retrieval
 from eventloom.operators.retrieval import Field
-from eventloom.plans.registry import query, table
+from eventloom.plans.registry import query, scratch, table
 
-_FIELDS = [Field("title", 50), Field("redirects", 50, boolean=True, array=True), Field("intro_para", 5)]
+_FIELDS = retrieval.DEFAULT_FIELDS + [f for f in retrieval.REQUIRED_FIELDS if f.whole]
 
 
 def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as articles: the first line is the title, the language and source are redirects."""
-    lines = F.split("text", "\n")
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("article_id"), lines[0].alias("title"), F.array("lang", "source").alias("redirects"), F.col("text").alias("intro_para"))
+    """Documents as articles: the first line is the title, language and source are redirects and categories."""
+    line = F.split("text", "\n")[0]
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("article_id"), line.alias("title"), F.array("lang", "source").alias("redirects"), F.array(F.substring_index(line, " ", 2), F.col("lang")).alias("alternative_names"),
+        F.substring("text", 1, 80).alias("short_desc"), F.col("text").alias("intro_para"), F.array("source", F.concat("lang", F.lit("/"), "source")).alias("categories"), F.array(F.concat(F.lit("lang="), "lang")).alias("infobox"),
+    )
+
+
+def _index(spark: SparkSession, sf_dir: str) -> retrieval.Index:
+    path = scratch(spark)
+    retrieval.write_index(retrieval.build_index(_articles(spark, sf_dir), _FIELDS), path)
+    return retrieval.read_index(spark, path)
 
 
 def _queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.concat("text", F.lit(" src3")).alias("query"))
+    """Items with a source's name behind them; every fourth is that name alone, which is an exact word of articles."""
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.when(F.col("item_id") % 4 == 0, "src3").otherwise(F.concat("text", F.lit(" src3"))).alias("query"))
 
 
 _INDEX_SQL = r"""
-articles as (select doc_id as article_id, string_split(text, chr(10))[1] as title, lang || ' ' || source as redirects, text as intro_para from documents),
-fields as (select article_id, 'title' as field, title as t from articles union all select article_id, 'redirects', redirects from articles union all select article_id, 'intro_para', intro_para from articles),
-toks as (select article_id, field, unnest(list_filter(regexp_split_to_array(lower(t), '[^\pL\pN]+'), lambda x: x <> '')) as token from fields),
+articles as (select doc_id as article_id, string_split(text, chr(10))[1] as title, lang, source, text from documents),
+fields as (select article_id, 'title' as field, title as t from articles union all select article_id, 'redirects', lang || ' ' || source from articles
+ union all select article_id, 'alternative_names', array_to_string(list_slice(string_split(title, ' '), 1, 2), ' ') || ' ' || lang from articles union all select article_id, 'intro_para', text from articles union all select article_id, 'short_desc', substr(text, 1, 80) from articles),
+toks as (select article_id, field, unnest(list_filter(regexp_split_to_array(lower(t), '[^\pL\pN]+'), lambda x: x <> '')) as token from fields
+ union all select article_id, 'categories', unnest([source, lang || '/' || source]) from articles union all select article_id, 'infobox', 'lang=' || lang from articles),
 postings as (select field, token, article_id, count(*) as tf from toks group by all), lengths as (select field, article_id, sum(tf) as len from postings group by all),
 dfs as (select field, token, count(*) as df from postings group by all), totals as (select field, count(*) as n, avg(len) as mean_len from lengths group by all),
-queries as (select item_id as query_id, unnest(list_distinct(list_filter(regexp_split_to_array(lower(text || ' src3'), '[^\pL\pN]+'), lambda x: x <> ''))) as token from benchmark),
-scored as (select query_id, article_id, sum(case field when 'title' then 50 when 'redirects' then 50 else 5 end * case when field = 'redirects' then 1 else ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * len / mean_len)) end) as score
-  from queries join dfs using (token) join totals using (field) join postings using (field, token) join lengths using (field, article_id) group by all)"""
-
-
-@query(f"with {_INDEX_SQL} select query_id, article_id, round(score, 4) as score from scored qualify row_number() over (partition by query_id order by round(score, 9) desc, article_id) <= 10")
+q as (select item_id as query_id, case when item_id % 4 = 0 then 'src3' else text || ' src3' end as query from benchmark),
+boosts(field, boost, exact) as (values ('title', 50, 250), ('redirects', 50, 100), ('alternative_names', 20, 100), ('intro_para', 5, 0), ('short_desc', 10, 0)),
+limits(field, boost, whole) as (values ('title', 100, false), ('redirects', 100, false), ('alternative_names', 1, false), ('intro_para', 1, false), ('categories', 1, true), ('infobox', 1, true)),
+qtoks as (select query_id, query, unnest(list_distinct(list_filter(regexp_split_to_array(lower(query), '[^\pL\pN]+'), lambda x: x <> ''))) as token from q),
+clauses as (select query_id, field, token, boost, false as required from qtoks, boosts union all select query_id, field, query, exact, false from q, boosts where exact > 0{required}),
+parts as (select c.query_id, c.required, p.field, p.token, c.boost, p.article_id, case when p.field = 'redirects' then 1 else ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * case when p.field in ('categories', 'infobox') then 1 else 1 - 0.75 + 0.75 * len / mean_len end) end as part
+  from clauses c join postings p on c.field = p.field and c.token = p.token join dfs on dfs.field = p.field and dfs.token = p.token join totals on totals.field = p.field join lengths on lengths.field = p.field and lengths.article_id = p.article_id),
+scored as (select query_id, article_id, sum(boost * part) as score, bool_or(required) as held, bool_and(required) as alone from parts group by all)"""
+_BASE_SQL = _INDEX_SQL.replace("{required}", "")
+_REQUIRED_SQL = _INDEX_SQL.replace("{required}", " union all select query_id, field, word, boost, true from q, limits, (values (false, 'lang'), (false, 'en'), (true, 'lang=en')) v(v, word) where v = whole")
+
+
+@query(f"with {_BASE_SQL} select query_id, article_id, round(score, 4) as score from scored qualify row_number() over (partition by query_id order by round(score, 9) desc, article_id) <= 10")
 def r1_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = retrieval.search(_queries(spark, sf_dir), retrieval.build_index(_articles(spark, sf_dir), _FIELDS), _FIELDS, k=10)
+    hits = retrieval.search(_queries(spark, sf_dir), _index(spark, sf_dir), retrieval.DEFAULT_FIELDS, k=10)
     return hits.select("query_id", "article_id", F.round("score", 4).alias("score"))
 
 
-@query(f"with {_INDEX_SQL} select query_id, article_id, round(score, 4) as score from scored where article_id in (select article_id from toks where token = 'src3') qualify row_number() over (partition by query_id order by round(score, 9) desc, article_id) <= 5")
+@query(f"with {_REQUIRED_SQL} select query_id, article_id, round(score, 4) as score from scored where held and not alone qualify row_number() over (partition by query_id order by round(score, 9) desc, article_id) <= 5")
 def r2_search_required(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = _queries(spark, sf_dir)
-    required = queries.select("query_id", F.lit("src3").alias("term"))
-    hits = retrieval.search(queries, retrieval.build_index(_articles(spark, sf_dir), _FIELDS), _FIELDS, k=5, required=required)
+    required = queries.select("query_id", F.lit("lang=en").alias("term"))
+    hits = retrieval.search(queries, _index(spark, sf_dir), retrieval.DEFAULT_FIELDS, k=5, required=required)
     return hits.select("query_id", "article_id", F.round("score", 4).alias("score"))
 
 
-@query(f"""with {_INDEX_SQL}, ranked as (select query_id, article_id, row_number() over (partition by query_id order by round(score, 9) desc, article_id) as rank from scored),
+@query("select p_partkey, (case when p_partkey % 25 >= 5 then 5 else 0 end + case when p_partkey % 25 >= 10 then 30 else 0 end + case when p_partkey % 25 >= 20 then 100 else 0 end + case when p_size % 12 >= 5 then 3 else 0 end + case when p_size % 12 >= 10 then 50 else 0 end + case when p_size % 7 >= 2 then 2 else 0 end + case when p_size % 7 >= 5 then 10 else 0 end + case when p_partkey % 2 = 0 then 3 else 0 end + case when p_partkey % 3 > 0 then 2 else 0 end)::double as bonus from part")
+def r4_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    many = lambda n: F.array_repeat(F.lit("x"), n.cast("int"))
+    key, size = F.col("p_partkey"), F.col("p_size")
+    box = F.when(key % 2 == 0, F.create_map(F.lit("name"), F.col("p_name")))
+    bonus = retrieval.importance_bonus(many(key % 25), many(size % 12), many(size % 7), box, F.when(key % 3 > 0, F.col("p_name")))
+    return table(spark, sf_dir, "part").select("p_partkey", bonus.alias("bonus"))
+
+
+#: Settings of a search by name: the boosts of title and introduction.
+_BOOSTS = [("default", 50, 5), ("flat", 25, 25), ("intro only", 0, 5)]
+
+
+@query(f"""with {_BASE_SQL}, gold as (select item_id as query_id, min(doc_id) as article_id from benchmark b left join documents d on contains(d.text, b.text) group by 1),
+settings(setting, t, i) as (values ('default', 50, 5), ('flat', 25, 25), ('intro only', 0, 5)),
+tried as (select setting, query_id, article_id, sum(part * case field when 'title' then t else i end) as score from parts, settings where field in ('title', 'intro_para') and boost in (50, 5) group by all),
+ranked as (select *, row_number() over (partition by setting, query_id order by round(score, 9) desc, article_id) as rank from tried)
+select setting, k, avg((gold.article_id is null or coalesce(rank <= k, false))::int) as recall from settings cross join gold left join ranked using (setting, query_id, article_id), (values (1), (5), (50)) c(k) group by setting, k""")
+def m5_boost_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall of each setting of the boosts at each k, over one written index."""
+    index, queries = _index(spark, sf_dir), _queries(spark, sf_dir)
+    gold = _gold(spark, sf_dir)
+    found = None
+    for name, title, intro in _BOOSTS:
+        hits = retrieval.search(queries, index, [Field("title", title), Field("intro_para", intro)], k=50)
+        recall = retrieval.recall_at(hits, gold, [1, 5, 50]).select(F.lit(name).alias("setting"), "k", "recall")
+        found = recall if found is None else found.unionByName(recall)
+    return found
+
+
+def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("item"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return items.join(docs, F.contains("text", F.col("item")), "left").groupBy("query_id").agg(F.min("doc_id").alias("article_id"))  # the benchmark is the small side of this test query
+
+
+@query(f"""with {_BASE_SQL}, ranked as (select query_id, article_id, row_number() over (partition by query_id order by round(score, 9) desc, article_id) as rank from scored),
 gold as (select item_id as query_id, min(doc_id) as article_id from benchmark b left join documents d on contains(d.text, b.text) group by 1)
 select k, avg((gold.article_id is null or coalesce(rank <= k, false))::int) as recall from gold left join ranked using (query_id, article_id), (values (1), (5), (50)) c(k) group by k""")
 def r3_a11_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = retrieval.search(_queries(spark, sf_dir), retrieval.build_index(_articles(spark, sf_dir), _FIELDS), _FIELDS, k=50)
-    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("item"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    gold = items.join(docs, F.contains("text", F.col("item")), "left").groupBy("query_id").agg(F.min("doc_id").alias("article_id"))  # the benchmark is the small side of this test query
-    return retrieval.recall_at(hits, gold, [1, 5, 50])
+    hits = retrieval.search(_queries(spark, sf_dir), _index(spark, sf_dir), retrieval.DEFAULT_FIELDS, k=50)
+    return retrieval.recall_at(hits, _gold(spark, sf_dir), [1, 5, 50])
 
 
 _MADE = "case page_id % 9 when 0 then 'Talk:' || t when 1 then t || ' disambiguation' when 2 then 'User:' || t when 3 then 'x Category:' || t when 4 then 'Category:' || t else t end"

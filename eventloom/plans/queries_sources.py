@@ -2,27 +2,17 @@
 
 from __future__ import annotations
 
-import re
-import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.plans.coding import Dimensions, code_events
-from eventloom.plans.registry import query, table
+from eventloom.plans.registry import query, scratch, table
 from eventloom.sources import readers, sinks
 from eventloom.streaming.stories import event_stream, story_stream
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new path in the shared folder of spark.checkpoint.dir; where that is unset a local one, in a local session alone."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{shared or '/tmp/checkpoints'}/scratch-{uuid.uuid4().hex}"
-
-
 def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("string")
     key = F.col("o_orderkey").cast("string")
@@ -119,19 +109,33 @@ def st1_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select o_orderkey || '_' || o_orderstatus || '_x' as event_id, o_orderstatus as event_type, 'RNG' as actor_country, 'COP' as actor_role, 'ANV' as recipient_country, 'CVL' as recipient_role, 'A place overlaps' as place_reason, o_orderkey % 9 as place, strftime(o_orderdate::date - 1, '%Y-%m-%d') as date_resolved from orders""")
+select o_orderkey || '_' || o_orderstatus || '_x' as event_id, o_orderstatus as event_type, case o_custkey % 4 when 2 then 'ANV' else 'RNG' end as actor_country, case o_custkey % 4 when 0 then 'COP' when 1 then 'ELI' when 2 then 'CVL' else 'COP' end as actor_role,
+ case when o_custkey % 4 < 3 then 'Lord' || o_custkey else '' end as actor_wiki, 'ANV' as recipient_country, 'CVL' as recipient_role, 'A place overlaps' as place_reason, o_orderkey % 9 as place, strftime(o_orderdate::date - 1, '%Y-%m-%d') as date_resolved from orders""")
 def e1_code_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The chain from stories to coded events, on a story for each order with the same actors."""
-    stories = _stories(spark, sf_dir)
+    """The chain from stories to coded events: a story for each order, its actor the order's customer.
+
+    One customer in four is named by a role alone; the others are articles, whose office is in force, or over, or who have
+    only a short description.
+    """
+    stories = _stories(spark, sf_dir).join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), "o_custkey"), "id")
     event_id = F.concat_ws("_", "id", F.col("event_type")[0], F.lit("x"))
-    place = F.concat(F.lit("place"), "id")
-    answer = F.format_string('[{"event_type": "x", "anchor_quote": "q", "actor": "the Ringish police", "recipient": ["anvil men"], "date": "yesterday", "location": "%s"}]', place)
+    place, key = F.concat(F.lit("place"), "id"), F.col("o_custkey")
+    lord = F.concat(F.lit("Lord"), key.cast("string"))
+    actor = F.when(key % 4 == 3, "the Ringish police").otherwise(lord)
+    answer = F.format_string('[{"event_type": "x", "anchor_quote": "q", "actor": "%s", "recipient": ["anvil men"], "date": "yesterday", "location": "%s"}]', actor, place)
     answers = stories.select(event_id.alias("event_id"), answer.alias("response"))
     start = F.instr(F.col("event_text"), place) - 1
     entity = F.struct(start.alias("start_char"), (start + F.length(place)).alias("end_char"), F.lit(0.9).alias("score"), (F.col("id").cast("long") % 9).alias("geonameid"))
     places = stories.select(F.col("id").alias("orig_id"), F.array(entity).alias("geo_ents"))
-    roles = spark.createDataFrame([("police", "COP", ""), ("men", "CVL", "")], "pattern string, code_1 string, code_2 string")
+    roles = spark.createDataFrame([("police", "COP", ""), ("minister", "GOV", ""), ("men", "CVL", "")], "pattern string, code_1 string, code_2 string")
     dims = Dimensions([("Ringish", "RNG"), ("anvil", "ANV")], spark.createDataFrame([("RNG", "Ring"), ("ANV", "Anvil")], "code string, name string"), roles)
-    coded = code_events(stories, answers, places, dims)
-    actor, recipient = F.get("actors", F.lit(0)), F.get("recipients", F.lit(0))
-    return coded.select("event_id", "event_type", actor["country"].alias("actor_country"), actor["code_1"].alias("actor_role"), recipient["country"].alias("recipient_country"), recipient["code_1"].alias("recipient_role"), "place_reason", F.col("geo.geonameid").alias("place"), "date_resolved")
+    key = F.col("c_custkey")
+    title = F.concat(F.lit("Lord"), key.cast("string"))
+    office = lambda name, begin, end: F.map_from_entries(F.array_compact(F.array(*[F.when(v.isNotNull(), F.struct(F.lit(k).alias("key"), v.alias("value"))) for k, v in (("office1", F.lit(name)), ("term_start1", F.lit(begin)), ("term_end1", F.lit(end).cast("string")))])))
+    box = F.when(key % 4 == 0, office("Ringish police", "1990-01-01", None)).when(key % 4 == 1, office("Ringish minister", "1980-01-01", "1989-12-31")).otherwise(F.expr("cast(map() as map<string,string>)"))
+    none = F.expr("cast(array() as array<string>)")
+    intro = F.concat(title, F.lit(" holds land and has been known for it in many countries and for a long time."))
+    articles = table(spark, sf_dir, "customer").where(key % 4 < 3).select(title.alias("title"), F.when(key % 4 == 2, "anvil men").alias("short_desc"), intro.alias("intro_para"), none.alias("redirects"), none.alias("alternative_names"), none.alias("affiliated_people"), F.lit("person").alias("box_type"), box.alias("infobox"), none.alias("categories"))
+    coded = code_events(stories.drop("o_custkey"), answers, places, dims, articles, scratch(spark))
+    first, recipient = F.get("actors", F.lit(0)), F.get("recipients", F.lit(0))
+    return coded.select("event_id", "event_type", first["country"].alias("actor_country"), first["code_1"].alias("actor_role"), first["wiki"].alias("actor_wiki"), recipient["country"].alias("recipient_country"), recipient["code_1"].alias("recipient_role"), "place_reason", F.col("geo.geonameid").alias("place"), "date_resolved")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -46,3 +47,10 @@ def write_misses(results: DataFrame, path: str) -> None:
     """A line of text for each result(query, expected, found) that missed."""
     missed = results.where(~F.col("expected").eqNullSafe(F.col("found")))
     missed.select(F.format_string("query: %s | expected: %s | found: %s", "query", F.coalesce("expected", F.lit("-")), F.coalesce("found", F.lit("-"))).alias("value")).write.mode("overwrite").text(path)
+
+
+def checkpointed(df: DataFrame, path: str) -> DataFrame:
+    """df written to a new folder under path and read back: what comes after starts from there, also in several branches."""
+    place = f"{path}/{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
