@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.dates import in_force
 from eventloom.functions.text import clean_query, fold_accents, title_case
-from eventloom.functions.vectors import cosine
 
 #: Fixed domain values: the priority of each role code.
 ROLE_PRIORITIES = {
@@ -67,7 +69,8 @@ def find_country(texts: DataFrame, patterns: list[tuple[str, str]], method: str
     All occurrences of a pattern are taken out to give the rest. longest chooses the pattern that leaves the shortest
     rest, first the one that stands earliest; of equal ones the one listed first. Without any, country is null and rest
     the text without accents. The pattern list is a dimension of some hundreds of rows that the plan holds as literals,
-    so that each regular expression is compiled once; texts aren't shuffled.
+    so that each regular expression is compiled once; one alternation of all of them goes first, and only its hits are
+    looked into. Texts aren't shuffled.
     """
     if method not in ("longest", "first"):
         raise ValueError(f"method must be longest or first, not {method}")
@@ -78,6 +81,8 @@ def find_country(texts: DataFrame, patterns: list[tuple[str, str]], method: str
         order = F.length(rest) if method == "longest" else F.length(F.regexp_extract(text, f"(?s)^(.*?)(?:{pattern})", 1))
         hits.append(F.when(text.rlike(pattern), F.struct(order.alias("order"), F.lit(k).alias("k"), F.lit(value).alias("country"), rest.alias("rest"))))
     best = F.array_min(F.array_compact(F.array(*hits)))
+    if patterns:
+        best = F.when(text.rlike("|".join(f"(?:{p})" for p, _ in patterns)), best)
     return texts.withColumn("_best", best).withColumns({"country": F.col("_best.country"), "rest": F.coalesce("_best.rest", text)}).drop("_best")
 
 
@@ -99,18 +104,59 @@ def parse_agents(lines: DataFrame) -> DataFrame:
     return coded.select("line", F.explode(variants).alias("pattern"), "code_1", "code_2")
 
 
+#: Vectors of agent patterns that one pass over the queries compares with, and queries that are compared at once.
+AGENTS_A_PASS, QUERIES_AT_ONCE = 20_000, 256
+
+
 def best_agent(queries: DataFrame, agents: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(query_id, pattern_id, conf) of queries(query_id, embedding): the agent pattern of the highest cosine, if it reaches the threshold.
 
-    agents(pattern_id, embedding) is the broadcast side of a nested loop: a dictionary of fixed size, not corpus data.
-    Norms are computed once per row, and each query keeps a running maximum, so nothing but the best leaves a partition
-    and no pair is shuffled before it is reduced.
+    Agents are counted and taken in blocks of about AGENTS_A_PASS by hash, one pass over the queries each, so that what
+    workers hold as a matrix is bounded; a dictionary is one block. A pass multiplies Arrow batches of queries with the
+    matrix and hands on a query's best only. Of equal cosines the least pattern_id counts; a zero or null vector matches
+    nothing.
     """
-    scored = queries.select("query_id", F.col("embedding").alias("q")).join(agents.select("pattern_id", F.col("embedding").alias("a")), F.lit(True))
-    best = scored.groupBy("query_id").agg(F.max(F.struct(cosine(F.col("q"), F.col("a")).alias("conf"), (-F.col("pattern_id")).alias("order"))).alias("best"))
+    rows = agents.select(F.col("pattern_id").cast("long").alias("pattern_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("embedding is not null")
+    blocks = max(1, -(-rows.count() // AGENTS_A_PASS))
+    wanted = queries.select(F.col("query_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("embedding is not null")
+    found = None
+    for block in range(blocks):
+        part = rows.where(F.pmod(F.xxhash64("pattern_id"), F.lit(blocks)) == block).orderBy("pattern_id").toPandas()
+        if len(part):
+            best = wanted.mapInArrow(_nearest(part["pattern_id"].to_numpy(), np.stack(part["embedding"].to_list())), "query_id long, pattern_id long, conf double")
+            found = best if found is None else found.unionByName(best)
+    if found is None:
+        return wanted.select("query_id", F.lit(None).cast("long").alias("pattern_id"), F.lit(None).cast("double").alias("conf")).where("false")
+    best = found.groupBy("query_id").agg(F.max(F.struct("conf", (-F.col("pattern_id")).alias("order"))).alias("best"))
     return best.where(F.col("best.conf") >= threshold).select("query_id", (-F.col("best.order")).alias("pattern_id"), F.col("best.conf").alias("conf"))
 
 
+def _nearest(ids: np.ndarray, vectors: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A kernel that gives each query of a batch the vector of the highest cosine, the first of equal ones."""
+
+    def unit(rows: np.ndarray) -> np.ndarray:
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+    known = np.nan_to_num(unit(vectors), nan=0.0)
+    zero = ~known.any(axis=1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, QUERIES_AT_ONCE):
+                part = batch.slice(at, QUERIES_AT_ONCE)
+                asked = unit(np.array(part.column(1).to_pylist(), np.float64))
+                score = asked @ known.T
+                score[:, zero] = -np.inf
+                # equal cosines can differ in the last bits of a product: those within them count as equal
+                best = (score >= score.max(axis=1, keepdims=True) - 1e-12).argmax(axis=1)
+                conf = score[np.arange(len(best)), best]
+                good = np.isfinite(conf)
+                yield pa.record_batch([part.column(0).filter(pa.array(good)), pa.array(ids[best[good]]), pa.array(conf[good])], ["query_id", "pattern_id", "conf"])
+
+    return run
+
+
 def accept_directly(conf: Column, has_entities: Column, text: Column) -> Column:
     """Whether a direct agent match is good enough to skip the lookup."""
     return F.coalesce(((conf > 0.6) & ~has_entities) | ((conf > 0.9) & (F.lower(text) == text)) | (conf > 0.95), F.lit(False))

@@ -31,6 +31,11 @@ def balance_shares(importance: DataFrame) -> DataFrame:
     return shares.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("share"), "feature")))
 
 
+def group_sizes(rows: DataFrame, group: str, member: str, value: str) -> DataFrame:
+    """(group, members, top, n): how many different members each group has, its greatest value and its number of rows; null members count as none."""
+    return rows.groupBy(group).agg(F.count_distinct(member).alias("members"), F.max(value).alias("top"), F.count("*").alias("n"))
+
+
 def grid(**settings: list) -> list[dict]:
     """All combinations of the settings: what a boost search or an ablation runs over, as driver-side parameters."""
     return [dict(zip(settings, values)) for values in product(*settings.values())]

@@ -74,7 +74,8 @@ def a14_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select o_orderpriority, count(distinct o_custkey) as customers, max(o_totalprice) as top, count(*) as orders from orders group by o_orderpriority")
 def a8_a13_group_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count_distinct("o_custkey").alias("customers"), F.max("o_totalprice").alias("top"), F.count("*").alias("orders"))
+    sizes = evaluation.group_sizes(table(spark, sf_dir, "orders"), "o_orderpriority", "o_custkey", "o_totalprice")
+    return sizes.withColumnsRenamed({"members": "customers", "n": "orders"})
 
 
 @query()
@@ -98,8 +99,12 @@ def m3_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return choose_by_model(ranked, F.col("probability")).select("task", "article_id", F.round("probability", 4).alias("probability"))
 
 
-@query("""
-select drop_name, size::int as size, seed::int as seed, len(features)::bigint as features from (values ('all', 3), ('no title', 2), ('no context', 2)) d(drop_name, n), (values (10), (100)) s(size), (values (1), (2), (3)) k(seed), (select range(n) as features, n as m from (values (2), (3)) v(n)) f where f.m = n""")
-def m5_m6_ablation_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = evaluation.ablations(["title", "context", "length"], {"all": [], "no title": ["title"], "no context": ["context"]}, [10, 100], [1, 2, 3])
-    return spark.createDataFrame([(r["name"], r["size"], r["seed"], len(r["features"])) for r in runs], "drop_name string, size int, seed int, features long")
+@query()
+def m6_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of the ranker without some features, by training size (no SQL equivalent: boosted trees)."""
+    from eventloom.plans.queries_articles import _scores
+
+    features = ["exact_title_match", "title_sim", "context_sim_intro", "intro_length"]
+    scores = _scores(spark, sf_dir).withColumn("correct", ((F.col("exact_title_match") == 1) & (F.col("title_sim") > 0.3)).cast("double"))
+    runs = learning.run_ablations(scores, features, {"all": [], "no title": ["exact_title_match", "title_sim"]}, [100], [1, 2], trees=3, depth=2)
+    return spark.createDataFrame([(r["name"], r["size"], r["seed"], r["accuracy"]) for r in runs], "drop_name string, size int, seed int, accuracy double")
