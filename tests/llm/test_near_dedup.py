@@ -57,3 +57,12 @@ def test_all_pairs_of_variants(spark):
         texts[2 * 10**6 + k] = " ".join(passage + [f"o{k}x{i}" for i in range(k)])
     texts |= {3 * 10**6: "a b", 3 * 10**6 + 1: "A  B", 3 * 10**6 + 2: "a b c"}
     assert kept(spark, texts) == brute_kept(texts)
+
+
+def test_recall_on_a_whole_table(spark):
+    """All of documents at sf0.01: what stays is what all pairs leave."""
+    import pandas as pd
+
+    df = pd.read_parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = dict(zip(df.doc_id.tolist(), df.text.tolist()))
+    assert kept(spark, texts) == brute_kept(texts)
