@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -15,10 +17,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import cut, raw_texts
+from eventloom.llm.common import ROWS_AT_ONCE, cut, raw_texts
 
-#: Words whose ids a worker remembers; when full, it forgets all and starts again. Results don't depend on it.
-REMEMBERED_WORDS = 1_000_000
+#: Words of a generation whose ids a worker remembers. A full generation is kept until the next one is full, and words met
+#: again move over to that, so frequent ones stay. Results don't depend on it.
+REMEMBERED_WORDS = 400_000
+
+
+def _little_endian(ids: list[int]) -> bytes:
+    out = array("I", ids)  # four bytes each
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 class WordTokenizer:
@@ -38,15 +48,25 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = min((t.content.encode()[:2] for t in self.tokenizer.get_added_tokens_decoder().values()), default=None)
         self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _recall(self, words: set[bytes]) -> None:
+        for w in words:
+            if w not in self.known and w in self.old:
+                self.known[w] = self.old[w]
 
     def _encode(self, words: set[bytes]) -> None:
+        self._recall(words)
         new = [w for w in words if w not in self.known]
         for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
+            self.known[w] = _little_endian(e.ids)
 
     def learn(self, words: set[bytes]) -> None:
+        self._recall(words)
         split = {}
         for w in words:
+            if w in self.known:
+                continue
             stem = w.rstrip(b".,!?;:")
             split[w] = (stem, w[len(stem) :]) if stem[-1:].isalnum() and len(stem) < len(w) else (w, b"")
         self._encode({x for pair in split.values() for x in pair if x})
@@ -56,7 +76,7 @@ class WordTokenizer:
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
         if len(self.known) > REMEMBERED_WORDS:
-            self.known = {}
+            self.known, self.old = {}, self.known
         for text in texts:
             words = (text if self.special and self.special in text else text.lower()).split()
             try:
@@ -94,7 +114,7 @@ def tokenised_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, tai
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end, part = tokenizer(path), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
         counts: dict[int, int] = {}
-        for batch in batches:
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             ids, rows = batch.column(0), []
             for k, text in enumerate(encode(raw_texts(batch.column(1)))):
                 tokens, start = memoryview(text + end), 0
