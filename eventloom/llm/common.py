@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterator
 
@@ -34,6 +35,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Has the driver look for what is no longer in use: the shuffle files of finished steps go only then."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def by_batch(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """Applies kernel to each partition, ROWS_AT_ONCE rows at a time: a worker holds what the kernel makes of so many rows."""
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import ROWS_AT_ONCE, by_batch, cut, raw_texts, rolling, word_hashes
+from eventloom.llm.common import ROWS_AT_ONCE, by_batch, cut, raw_texts, release, rolling, word_hashes
 from eventloom.llm.components import connected_components
 from eventloom.llm.repeats import PageFilter
 
@@ -130,9 +130,21 @@ def shared_prefixes(docs: DataFrame, width: int, threshold: float) -> DataFrame:
         return pa.record_batch([batch.column(0), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], ["page", "n", "tokens"])
 
     sets = cut(by_batch(docs.select("page", "text"), kernel, "page long, n long, tokens array<long>").groupBy("page").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")))
-    places = sets.select("page", "n", F.posexplode("tokens").alias("pos", "token"))
-    shared = cut(places.groupBy("token").agg(F.count("*").alias("size")).where("size >= 2"))
-    return cut(places.join(shared, "token"))
+    shared = cut(sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("size")).where("size >= 2"))
+    maybe = PageFilter(shared.select(F.col("token").alias("page")))
+
+    def met(batch: pa.RecordBatch) -> pa.RecordBatch:
+        tokens, counts = batch.column(2).flatten().to_numpy(zero_copy_only=False), batch.column(2).value_lengths().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(counts)
+        row, pos = np.repeat(np.arange(len(counts)), counts), np.arange(len(tokens)) - np.repeat(ends - counts, counts)
+        held = maybe(tokens)
+        at = pa.array(row[held])
+        return pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array(pos[held]), pa.array(tokens[held])], ["page", "n", "pos", "token"])
+
+    places = by_batch(sets, met, "page long, n long, pos long, token long")  # few tokens that no other page holds are left
+    members = cut(places.join(shared, "token"))
+    release(docs.sparkSession)
+    return members
 
 
 def _in_reach(threshold: float) -> Column:
@@ -159,6 +171,7 @@ def similar_classes(docs: DataFrame, links: DataFrame, width: int = 5, threshold
     held = members.join(hubs, "token").select("page", "n", "pos", *other).where(_in_reach(threshold))
     tried = cut(held.where("page <> other_page").select(F.col("page").alias("a"), F.col("other_page").alias("b")).distinct())
     links = cut(links.unionByName(similar_pairs(tried, texts, width, threshold)))
+    release(docs.sparkSession)
     classes = cut(connected_components(links)).withColumnRenamed("node", "page")
     placed = cut(members.join(classes, "page", "left").select("token", "page", "n", "pos", F.coalesce("component", "page").alias("class")))
     sizes = placed.groupBy("token", "class").agg(F.count("*").alias("size"))
@@ -182,17 +195,15 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, shingle: int, threshold: fl
     texts = PageFilter(ends).keep(docs.select(F.col("doc_id").alias("page"), "text").where("page is not null")).groupBy("page").agg(F.first("text").alias("text"))
     texts = cut(texts.join(ends, "page", "left_semi"))
 
-    def shingles(text: bytes) -> set[int]:
-        return set(shingle_set(text, shingle).tolist())
-
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known: dict[int, set[int]] = {}  # a hub comes with many
+        known: dict[int, np.ndarray] = {}  # a hub comes with many
         keep = []
         for b, left, right in zip(batch.column(1).to_pylist(), *(raw_texts(batch.column(k)) for k in (2, 3))):
             if b not in known:
-                known = {b: shingles(right)}
-            one, two = shingles(left), known[b]
-            keep.append(len(one & two) >= threshold * max(len(one | two), 1))
+                known[b] = shingle_set(right, shingle)
+            one, two = shingle_set(left, shingle), known[b]
+            shared = len(np.intersect1d(one, two, assume_unique=True))
+            keep.append(shared >= threshold * max(len(one) + len(two) - shared, 1))
         return batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     both = pairs.join(texts.withColumnRenamed("page", "a").withColumnRenamed("text", "left"), "a").join(texts.withColumnRenamed("page", "b").withColumnRenamed("text", "right"), "b")
