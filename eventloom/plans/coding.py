@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,24 +24,27 @@ class Dimensions:
     roles: DataFrame
 
 
-def agent_to_code(mentions: DataFrame, dims: Dimensions, articles: DataFrame | None = None) -> DataFrame:
+def agent_to_code(mentions: DataFrame, dims: Dimensions, articles: DataFrame | None = None, folder: str | None = None) -> DataFrame:
     """(text, date, code_1, code_2, country, source, wiki, best_reason) for each different mention(text, date).
 
     The country pattern is taken out of the text, the rest cleaned and looked up among role phrases; what finds no role
     and isn't empty is searched among the articles, where an exact title gives its role and country for the date.
-    Mentions are made distinct first, so each text is resolved once for a date.
+    Mentions are made distinct first, so each text is resolved once for a date. With a folder that all executors share,
+    what several branches use is written there once.
     """
+    kept = _keeper(folder)
     distinct = mentions.select("text", "date").distinct()
     found = actors.find_country(distinct, dims.patterns).withColumn("query", F.lower(_cleaned("rest"))).withColumn("actor", F.concat_ws("|", "text", "date"))
+    found = kept(found)
     direct = found.join(dims.roles.select(F.col("pattern").alias("query"), "code_1", "code_2"), "query")
     candidate = lambda df, source, wiki, conf: df.select("actor", F.lit(0).alias("pos"), "code_1", "code_2", "country", F.lit(source).alias("source"), "query", F.lit(conf).alias("conf"), F.lit(None).cast("int").alias("office_num"), wiki.alias("wiki"))
     codes = candidate(direct, "Direct match", F.lit(""), 1.0)
     if articles is not None:
         open_ = found.join(direct.select("actor"), "actor", "left_anti").where("query <> ''")
-        linked = query_wiki(open_.select(F.col("actor").alias("query_id"), F.col("rest").alias("query"), "date"), articles)
+        linked = kept(query_wiki(open_.select(F.col("actor").alias("query_id"), F.col("rest").alias("query"), "date"), articles, folder=folder))
         coded = linked.join(article_roles(linked.select("query_id", "title", "date").distinct(), articles, dims), ["query_id", "title"])
         codes = codes.unionByName(coded.select(F.col("query_id").alias("actor"), "pos", "code_1", F.lit("").alias("code_2"), "country", "source", F.lit("").alias("query"), F.lit(None).cast("double").alias("conf"), "office_num", F.col("title").alias("wiki")))
-    best = actors.clean_best(actors.pick_best_code(codes, found.select("actor", "country")))
+    best = actors.clean_best(actors.pick_best_code(kept(codes), found.select("actor", "country")))
     return found.select("actor", "text", "date").join(best, "actor").drop("actor")
 
 
@@ -47,7 +52,11 @@ def _cleaned(column: str) -> Column:
     return clean_query(F.col(column))
 
 
-def query_wiki(queries: DataFrame, articles: DataFrame, k: int = 50) -> DataFrame:
+def _keeper(folder: str | None) -> Callable[[DataFrame], DataFrame]:
+    return (lambda df: checkpointed(df, folder)) if folder else (lambda df: df)
+
+
+def query_wiki(queries: DataFrame, articles: DataFrame, k: int = 50, folder: str | None = None) -> DataFrame:
     """(query_id, title, date): the article that each of queries(query_id, query, date) names, if one does.
 
     Each different text is searched once. Of its k best hits that can be actors, the rules of precedence choose
@@ -57,7 +66,12 @@ def query_wiki(queries: DataFrame, articles: DataFrame, k: int = 50) -> DataFram
     numbered = articles.where(retrieval.good_article(F.col("title"), F.col("intro_para"))).withColumn("article_id", F.col("title"))
     fields = retrieval.DEFAULT_FIELDS
     texts = queries.select(F.col("query").alias("query_id"), "query").distinct()
-    hits = retrieval.search(texts, retrieval.build_index(numbered, fields), fields, k)
+    index = retrieval.build_index(numbered, fields)
+    if folder:
+        path = f"{folder}/index-{uuid.uuid4().hex}"
+        retrieval.write_index(index, path)
+        index = retrieval.read_index(queries.sparkSession, path)
+    hits = retrieval.search(texts, index, fields, k)
     named = hits.withColumnRenamed("query_id", "task").join(numbered.select("article_id", "title", "redirects", "alternative_names", "infobox", "intro_para", "short_desc"), "article_id")
     frame = ranking.score_candidates(named.withColumns({"query": F.col("task"), "country": F.lit(None).cast("string"), "infobox_name": F.try_element_at("infobox", F.lit("name"))}))
     outside = {c: F.lit(0.0) for c in ("title_sim", "context_sim_intro", "context_sim_short", "actor_desc_sim_intro", "actor_desc_sim_short")}
@@ -88,12 +102,12 @@ def code_events(stories: DataFrame, answers: DataFrame, places: DataFrame, dims:
     both come from models outside and are inputs here. With a folder that all executors share, the lengthened stories, the
     parsed answers and the coded mentions are written there once, instead of being computed in each branch that uses them.
     """
-    kept = (lambda df: checkpointed(df, folder)) if folder else (lambda df: df)
+    kept = _keeper(folder)
     lengthened = kept(events.lengthen_stories(stories))
     parsed = events.parse_answers(answers)
     long = kept(events.attribute_rows(parsed).join(lengthened.select(F.col("id").alias("event_id"), "pub_date", "event_text"), "event_id"))
     people = long.where(F.col("attr_type").isin("ACTOR", "RECIP")).withColumn("date", F.col("pub_date"))
-    coded = people.join(kept(agent_to_code(people, dims, articles)), ["text", "date"], "left").select("event_id", "attr_type", "pos", "text", F.coalesce("country", F.lit("")).alias("country"), F.coalesce("code_1", F.lit("")).alias("code_1"), F.coalesce("wiki", F.lit("")).alias("wiki"))
+    coded = people.join(kept(agent_to_code(people, dims, articles, folder)), ["text", "date"], "left").select("event_id", "attr_type", "pos", "text", F.coalesce("country", F.lit("")).alias("country"), F.coalesce("code_1", F.lit("")).alias("code_1"), F.coalesce("wiki", F.lit("")).alias("wiki"))
     named = events.country_names(coded, dims.countries)
     row = F.struct("pos", "text", "country", "code_1", "wiki", "country_name")
     of = lambda t, name: F.array_sort(F.collect_list(F.when(F.col("attr_type") == t, row))).alias(name)
