@@ -37,6 +37,12 @@ def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count, count) + np.repeat(first, count)
 
 
+def _members(found: np.ndarray, at: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
+    """Those of the places at whose value stands in the sorted vocabulary."""
+    values = found[at]
+    return at[vocabulary[np.minimum(np.searchsorted(vocabulary, values), len(vocabulary) - 1)] == values]
+
+
 class HammingIndex:
     """Multi-index of 64-bit fingerprints: for each block of 8 bits and each of its values, the list of fingerprints whose
     own block lies in the Hamming ball around the value. Fingerprints within radius have such a block in common, as
@@ -97,11 +103,16 @@ class Benchmark:
             members = np.array([k for k, x in enumerate(words) if x == n])
             vocabulary = np.unique(np.concatenate([shingles[k] for k in members]))
             self.lengths.setdefault(min(shingle, n), []).append(Length(n, members, vocabulary, HammingIndex(prints[members], radius)))
-        self.seen: dict[int, np.ndarray] = {}  # by shingle width: a bitmap before the vocabularies
+        # by shingle width: all shingles, a bitmap before them, and the fewest that any item needs
+        self.known: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
         for width, lengths in self.lengths.items():
-            self.seen[width] = np.zeros(1 << 20, bool)
-            for x in lengths:
-                self.seen[width][(x.vocabulary >> np.uint64(44)).astype(np.int64)] = True
+            every, seen = np.unique(np.concatenate([x.vocabulary for x in lengths])), np.zeros(1 << 20, bool)
+            seen[(every >> np.uint64(44)).astype(np.int64)] = True
+            self.known[width] = every, seen, min(self._need(x.words - width + 1) for x in lengths)
+
+    def _need(self, size: int) -> int:
+        """Shingles that two windows of so many have in common if they are similar enough."""
+        return int(np.ceil(2 * self.threshold / (1 + self.threshold) * size - 1e-9))
 
     def matches(self, text: bytes) -> Iterator[tuple[int, int, float, int]]:
         """(item, first word, similarity, differing bits) of the best window for each item that the text repeats.
@@ -114,16 +125,16 @@ class Benchmark:
         best: dict[int, tuple[float, int, int]] = {}
         for width, lengths in self.lengths.items():
             found = rolling(hashes, width)
-            maybe = np.flatnonzero(self.seen[width][(found >> np.uint64(44)).astype(np.int64)])
-            if not len(maybe):
+            every, seen, fewest = self.known[width]
+            some = _members(found, np.flatnonzero(seen[(found >> np.uint64(44)).astype(np.int64)]), every)
+            if len(some) < fewest:
                 continue
             for x in lengths:
                 size = x.words - width + 1
-                if len(found) < size:
+                need = self._need(size)
+                if len(found) < size or len(some) < need:
                     continue
-                slot = np.minimum(np.searchsorted(x.vocabulary, found[maybe]), len(x.vocabulary) - 1)
-                hits = maybe[x.vocabulary[slot] == found[maybe]]
-                need = int(np.ceil(2 * self.threshold / (1 + self.threshold) * size - 1e-9))
+                hits = _members(found, some, x.vocabulary)
                 if len(hits) >= need:
                     self._windows(found, hits, size, need, x, best)
         for k, (similarity, start, bits) in sorted(best.items()):
