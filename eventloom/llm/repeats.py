@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import by_batch, cut, raw_texts, word_hashes
@@ -155,6 +155,12 @@ def edges(unit: Unit) -> tuple[Callable, str]:
     return kernel, "content long, place long, edge long, next long, before long, weight long"
 
 
+def consecutive_runs(places: Column) -> Column:
+    """The runs (low, high) of consecutive numbers in a sorted array of different ones."""
+    lows, highs = (F.array_except(places, F.transform(places, lambda x: x + step)) for step in (1, -1))
+    return F.zip_with(lows, highs, lambda low, high: F.struct(low.alias("low"), high.alias("high")))
+
+
 def repeated_runs(flags: DataFrame) -> DataFrame:
     """(content, runs): for each content of flags(content, low, high) the runs of windows that are repeated."""
     return flags.groupBy("content").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("runs"))
@@ -195,8 +201,9 @@ def remove_repeats(docs: DataFrame, unit: Unit, resolve: Callable[[DataFrame, Da
     names = ["doc_id", "n_units", "n_removed", "n_spans", "kept_sha256"]
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists = [c.to_pylist() for c in batch.columns[2:]] or [[None] * len(batch)] * 2
-        out = [shorten(*x) for x in zip(raw_texts(batch.column(1)), *lists)]
+        given = batch.columns[2:]
+        lists = ([c[k].as_py() for c in given] if given else [None, None] for k in range(len(batch)))  # a row's at a time
+        out = [shorten(text, *x) for text, x in zip(raw_texts(batch.column(1)), lists)]
         return pa.record_batch([batch.column(0), *[pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)]], names)
 
     schema = "doc_id long, n_units long, n_removed long, n_spans long, kept_sha256 string"

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import by_batch, cut, rolling
-from eventloom.llm.repeats import Unit, mixed_contents, remove_repeats, repeated_runs
+from eventloom.llm.repeats import Unit, consecutive_runs, mixed_contents, remove_repeats, repeated_runs
 
 #: Names and ranks are packed by threes into 64 bits, so a block that is sorted at once must have fewer symbols than 2**BITS.
 BITS = 21
@@ -141,10 +141,12 @@ def suffix_dedup(docs: DataFrame, window: int = 200, anchor: int = 64) -> DataFr
         sizes = rows.groupBy("anchor").agg(F.sum(F.length("data") + 1).alias("size"))
         large = cut(sizes.where(F.col("size") > GROUP).select("anchor"))
         small = rows.join(large, "anchor", "left_anti").select("content", "weight", "anchor", "data")
-        sorted_runs = small.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sort_blocks, "content long, low long, high long")
+        # dealt by a hash of the anchor: an exchange by the anchor itself is left out as the join's own will do, which AQE may turn into a local read
+        sorted_runs = small.repartition(F.xxhash64("anchor")).sortWithinPartitions("anchor").mapInArrow(sort_blocks, "content long, low long, high long")
         counted = by_batch(rows.join(large, "anchor", "left_semi").select("content", "weight", "data"), windows, "content long, place long, edge long, weight long")
         twice = cut(counted.groupBy("edge").agg(F.sum("weight").alias("n")).where("n >= 2").select("edge"))
-        counted_runs = counted.join(twice, "edge").select("content", F.col("place").alias("low"), F.col("place").alias("high"))
+        places = counted.join(twice, "edge").groupBy("content").agg(F.array_sort(F.collect_list("place")).alias("places"))
+        counted_runs = places.select("content", F.explode(consecutive_runs(F.col("places"))).alias("r")).select("content", "r.low", "r.high")
         return repeated_runs(sorted_runs.unionByName(counted_runs))
 
     return remove_repeats(docs, unit, resolve)
