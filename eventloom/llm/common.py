@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 from collections.abc import Callable, Iterator
@@ -41,15 +42,37 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+
+
+def give_back() -> None:
+    """Hands memory that is free back to the system: a worker lives on after a task, and would keep the most it ever took."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+#: Functions that drop what an operator remembers in a worker from task to task. They are called when other work comes to the worker.
+leftovers: list[Callable[[], None]] = []
+
+
+def forget_leftovers() -> None:
+    for forget in leftovers:
+        forget()
+
+
 def by_batch(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """Applies kernel to each partition, ROWS_AT_ONCE rows at a time: a worker holds what the kernel makes of so many rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_leftovers()
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 out = kernel(batch.slice(at, ROWS_AT_ONCE))
                 if out is not None:
                     yield out
+        batch = out = None
+        give_back()
 
     return df.mapInArrow(run, schema)
 

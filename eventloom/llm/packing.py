@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import ROWS_AT_ONCE, cut, raw_texts
+from eventloom.llm.common import ROWS_AT_ONCE, cut, give_back, leftovers, raw_texts
 
 #: Words of a generation whose ids a worker remembers. A full generation is kept until the next one is full, and words met
 #: again move over to that, so frequent ones stay. Results don't depend on it.
@@ -50,6 +50,10 @@ class WordTokenizer:
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def forget(self) -> None:
+        """Lets go of all remembered words."""
+        self.known, self.old = {}, {}
+
     def _recall(self, words: set[bytes]) -> None:
         for w in words:
             if w not in self.known and w in self.old:
@@ -88,7 +92,10 @@ class WordTokenizer:
 
 @lru_cache
 def tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+    """One a worker, whose words last from task to task until the worker gets other work."""
+    made = WordTokenizer(path)
+    leftovers.append(made.forget)
+    return made
 
 
 @lru_cache(maxsize=1 << 16)
@@ -125,6 +132,7 @@ def tokenised_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, tai
             if rows:
                 k, *columns = (np.array(x, np.int64) for x in zip(*rows))
                 yield pa.record_batch([ids.take(pa.array(k)), *map(pa.array, columns), pa.array(np.full(len(k), part, np.int64))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "idx", "part"])
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, idx long, part long")
 
