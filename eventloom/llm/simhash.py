@@ -157,41 +157,65 @@ def similar_classes(docs: DataFrame, links: DataFrame, width: int = 5, threshold
     """(node, component): classes of the pages of docs(page, text) under links(a, b) and all pairs whose sets of shingles
     of width words have a Jaccard similarity of at least threshold.
 
-    Similar pages share a token of their prefixes. First each token's members are held against one of them, its hub (the
-    member that meets the most others). In a group of near copies that makes one class with work in proportion to its
-    size. Then, for each token whose members are in more than one class, all members outside its largest class are held
-    against all members of other classes. Only pairs that are in one class already are left out, so the classes are
-    those of all pairs.
+    Similar pages share a token of their prefixes. Pairs are compared in three rounds, each time without those that are in
+    one class by then, so the classes are those of all pairs:
+
+    1. each token has a hub (the member that meets the most others); each page is held against that one of its tokens' hubs
+       that meets the most. A group of near copies mostly becomes one class here, by one pair a page;
+    2. each page is held against its other hubs;
+    3. for each token whose members are in more than one class still, all members outside the largest class are held
+       against all members of other classes.
     """
+    spark = docs.sparkSession
     members = shared_prefixes(docs, width, threshold)
     texts = docs.select(F.col("page").alias("doc_id"), "text")
+    classes = cut(connected_components(links))
+    release(spark)
     central = cut(members.groupBy("page").agg(F.sum("size").alias("met")))
     hubs = cut(members.join(central, "page").groupBy("token").agg(F.max(F.struct("met", "page", "n", "pos")).alias("hub")))
-    other = [F.col(f"hub.{c}").alias(f"other_{c}") for c in ("page", "n", "pos")]
-    held = members.join(hubs, "token").select("page", "n", "pos", *other).where(_in_reach(threshold))
-    tried = cut(held.where("page <> other_page").select(F.col("page").alias("a"), F.col("other_page").alias("b")).distinct())
-    links = cut(links.unionByName(similar_pairs(tried, texts, width, threshold)))
-    release(docs.sparkSession)
-    classes = cut(connected_components(links)).withColumnRenamed("node", "page")
-    placed = cut(members.join(classes, "page", "left").select("token", "page", "n", "pos", F.coalesce("component", "page").alias("class")))
+    other = [F.col(f"hub.{c}").alias(f"other_{c}") for c in ("met", "page", "n", "pos")]
+    held = members.join(hubs, "token").select("page", "n", "pos", *other).where(_in_reach(threshold)).where("page <> other_page")
+    of_hubs = cut(held.select(F.col("page").alias("a"), F.col("other_page").alias("b"), F.col("other_met").alias("met")).distinct())
+    release(spark)
+    best = of_hubs.groupBy("a").agg(F.max(F.struct("met", "b")).alias("hub")).select("a", "hub.b")
+    for pairs in (best, of_hubs.select("a", "b").join(best, ["a", "b"], "left_anti")):
+        classes = _joined(classes, similar_pairs(cut(_between(pairs, classes)), texts, width, threshold))
+        release(spark)
+    placed = cut(members.join(classes.withColumnRenamed("node", "page"), "page", "left").select("token", "page", "n", "pos", F.coalesce("component", "page").alias("class")))
     sizes = placed.groupBy("token", "class").agg(F.count("*").alias("size"))
     open_ = cut(sizes.groupBy("token").agg(F.count("*").alias("classes"), F.max(F.struct("size", "class")).alias("largest")).where("classes >= 2"))
     rest = cut(placed.join(open_, "token").select("token", "page", "n", "pos", "class", F.col("largest.class").alias("main")))
+    release(spark)
     outside = rest.where("class <> main")
     others = rest.select("token", *[F.col(c).alias(f"other_{c}") for c in ("page", "n", "pos", "class")])
     met = outside.join(others, "token").where((F.col("class") != F.col("other_class")) & _in_reach(threshold))
     ends = [f("page", "other_page").alias(c) for f, c in ((F.least, "a"), (F.greatest, "b"))]
-    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    known = of_hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))  # compared, or in one class
     left = cut(met.select(*ends).distinct().join(known, ["a", "b"], "left_anti"))
-    return connected_components(links.unionByName(similar_pairs(left, texts, width, threshold)))
+    return _joined(classes, similar_pairs(left, texts, width, threshold))
+
+
+def _between(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs(a, b) whose ends are in different ones of classes(node, component); a node that isn't there is its own class."""
+    a, b = (classes.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in ("a", "b"))
+    placed = pairs.join(a, "a", "left").join(b, "b", "left")
+    return placed.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """classes(node, component) after links(a, b) between their nodes or new ones."""
+    known = classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return cut(connected_components(known.unionByName(links)))
 
 
 def similar_pairs(pairs: DataFrame, docs: DataFrame, shingle: int, threshold: float) -> DataFrame:
     """The pairs(a, b) of doc_ids whose texts' sets of word shingles have a Jaccard similarity of at least threshold.
 
-    Only texts that stand in a pair are shuffled (a filter of fixed size, which may let others through, goes before).
+    Only texts that stand in a pair are shuffled (a filter of fixed size, which may let others through, goes before), and
+    to each side only those that stand there.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("page")).distinct()
+    sides = {c: pairs.select(F.col(c).alias("page")).distinct() for c in ("a", "b")}
+    ends = cut(sides["a"].unionByName(sides["b"]).distinct())
     texts = PageFilter(ends).keep(docs.select(F.col("doc_id").alias("page"), "text").where("page is not null")).groupBy("page").agg(F.first("text").alias("text"))
     texts = cut(texts.join(ends, "page", "left_semi"))
 
@@ -206,7 +230,8 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, shingle: int, threshold: fl
             keep.append(shared >= threshold * max(len(one) + len(two) - shared, 1))
         return batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    both = pairs.join(texts.withColumnRenamed("page", "a").withColumnRenamed("text", "left"), "a").join(texts.withColumnRenamed("page", "b").withColumnRenamed("text", "right"), "b")
+    left, right = (texts.join(sides[c], "page", "left_semi").select(F.col("page").alias(c), F.col("text").alias(name)) for c, name in (("a", "left"), ("b", "right")))
+    both = pairs.join(left, "a").join(right, "b")
     return by_batch(both.select("a", "b", "left", "right"), kernel, "a long, b long")
 
 

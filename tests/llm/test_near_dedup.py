@@ -59,6 +59,31 @@ def test_all_pairs_of_variants(spark):
     assert kept(spark, texts) == brute_kept(texts)
 
 
+def compared(monkeypatch):
+    """Fills up with the number of pairs of each round whose texts are compared."""
+    counts, exact = [], simhash.similar_pairs
+
+    def counted(pairs, *args):
+        counts.append(pairs.count())
+        return exact(pairs, *args)
+
+    monkeypatch.setattr(simhash, "similar_pairs", counted)
+    return counts
+
+
+def test_group_of_near_copies_is_compared_with_one_hub(spark, monkeypatch):
+    """Near copies with many different hubs are compared about once each, not once for each hub."""
+    rng = random.Random(7)
+    texts, base = {}, [f"b{i}" for i in range(400)]
+    where = rng.sample(range(400), 40)
+    for k in range(150):
+        changed = set(rng.sample(where, 4))
+        texts[k] = " ".join(f"c{i}" if i in changed else w for i, w in enumerate(base))
+    counts = compared(monkeypatch)
+    assert kept(spark, texts) == brute_kept(texts)
+    assert sum(counts) <= 2 * len(texts)
+
+
 def test_recall_on_a_whole_table(spark):
     """All of documents at sf0.01: what stays is what all pairs leave."""
     import pandas as pd
