@@ -84,6 +84,17 @@ def test_group_of_near_copies_is_compared_with_one_hub(spark, monkeypatch):
     assert sum(counts) <= 2 * len(texts)
 
 
+def test_known_classes_are_not_compared(spark, monkeypatch):
+    """Texts of pages that are linked already aren't moved to be compared with each other."""
+    base = [f"b{i}" for i in range(100)]
+    rows = [(k, " ".join([*base, f"c{k}"])) for k in range(30)]
+    counts = compared(monkeypatch)
+    links = spark.createDataFrame([(0, k) for k in range(1, 30)], "a long, b long")
+    classes = simhash.similar_classes(spark.createDataFrame(rows, "page long, text string"), links)
+    assert {(r.node, r.component) for r in classes.collect()} == {(k, 0) for k in range(30)}
+    assert sum(counts) == 0
+
+
 def test_recall_on_a_whole_table(spark):
     """All of documents at sf0.01: what stays is what all pairs leave."""
     import pandas as pd
