@@ -113,6 +113,49 @@ def test_word_tokenizer_is_exact():
         assert np.frombuffer(next(encode([t.encode()])), "<u4").tolist() == encode.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+class CountingDict(dict):
+    reads = 0
+
+    def __getitem__(self, key):
+        self.reads += 1
+        return super().__getitem__(key)
+
+
+def test_word_tokenizer_looks_a_repeated_word_up_once():
+    import public_tokenizers
+
+    encode = packing.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    encode.known = CountingDict()
+    texts = ["alpha, beta gamma " * 500, "beta alpha " * 500]
+    found = [np.frombuffer(x, "<u4").tolist() for x in encode([t.encode() for t in texts])]
+    assert found == [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encode.known.reads < 20
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("abzéßöøÿ÷×µªºÀſİ\u212a\u0301'.,-5 \n\x1c\xa0|<", max_size=12), max_size=40))
+def test_word_tokenizer_on_plain_and_other_words(texts):
+    import public_tokenizers
+
+    encode = packing.tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    encode.forget()
+    for t, ids in zip(texts, encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == encode.tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_word_tokenizer_of_another_normalizer(tmp_path):
+    """Where the steps aren't those that plain words pass unchanged, each word goes through the whole tokenizer."""
+    import public_tokenizers
+    from tokenizers import Tokenizer, normalizers
+
+    changed = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    changed.normalizer = normalizers.Sequence([normalizers.NFD(), normalizers.StripAccents(), normalizers.Lowercase()])
+    changed.save(str(tmp_path / "changed.json"))
+    encode = packing.WordTokenizer(str(tmp_path / "changed.json"))
+    text = "Été naïve straße, plain"
+    assert np.frombuffer(next(encode([text.encode()])), "<u4").tolist() == changed.encode(text, add_special_tokens=False).ids
+
+
 def test_op3(spark, texts):
     found = by_id(QUERIES["op3_quality"](spark, SF))
     for i, t in texts.items():
