@@ -206,6 +206,7 @@ def tokenised_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, tai
             if rows:
                 k, *columns = (np.array(x, np.int64) for x in zip(*rows))
                 yield pa.record_batch([ids.take(pa.array(k)), *map(pa.array, columns), pa.array(np.full(len(k), part, np.int64))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "idx", "part"])
+            pa.default_memory_pool().release_unused()  # of a slice's columns
         give_back()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, idx long, part long")
