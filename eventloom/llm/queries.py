@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from eventloom.llm import chat, decontaminate, langid, linededup, packing, pii, quality, simhash, substrings, suffixes
+from eventloom.llm import chat, clustering, codes, decontaminate, langid, linededup, packing, pieces, pii, quality, simhash, substrings, suffixes
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,29 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(*chat.format_forest(rows))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to ids and decoded again."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).select("doc_id", "ids"), path)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), *[F.sha2(x.cast("binary"), 256).alias(c) for x, c in ((ids, "ids_sha256"), (F.col("decoded"), "decoded_sha256"))])
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of 64 components in 16 clusters."""
+    found = clustering.centroid_clusters(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256)
+    return found.withColumn("centroid_sha256", digest).drop("centroid")
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as four bytes each."""
+    found, books = codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    code = F.array_join(F.transform("codes", lambda k: F.lower(F.lpad(F.hex(k), 2, "0"))), "")
+    digest = clustering.digest([int(e) for b in books for e in b.entries.flat])
+    return found.select("vec_id", code.alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -85,8 +108,13 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat": op10_chat,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_clusters": op12_clusters,
+    "op13_codes": op13_codes,
 }
 ORACLES: dict[str, str] = {
     "op9_line_dedup": linededup.ORACLE,
     "op10_chat": chat.ORACLE,
+    "op12_clusters": clustering.ORACLE,
+    "op13_codes": codes.ORACLE,
 }
