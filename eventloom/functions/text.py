@@ -8,22 +8,53 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _latin_folds() -> tuple[str, str]:
-    """Accented Latin letters and their plain letters, from the Unicode decompositions."""
-    pairs = []
-    for code in [*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)]:
-        plain = "".join(c for c in unicodedata.normalize("NFD", chr(code)) if not unicodedata.combining(c))
-        if len(plain) == 1 and plain != chr(code):
-            pairs.append((chr(code), plain))
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
-
-
-_ACCENTED, _PLAIN = _latin_folds()
+#: How letters without a decomposition are written in ASCII, in lower case. Capitals follow by rule.
+LATIN = {"æ": "ae", "œ": "oe", "ĳ": "ij", "ß": "ss", "þ": "th", "ŋ": "ng", "ð": "d", "đ": "d", "ø": "o", "ł": "l", "ħ": "h", "ı": "i", "ŧ": "t", "ĸ": "k", "ƒ": "f", "ɓ": "b", "ɗ": "d", "ƙ": "k", "ƴ": "y"}
+CYRILLIC = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "й": "i", "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p",
+    "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "'", "ы": "y", "ь": "'", "э": "e", "ю": "iu", "я": "ia",
+    "ё": "io", "ђ": "dj", "ѓ": "gj", "є": "ie", "ѕ": "dz", "і": "i", "ї": "yi", "ј": "j", "љ": "lj", "њ": "nj", "ћ": "tsh", "ќ": "kj", "ў": "u", "џ": "dzh", "ґ": "g",
+}
+GREEK = {
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p",
+    "ρ": "r", "ς": "s", "σ": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o",
+}
+#: Marks and spaces of print, as they are typed.
+MARKS = {"‘": "'", "’": "'", "‚": ",", "“": '"', "”": '"', "„": ",,", "«": "<<", "»": ">>", "–": "-", "—": "--", "…": "...", "‐": "-", "‑": "-", "\u00a0": " ", "\u2009": " ", "\u202f": " "}
+
+
+def transliterations() -> dict[str, str]:
+    """What each covered character becomes: accented letters by their decomposition, others by the fixed values."""
+    table = dict(MARKS)
+    for letters in (LATIN, CYRILLIC, GREEK):
+        for small, plain in letters.items():
+            table[small] = plain
+            if len(small.upper()) == 1:
+                table.setdefault(small.upper(), plain.upper() if letters is LATIN and small != "þ" else plain.capitalize())
+    for code in [*range(0x00C0, 0x0250), *range(0x0370, 0x0530), *range(0x1E00, 0x2000)]:
+        first, *rest = unicodedata.normalize("NFD", chr(code))
+        if rest and all(map(unicodedata.combining, rest)) and (first in table or (first.isascii() and first.isalpha())):
+            table.setdefault(chr(code), table.get(first, first))
+    return table
+
+
+_TABLE = transliterations()
+_ONE = {c: to for c, to in _TABLE.items() if len(to) == 1}
+_MANY = {c: to for c, to in _TABLE.items() if len(to) > 1}
 
 
 def fold_accents(text: Column) -> Column:
-    """Accented Latin letters without their accents; combining marks go; other letters stay."""
-    return F.regexp_replace(F.translate(text, _ACCENTED, _PLAIN), r"\p{Mn}+", "")
+    """Text in ASCII letters, as far as it can be told: accents and combining marks go; Latin letters of their own,
+    Cyrillic and Greek ones and the marks of print are written out, some as several letters. Other characters stay.
+
+    Characters that become one are translated in one pass; those that become several are replaced one by one, in texts
+    that hold any.
+    """
+    plain = F.regexp_replace(F.translate(text, "".join(_ONE), "".join(_ONE.values())), r"\p{Mn}+", "")
+    written = plain
+    for c, to in _MANY.items():
+        written = F.replace(written, F.lit(c), F.lit(to))
+    return F.when(plain.rlike(f"[{''.join(_MANY)}]"), written).otherwise(plain)
 
 
 def _each(text: Column, *rules: tuple[str, str]) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.dates import in_force
+from eventloom.functions.phrases import chosen_phrase
 from eventloom.functions.text import clean_query, fold_accents, title_case
 
 #: Fixed domain values: the priority of each role code.
@@ -68,22 +69,20 @@ def find_country(texts: DataFrame, patterns: list[tuple[str, str]], method: str
 
     All occurrences of a pattern are taken out to give the rest. longest chooses the pattern that leaves the shortest
     rest, first the one that stands earliest; of equal ones the one listed first. Without any, country is null and rest
-    the text without accents. The pattern list is a dimension of some hundreds of rows that the plan holds as literals,
-    so that each regular expression is compiled once; one alternation of all of them goes first, and only its hits are
-    looked into. Texts aren't shuffled.
+    the text in ASCII letters (fold_accents); a null text has neither. The pattern list is a dimension of some hundreds
+    or thousands of rows that goes with the tasks; each worker makes one automaton of it (functions.phrases), which reads
+    a text once, however many patterns there are. Texts aren't shuffled.
     """
     if method not in ("longest", "first"):
         raise ValueError(f"method must be longest or first, not {method}")
-    text = fold_accents(F.col("text"))
-    hits = []
-    for k, (pattern, value) in enumerate(patterns):
-        rest = F.trim(F.regexp_replace(F.trim(F.regexp_replace(text, pattern, "")), " +", " "))
-        order = F.length(rest) if method == "longest" else F.length(F.regexp_extract(text, f"(?s)^(.*?)(?:{pattern})", 1))
-        hits.append(F.when(text.rlike(pattern), F.struct(order.alias("order"), F.lit(k).alias("k"), F.lit(value).alias("country"), rest.alias("rest"))))
-    best = F.array_min(F.array_compact(F.array(*hits)))
-    if patterns:
-        best = F.when(text.rlike("|".join(f"(?:{p})" for p, _ in patterns)), best)
-    return texts.withColumn("_best", best).withColumns({"country": F.col("_best.country"), "rest": F.coalesce("_best.rest", text)}).drop("_best")
+    listed = tuple(map(tuple, patterns))
+
+    @F.arrow_udf("struct<country: string, rest: string>")
+    def scan(text: pa.Array) -> pa.Array:
+        found = [chosen_phrase(t, listed, method) for t in text.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([f[i] for f in found], pa.string()) for i in (0, 1)], ["country", "rest"])
+
+    return texts.withColumn("_best", scan(fold_accents(F.col("text")))).withColumns({"country": F.col("_best.country"), "rest": F.col("_best.rest")}).drop("_best")
 
 
 def parse_agents(lines: DataFrame) -> DataFrame:

@@ -8,18 +8,27 @@ from pyspark.sql import functions as F
 from eventloom.operators import actors, mentions
 from eventloom.plans.registry import query, table
 
-#: A small dimension in the shape of the country list; the words stand in for names, as the tables hold invented text.
-_COUNTRIES = [(1, "Ring", "RNG", "small ring, Ringish"), (2, "Widget", "WID", "widget,Widgets"), (3, "Bolt", "BLT", "bolt, red bolt"), (4, "Old Bolt", "OBT", "large bolt"), (5, "Anvil", "ANV", "anvil")]
 _PATTERNS = [("small ring(?=[^a-z]|$)", "RNG"), ("Ringish(?=[^a-z]|$)", "RNG"), ("Ring", "RNG"), ("widget(?=[^a-z]|$)", "WID"), ("Widgets(?=[^a-z]|$)", "WID"), ("Widget", "WID"), ("bolt(?=[^a-z]|$)", "BLT"), ("red bolt(?=[^a-z]|$)", "BLT"), ("Bolt", "BLT"), ("large bolt(?=[^a-z]|$)", "OBT"), ("Old Bolt", "OBT"), ("anvil(?=[^a-z]|$)", "ANV"), ("Anvil", "ANV")]
 
 
-@query("""
-with c(ordinal, code, name, nats) as (values (1, 'RNG', 'Ring', ['small ring', 'Ringish']), (2, 'WID', 'Widget', ['widget', 'Widgets']), (3, 'BLT', 'Bolt', ['bolt', 'red bolt']), (4, 'OBT', 'Old Bolt', ['large bolt']), (5, 'ANV', 'Anvil', ['anvil'])),
-p as (select ordinal, code, unnest(list_append(list_transform(nats, lambda n: n || '(?=[^a-z]|$)'), name)) as pattern, unnest(list_append(nats, name)) as bare from c)
-select false as categories, pattern, code from p union all select true, 'of ' || bare, code from p union all select true, 'in ' || bare, code from p""")
+def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations in the shape of the country list: their nationalities are the names of parts that are theirs."""
+    nation, name = table(spark, sf_dir, "nation"), table(spark, sf_dir, "part").select("p_name").distinct()
+    of = nation.join(name, F.pmod(F.length("p_name"), F.lit(5)) == F.col("n_nationkey") % 5)
+    listed = of.groupBy("n_nationkey", "n_name").agg(F.array_join(F.array_sort(F.collect_set(F.concat("p_name", F.lit(" of "), "n_name"))), ", ").alias("nationality"))
+    return listed.select(F.col("n_nationkey").alias("ordinal"), F.col("n_name").alias("name"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code"), "nationality")
+
+
+_NATION_PATTERNS_SQL = """
+l as (select n_nationkey as ordinal, 'N' || n_nationkey as code, n_name, list_sort(list(distinct p_name || ' of ' || n_name)) as nats from nation join (select distinct p_name from part) on length(p_name) % 5 = n_nationkey % 5 group by n_nationkey, n_name),
+pats as (select ordinal, code, unnest(list_append(nats, n_name)) as bare, generate_subscripts(list_append(nats, n_name), 1) as place, len(nats) + 1 as n from l)"""
+
+
+@query(f"""
+with {_NATION_PATTERNS_SQL}
+select false as categories, bare || case when place < n then '(?=[^a-z]|$)' else '' end as pattern, code from pats union all select true, 'of ' || bare, code from pats union all select true, 'in ' || bare, code from pats""")
 def s5_country_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    countries = spark.createDataFrame(_COUNTRIES, "ordinal int, name string, code string, nationality string")
-    plain, of = (actors.country_patterns(countries, c).select(F.lit(c).alias("categories"), "pattern", "code") for c in (False, True))
+    plain, of = (actors.country_patterns(_nations(spark, sf_dir), c).select(F.lit(c).alias("categories"), "pattern", "code") for c in (False, True))
     return plain.unionByName(of)
 
 
@@ -43,6 +52,28 @@ def t2_search_nat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("p_partkey", "longest", F.col("kept").alias("rest"), F.col("country").alias("first"))
 
 
+_SENTENCES_SQL = "(select l_orderkey, l_linenumber, case l_orderkey % 4 when 0 then n_name || ' and ' || p_name when 1 then 'the ' || p_name || ' of ' || n_name || ', twice the ' || p_name || ' of ' || n_name when 2 then p_name || ' of ' || n_name || 'an' else 'no ' || p_name end as text from lineitem join part on p_partkey = l_partkey join nation on n_nationkey = l_orderkey % 25)"
+
+
+@query(f"""
+with {_NATION_PATTERNS_SQL}, t as materialized (select * from {_SENTENCES_SQL}), numbered as (select *, row_number() over (order by ordinal, place) as k from pats),
+m as materialized (select text, k, code, trim(regexp_replace(trim(replace(text, bare, '')), ' +', ' ', 'g')) as rest, strpos(text, bare) as spot
+  from (select distinct text from t) join numbered on contains(text, bare) where place = n or not regexp_matches(text, bare || '[a-z]'))
+select l_orderkey, l_linenumber, l.code as longest, coalesce(l.rest, t.text) as rest, f.code as first from t
+left join (select * from m qualify row_number() over (partition by text order by length(rest), k) = 1) l using (text)
+left join (select * from m qualify row_number() over (partition by text order by spot, k) = 1) f using (text)""")
+def t2_many_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences about all items of orders, by hundreds of patterns made of nations and parts."""
+    patterns = [(r.pattern, r.code) for r in actors.country_patterns(_nations(spark, sf_dir)).orderBy("ordinal").collect()]  # nations times part names: a dimension
+    key, part, nation = F.col("l_orderkey"), F.col("p_name"), F.col("n_name")
+    of = F.concat(part, F.lit(" of "), nation)
+    made = F.when(key % 4 == 0, F.concat(nation, F.lit(" and "), part)).when(key % 4 == 1, F.concat(F.lit("the "), of, F.lit(", twice the "), of)).when(key % 4 == 2, F.concat(of, F.lit("an"))).otherwise(F.concat(F.lit("no "), part))
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"), (key % 25).alias("n_nationkey"))
+    texts = items.join(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey").join(F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name")), "n_nationkey").select("l_orderkey", "l_linenumber", made.alias("text"))
+    longest = actors.find_country(texts, patterns).withColumnsRenamed({"country": "longest", "rest": "kept"})
+    return actors.find_country(longest, patterns, "first").select("l_orderkey", "l_linenumber", "longest", F.col("kept").alias("rest"), F.col("country").alias("first"))
+
+
 _LINES = ["# comment", "", "!macro! = x", "POLICE_CHIEF [~COP]", "deputy_!minist!_of_war {note} [~GOVMIL] # why", "market_!person! [BUS]", "no code here", "court [~JUD] {n}"]
 
 
