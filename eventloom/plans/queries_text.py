@@ -169,7 +169,7 @@ select o_orderkey, strftime(case o_orderkey % 10 when 0 then d when 1 then d - 3
   when 6 then d + (case when (5 - isodow(d)::int + 7) % 7 = 0 then 7 else (5 - isodow(d)::int + 7) % 7 end)
   when 7 then d - (case when isodow(d)::int = 7 then 7 else isodow(d)::int end) when 8 then d
   else make_date(year(d) - (case when make_date(year(d), 5, 5) > d then 1 else 0 end), 5, 5) end, '%Y-%m-%d') as date_resolved,
- case o_orderkey % 10 when 0 then '<No date detected--using publication date>' when 6 then 'Friday' when 8 then '<date not understood--using publication date>' else raw end as date_raw
+ case o_orderkey % 10 when 0 then '<No date detected--using publication date>' when 6 then 'Friday' when 8 then '<dateparser failed to convert relative date--using pub date>' else raw end as date_raw
 from {_DATES_SQL}""")
 def t24_resolve_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, k = F.col("o_orderdate").cast("date"), F.col("o_orderkey") % 10
@@ -179,3 +179,25 @@ def t24_resolve_date(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = raw.when(k == n, phrase)
     rows = table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw"), F.date_format(d, "yyyy-MM-dd").alias("published"))
     return dates.resolve_dates(rows, "raw", "published").select("o_orderkey", "date_resolved", "date_raw")
+
+
+#: Phrases, and in SQL the date that each means from a day d; those after the first null mean none.
+_PHRASES = [
+    ("today", "d"), ("the day before yesterday", "d - 2"), ("tomorrow", "d + 1"), ("five days earlier", "d - 5"), ("2 weeks and 3 days ago", "d - 17"), ("a month ago", "(d - interval 1 month)::date"), ("1 year, 2 months ago", "(d - interval 14 month)::date"),
+    ("5 hours ago", "d - 1"), ("49 hours ago", "d - 3"), ("in 3 days", "d + 3"), ("two days from now", "d + 2"), ("10 days", "d - 10"), ("last week", "d - 7"), ("this year", "d"), ("next month", "(d + interval 1 month)::date"), ("Thursday", "d - ((isodow(d)::int - 4 + 6) % 7 + 1)"), ("last Sat.", "d - ((isodow(d)::int - 6 + 6) % 7 + 1)"),
+    ("May 2019", "make_date(2019, 5, day(d))"), ("in 2018", "make_date(2018, month(d), case when month(d) = 2 then least(day(d), 28) else day(d) end)"), ("July", "make_date(year(d) - (case when make_date(year(d), 7, day(d)) > d then 1 else 0 end), 7, day(d))"),
+    ("5 May", "make_date(year(d) - (case when make_date(year(d), 5, 5) > d then 1 else 0 end), 5, 5)"), ("the 3rd of March", "make_date(year(d) - (case when make_date(year(d), 3, 3) > d then 1 else 0 end), 3, 3)"), ("Monday, December 4", "make_date(year(d) - (case when make_date(year(d), 12, 4) > d then 1 else 0 end), 12, 4)"),
+    ("May 4 2020", "date '2020-05-04'"), ("Mon, 4 May 2020", "date '2020-05-04'"), ("2020-05-04T10:00:00", "date '2020-05-04'"), ("5/4/2020", "date '2020-05-04'"), ("20200504", "date '2020-05-04'"), ("Sept. 9, 2019 at 3:15 pm", "date '2019-09-09'"), ("the 1st", "date_trunc('month', d)::date"),
+    ("February 30, 2020", None), ("some day", None), ("May June", None), ("soon after the vote", None),
+]
+
+
+@query(f"""
+with t as (select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as published, o_orderdate::date as d, o_orderkey % {len(_PHRASES)} as k, list_extract([{", ".join(f"'{p}'" for p, _ in _PHRASES)}], (o_orderkey % {len(_PHRASES)} + 1)::int) as raw from orders),
+r as (select *, case k {" ".join(f"when {k} then {e}" for k, (_, e) in enumerate(_PHRASES) if e)} end as told from t)
+select o_orderkey, coalesce(strftime(told, '%Y-%m-%d'), published) as date_resolved, case when told is null then '<dateparser failed to convert relative date--using pub date>' else raw end as date_raw from r""")
+def t24_date_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of every kind, read from the dates of all orders."""
+    raw = F.get(F.array(*[F.lit(p) for p, _ in _PHRASES]), (F.col("o_orderkey") % len(_PHRASES)).cast("int"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("published"))
+    return dates.resolve_dates(rows, "raw", "published").select("o_orderkey", "date_resolved", "date_raw")
