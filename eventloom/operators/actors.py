@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from eventloom.functions.dates import in_force
 from eventloom.functions.phrases import chosen_phrase
 from eventloom.functions.text import clean_query, fold_accents, title_case
+from eventloom.operators import vector_index
 
 #: Fixed domain values: the priority of each role code.
 ROLE_PRIORITIES = {
@@ -103,31 +104,29 @@ def parse_agents(lines: DataFrame) -> DataFrame:
     return coded.select("line", F.explode(variants).alias("pattern"), "code_1", "code_2")
 
 
-#: Vectors of agent patterns that one pass over the queries compares with, and queries that are compared at once.
+#: A dictionary of up to so many agent patterns goes with the tasks; a larger one gets an index. Queries that are compared at once.
 AGENTS_A_PASS, QUERIES_AT_ONCE = 20_000, 256
 
 
 def best_agent(queries: DataFrame, agents: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(query_id, pattern_id, conf) of queries(query_id, embedding): the agent pattern of the highest cosine, if it reaches the threshold.
 
-    Agents are counted and taken in blocks of about AGENTS_A_PASS by hash, one pass over the queries each, so that what
-    workers hold as a matrix is bounded; a dictionary is one block. A pass multiplies Arrow batches of queries with the
-    matrix and hands on a query's best only. Of equal cosines the least pattern_id counts; a zero or null vector matches
-    nothing.
+    Agents are counted first. Up to AGENTS_A_PASS of them are one matrix, with which Arrow batches of queries are
+    multiplied where they are. More are put in a vector index, and queries visit the cells that can hold a vector within
+    the threshold (vector_index.within), to the same result. Of equal cosines the least pattern_id counts; a zero or null
+    vector matches nothing.
     """
     rows = agents.select(F.col("pattern_id").cast("long").alias("pattern_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("embedding is not null")
-    blocks = max(1, -(-rows.count() // AGENTS_A_PASS))
     wanted = queries.select(F.col("query_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("embedding is not null")
-    found = None
-    for block in range(blocks):
-        part = rows.where(F.pmod(F.xxhash64("pattern_id"), F.lit(blocks)) == block).orderBy("pattern_id").toPandas()
-        if len(part):
-            best = wanted.mapInArrow(_nearest(part["pattern_id"].to_numpy(), np.stack(part["embedding"].to_list())), "query_id long, pattern_id long, conf double")
-            found = best if found is None else found.unionByName(best)
-    if found is None:
+    n = rows.count()
+    if n > AGENTS_A_PASS:
+        found = vector_index.within(wanted, vector_index.build_index(rows.withColumnRenamed("pattern_id", "id")), threshold)
+        return found.select("query_id", F.col("id").alias("pattern_id"), F.col("similarity").alias("conf"))
+    if n == 0:
         return wanted.select("query_id", F.lit(None).cast("long").alias("pattern_id"), F.lit(None).cast("double").alias("conf")).where("false")
-    best = found.groupBy("query_id").agg(F.max(F.struct("conf", (-F.col("pattern_id")).alias("order"))).alias("best"))
-    return best.where(F.col("best.conf") >= threshold).select("query_id", (-F.col("best.order")).alias("pattern_id"), F.col("best.conf").alias("conf"))
+    known = rows.orderBy("pattern_id").toPandas()
+    best = wanted.mapInArrow(_nearest(known["pattern_id"].to_numpy(), np.stack(known["embedding"].to_list())), "query_id long, pattern_id long, conf double")
+    return best.where(F.col("conf") >= threshold)
 
 
 def _nearest(ids: np.ndarray, vectors: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators import actors, mentions
-from eventloom.plans.registry import query, table
+from eventloom.operators import actors, mentions, vector_index
+from eventloom.plans.registry import query, scratch, table
+from eventloom.sources.sinks import checkpointed
 
 _PATTERNS = [("small ring(?=[^a-z]|$)", "RNG"), ("Ringish(?=[^a-z]|$)", "RNG"), ("Ring", "RNG"), ("widget(?=[^a-z]|$)", "WID"), ("Widgets(?=[^a-z]|$)", "WID"), ("Widget", "WID"), ("bolt(?=[^a-z]|$)", "BLT"), ("red bolt(?=[^a-z]|$)", "BLT"), ("Bolt", "BLT"), ("large bolt(?=[^a-z]|$)", "OBT"), ("Old Bolt", "OBT"), ("anvil(?=[^a-z]|$)", "ANV"), ("Anvil", "ANV")]
 
@@ -95,6 +96,18 @@ def t11_agent_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "pattern_id", F.round("conf", 6).alias("conf"))
 
 
+@query("""
+with v as (select vec_id, embedding::double[] as e from embeddings), s as (select q.vec_id as query_id, a.vec_id, list_cosine_similarity(q.e, a.e) as similarity from v q, v a where q.vec_id % 100 = 0)
+select query_id, vec_id, row_number() over (partition by query_id order by round(similarity, 9) desc, vec_id)::int as rank, round(similarity, 6) as similarity from s
+qualify row_number() over (partition by query_id order by round(similarity, 9) desc, vec_id) <= 10""")
+def t11_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of all vectors to each whose id is divisible by 100, by the index and then by its bounds, so that none is missed."""
+    vecs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    keep = lambda df: checkpointed(df, scratch(spark))
+    found = vector_index.nearest(vecs.where("id % 100 = 0").withColumnRenamed("id", "query_id"), vector_index.build_index(vecs, keep=keep), 10, exact=True, keep=keep)
+    return found.select("query_id", F.col("id").alias("vec_id"), "rank", F.round("similarity", 6).alias("similarity"))
+
+
 _NAME = "case when c_custkey % 2 = 0 then lower(c_mktsegment) else c_mktsegment end"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators import evaluation, learning, pairs
+from eventloom.operators import evaluation, learning, pairs, similar_names
 from eventloom.plans.registry import query, table
 
 _NAMES_SQL = "(select distinct p_brand as entry, p_name as name from part)"
@@ -40,9 +40,9 @@ def m9_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     names = _names(spark, sf_dir)
-    entries = names.select("entry").distinct()
-    both = entries.join(entries.withColumnRenamed("entry", "other"), F.lit(True))  # brands: a dimension of some dozens of rows
-    hits = both.withColumn("rank", F.row_number().over(Window.partitionBy("entry").orderBy(F.levenshtein("entry", "other"), "other")))
+    links = similar_names.edit_links(names.select(F.col("entry").alias("name")))  # brands differ in at most two digits
+    both = links.select(F.explode(F.array(F.struct(F.col("a").alias("entry"), F.col("b").alias("other")), F.struct(F.col("b").alias("entry"), F.col("a").alias("other")))).alias("p"), "distance").select("p.*", "distance")
+    hits = both.withColumn("rank", F.row_number().over(Window.partitionBy("entry").orderBy("distance", "other")))
     return pairs.hard_negatives(names, hits, own=2, nearest=2)
 
 

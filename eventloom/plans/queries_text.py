@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions import dates, text, vectors
+from eventloom.operators import similar_names
 from eventloom.plans.registry import query, table
 
 #: Mentions made of customer rows: articles, ordinals, possessives and numbers around the same word.
@@ -108,6 +109,18 @@ def t8_levenshtein(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _name_pairs(spark, sf_dir).select("a", "b", F.round(text.levenshtein_similarity(F.col("a"), F.col("b")), 9).alias("similarity"))
 
 
+@query(r"""
+with names as (select distinct unnest(list_filter(regexp_split_to_array(strip_accents(lower(text)), '[^\pL\pN]+'), lambda w: w <> '')) as name from benchmark),
+p as (select x.name as a, y.name as b, levenshtein(x.name, y.name) as distance from names x join names y on x.name < y.name and abs(length(x.name) - length(y.name)) <= 2),
+ends as (select unnest([a, b]) as name, distance from p where distance <= 2)
+select name, count(distance) as links, min(distance)::int as nearest from names left join ends using (name) group by name""")
+def t8_edit_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each different word of the benchmark, without accents (SQL counts bytes), with the number of words within two edits."""
+    words = F.split(text.fold_accents(F.lower("text")), r"[^\p{L}\p{N}]+")
+    names = table(spark, sf_dir, "benchmark").select(F.explode(words).alias("name")).where("name <> ''").distinct()
+    return similar_names.link_counts(names, similar_names.edit_links(names, most=2))
+
+
 @query(rf"""{_PAIRS.replace('with', 'with recursive')},
 dp as (
   select a, b, 0 as i, list_transform(range(length(b) + 1), lambda x: 0) as cells from p
