@@ -110,7 +110,7 @@ def t8_levenshtein(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-with names as (select distinct unnest(list_filter(regexp_split_to_array(strip_accents(lower(text)), '[^\pL\pN]+'), lambda w: w <> '')) as name from benchmark),
+with names as (select distinct unnest(list_filter(regexp_split_to_array(replace(strip_accents(lower(text)), 'ß', 'ss'), '[^\pL\pN]+'), lambda w: w <> '')) as name from benchmark),
 p as (select x.name as a, y.name as b, levenshtein(x.name, y.name) as distance from names x join names y on x.name < y.name and abs(length(x.name) - length(y.name)) <= 2),
 ends as (select unnest([a, b]) as name, distance from p where distance <= 2)
 select name, count(distance) as links, min(distance)::int as nearest from names left join ends using (name) group by name""")
