@@ -54,3 +54,25 @@ def hard_negatives(names: DataFrame, hits: DataFrame, own: int = 2, nearest: int
     drawn = Window.partitionBy("entry").orderBy(draw(seed, "entry", "name"), "name")
     mine = names.withColumn("_k", F.row_number().over(drawn)).where(F.col("_k") <= own).select("entry", F.col("name").alias("a"))
     return close.select("entry", "other").join(mine, "entry").join(names.select(F.col("entry").alias("other"), F.col("name").alias("b")), "other").select("entry", "a", "other", "b")
+
+
+#: Words in a row by which an item and a text that holds it meet.
+MEETING = 3
+
+
+def containing(items: DataFrame, docs: DataFrame) -> DataFrame:
+    """(query_id, doc_id): which texts of docs(doc_id, text) hold which of items(query_id, item), character by character.
+
+    An item's words but for its first and last stand in such a text as they are, between spaces. So they meet on the
+    item's words from the second on, and only what meets is looked through. An item of fewer words than MEETING + 2 is
+    looked for in all texts.
+    """
+    words = F.split("item", " ")
+    inner = items.select("query_id", "item", F.when(F.size(words) >= MEETING + 2, F.xxhash64(F.array_join(F.slice(words, 2, MEETING), " "))).alias("h"))
+    split = docs.select("doc_id", "text", F.split("text", " ").alias("w"))
+    places = F.when(F.size("w") >= MEETING, F.sequence(F.lit(1), F.size("w") - MEETING + 1))
+    runs = split.select("doc_id", F.explode(F.array_distinct(F.transform(places, lambda i: F.xxhash64(F.array_join(F.slice("w", i, MEETING), " "))))).alias("h"))
+    met = runs.join(inner.where("h is not null").select("query_id", "h"), "h").select("query_id", "doc_id").distinct()
+    whole = met.join(items, "query_id").join(docs, "doc_id").where(F.contains("text", F.col("item"))).select("query_id", "doc_id")
+    short = inner.where("h is null and item is not null")
+    return whole if short.isEmpty() else whole.unionByName(short.join(docs, F.contains("text", F.col("item"))).select("query_id", "doc_id"))

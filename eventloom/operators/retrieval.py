@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -57,17 +58,32 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
+#: Postings of a word fall into levels of impact, so many to one; a level is skipped as a whole where it can't matter.
+LEVELS = 16
+DEALT = 64
+#: A first guess of a search's k-th score comes from the scores of about SEEDS * k articles a query, taken from a level by
+#: parts of about PART postings. With more than MOST_SEEDS in all, or MOST_TERMS rows of levels, they aren't sent around,
+#: and the search goes without bounds.
+SEEDS, PART, MOST_SEEDS, MOST_TERMS = 3, 128, 1_000_000, 1_000_000
+#: So few postings of a search's words are added up as they are: bounds take some small jobs of their own.
+FEW_POSTINGS = 20_000_000
+#: Bounds are held to be reached so much earlier, as sums are rounded.
+ROUNDING = 1e-9
+
+
 @dataclass(frozen=True)
 class Index:
-    """postings(field, token, article_id, impact) and frequencies(field, token, idf).
+    """postings(field, token, level, article_id, impact), frequencies(field, token, idf), levels(field, token, level, n, most).
 
     impact is what a posting brings in a field of boost 1 for an idf of 1: the part of BM25 that depends on the article
     alone. So a search reads one table and adds up products; lengths and means aren't looked up again. In boolean fields
-    both numbers are 1.
+    both numbers are 1. A level holds n postings of a word whose impacts are alike, the highest being most.
     """
 
     postings: DataFrame
     frequencies: DataFrame
+    levels: DataFrame
+    totals: DataFrame | None = None  # (field, n, mean_len) of an index that isn't written yet
 
 
 def build_index(articles: DataFrame, fields: list[Field]) -> Index:
@@ -88,22 +104,38 @@ def build_index(articles: DataFrame, fields: list[Field]) -> Index:
     boolean, whole = flat(lambda f: f.boolean), flat(lambda f: f.whole)
     norm = F.when(whole, 1.0).otherwise(1 - B + B * F.col("len") / F.col("mean_len"))
     impact = F.when(boolean, 1.0).otherwise(F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * norm))
-    idf = F.when(boolean, 1.0).otherwise(F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    postings = counted.join(F.broadcast(totals), "field").select("field", "token", "article_id", impact.alias("impact"))
-    frequencies = counted.groupBy("field", "token").agg(F.count("*").alias("df")).join(F.broadcast(totals), "field").select("field", "token", idf.alias("idf"))
-    return Index(postings, frequencies)
+    postings = counted.join(F.broadcast(totals), "field").select("field", "token", F.floor(impact * LEVELS).cast("int").alias("level"), "article_id", impact.alias("impact"))
+    totals = totals.withColumn("boolean", boolean)
+    levels = _levels(postings)
+    return Index(postings, _frequencies(levels, totals), levels, totals)
+
+
+def _levels(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("field", "token", "level").agg(F.count("*").alias("n"), F.max("impact").alias("most"))
+
+
+def _frequencies(levels: DataFrame, totals: DataFrame) -> DataFrame:
+    df = F.col("df")
+    idf = F.when(F.col("boolean"), 1.0).otherwise(F.log(1 + (F.col("n") - df + 0.5) / (df + 0.5)))
+    return levels.groupBy("field", "token").agg(F.sum("n").alias("df")).join(F.broadcast(totals), "field").select("field", "token", idf.alias("idf"))
 
 
 def write_index(index: Index, path: str) -> None:
-    """Writes an index; postings are clustered by token, so that a search for few words skips most row groups."""
-    index.postings.repartitionByRange("token", "article_id").sortWithinPartitions("token").write.mode("overwrite").parquet(f"{path}/postings")
-    index.frequencies.write.mode("overwrite").parquet(f"{path}/frequencies")
+    """Writes an index that was built; postings are clustered by token and level, so that a search for few words skips most
+    row groups. A token's postings are dealt to DEALT files at most, so that one in every article is no task of its own.
+    The other tables are made of the written postings.
+    """
+    spark, dealt = index.postings.sparkSession, F.pmod(F.xxhash64("article_id"), F.lit(DEALT))
+    index.postings.repartition("token", dealt).sortWithinPartitions("token", "level").write.mode("overwrite").parquet(f"{path}/postings")
+    _levels(spark.read.parquet(f"{path}/postings")).write.mode("overwrite").parquet(f"{path}/levels")
+    _frequencies(spark.read.parquet(f"{path}/levels"), index.totals).write.mode("overwrite").parquet(f"{path}/frequencies")
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
     """A written index; one without the expected columns is refused."""
-    index = Index(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/frequencies"))
-    missing = {"field", "token", "article_id", "impact"} - set(index.postings.columns) | {"field", "token", "idf"} - set(index.frequencies.columns)
+    index = Index(*[spark.read.parquet(f"{path}/{part}") for part in ("postings", "frequencies", "levels")])
+    expected = [(index.postings, {"field", "token", "level", "article_id", "impact"}), (index.frequencies, {"field", "token", "idf"}), (index.levels, {"field", "token", "level", "n", "most"})]
+    missing = {c for df, columns in expected for c in columns - set(df.columns)}
     if missing:
         raise ValueError(f"no usable index at {path}: {', '.join(sorted(missing))} missing")
     return index
@@ -118,7 +150,7 @@ def _clauses(queries: DataFrame, text: str, fields: list[Field], required: bool)
     return queries.select("query_id", F.lit(required).alias("required"), F.explode(F.concat(*[F.coalesce(p, none) for p in parts])).alias("c")).select("query_id", "required", "c.*")
 
 
-def search(queries: DataFrame, index: Index, fields: list[Field], k: int = 200, required: DataFrame | None = None, required_fields: list[Field] = REQUIRED_FIELDS, importance: DataFrame | None = None) -> DataFrame:
+def search(queries: DataFrame, index: Index, fields: list[Field], k: int = 200, required: DataFrame | None = None, required_fields: list[Field] = REQUIRED_FIELDS, importance: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] | None = None, few: int = FEW_POSTINGS) -> DataFrame:
     """(query_id, article_id, score, rank): the k best articles for each of queries(query_id, query).
 
     The score is the sum, over fields and the query's words, of boost times BM25, or of the boost alone in boolean fields,
@@ -126,21 +158,90 @@ def search(queries: DataFrame, index: Index, fields: list[Field], k: int = 200,
     match the term too, in required_fields, and its score there is added. importance(article_id, bonus) adds a bonus to
     articles that match. Clauses are few, so Spark broadcasts them if they are small enough, and postings meet them in
     one pass; products are summed per partition before they shuffle by query and article, and the rank filter is pushed
-    into the window, so each partition sorts k rows a query. Equal scores rank by article_id.
+    into the window, so each partition sorts k rows a query. Scores that are equal to nine places rank by article_id.
+
+    With keep, a function that writes a small table and reads it back, a search without a required term leaves out what
+    can't reach the k best (_bounded), if its words have more than few postings; the result is the same.
     """
     clauses = _clauses(queries, "query", fields, False)
     if required is not None:
         clauses = clauses.unionByName(_clauses(required, "term", required_fields, True))
     terms = clauses.join(index.frequencies, ["field", "token"]).select("query_id", "required", "field", "token", (F.col("boost") * F.col("idf")).alias("weight"))
-    hits = terms.join(index.postings, ["field", "token"])
-    scored = hits.groupBy("query_id", "article_id").agg(F.sum(F.col("weight") * F.col("impact")).alias("score"), F.max("required").alias("held"), F.min("required").alias("only"))
-    scored = scored.where("not only" if required is None else "held and not only").select("query_id", "article_id", "score")
+    scored = None
+    if required is None and keep is not None:
+        ends = importance.agg(F.least(F.min("bonus"), F.lit(0.0)), F.greatest(F.max("bonus"), F.lit(0.0))).first() if importance is not None else (0.0, 0.0)
+        scored = _bounded(terms.drop("required"), index, k, (ends[1] or 0.0) - (ends[0] or 0.0), keep, few)
+    if scored is None:
+        hits = terms.join(index.postings, ["field", "token"])
+        scored = hits.groupBy("query_id", "article_id").agg(F.sum(F.col("weight") * F.col("impact")).alias("score"), F.max("required").alias("held"), F.min("required").alias("only"))
+        scored = scored.where("not only" if required is None else "held and not only").select("query_id", "article_id", "score")
     if importance is not None:
         scored = scored.join(importance, "article_id", "left").select("query_id", "article_id", (F.col("score") + F.coalesce("bonus", F.lit(0.0))).alias("score"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "article_id")
+    best = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "article_id")
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
+def _products(terms: DataFrame, postings: DataFrame, *on: str) -> DataFrame:
+    """What each posting of terms(query_id, field, token, weight) brings to a query. terms are known to be few."""
+    return postings.join(F.broadcast(terms), list(on)).select("query_id", "article_id", (F.col("weight") * F.col("impact")).alias("score"))
+
+
+def _added(products: DataFrame) -> DataFrame:
+    return products.groupBy("query_id", "article_id").agg(F.sum("score").alias("score"))
+
+
+def _bounded(terms: DataFrame, index: Index, k: int, slack: float, keep: Callable[[DataFrame], DataFrame], few: int) -> DataFrame | None:
+    """(query_id, article_id, score) of all articles that can be among the k best of a query by terms(query_id, field,
+    token, weight), to whose scores up to slack is added later; None if terms or seeds are too many, or postings few.
+
+    1. Some articles with high impacts (seeds) are scored in full. The k-th best of their scores is at most that of all.
+       A word all of whose articles are among them is done with: no other article holds it.
+    2. A word's bound is its weight times its highest impact. The words with the least bounds, as many as together stay
+       below that score, aren't needed to find articles (others); the rest find them. A level of a word is left out if an article in it stays
+       below that score with all other words at their bounds.
+    3. Articles that were found stay if they can reach that score with the others at their bounds. Only to these the
+       others' postings are added: they are filtered where they are read, before anything is shuffled.
+    """
+    spans = keep(_merged(terms).join(index.levels, ["field", "token"]))
+    sizes = spans.agg(F.count("*").alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("postings")).first()
+    if sizes.rows > MOST_TERMS or sizes.postings <= few:
+        return None
+    bound = F.col("weight") * F.col("most")
+    falling = Window.partitionBy("query_id").orderBy(F.desc(bound), "field", "token", "level")
+    before = F.coalesce(F.sum("n").over(falling.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = spans.withColumn("open", SEEDS * k - before).where("open > 0")
+    parts, taken = F.ceil(F.col("n") / PART), F.ceil(F.col("open") / PART)
+    drawn = F.pmod(F.xxhash64("article_id"), parts) < taken
+    seeds = keep(index.postings.join(F.broadcast(first), ["field", "token", "level"]).where(drawn).select("query_id", "article_id").distinct())
+    if seeds.count() > MOST_SEEDS:
+        return None
+    words = spans.groupBy("query_id", "field", "token").agg(F.first("weight").alias("weight"), F.max(bound).alias("bound"))
+    taken_whole = first.where(taken >= parts).groupBy("query_id", "field", "token").agg(F.count("*").alias("of_seeds"))
+    exhausted = spans.groupBy("query_id", "field", "token").agg(F.count("*").alias("of_word")).join(taken_whole, ["query_id", "field", "token"]).where("of_seeds = of_word")
+    full = _added(_products(words.drop("bound"), index.postings, "field", "token").join(F.broadcast(seeds), ["query_id", "article_id"], "left_semi"))
+    full = keep(full)
+    kth = full.withColumn("_k", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "article_id"))).where(F.col("_k") == k)
+    least = kth.select("query_id", (F.col("score") * (1 - ROUNDING) - slack).alias("least"))
+    rising = Window.partitionBy("query_id").orderBy("bound", "field", "token").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = words.join(exhausted, ["query_id", "field", "token"], "left_anti").withColumns({"upto": F.sum("bound").over(rising), "all": F.sum("bound").over(Window.partitionBy("query_id"))}).join(least, "query_id", "left")
+    judged = summed.withColumn("other", F.coalesce(F.col("upto") < F.col("least"), F.lit(False)))
+    judged = judged.withColumn("of_others", F.sum(F.when(F.col("other"), F.col("bound")).otherwise(0.0)).over(Window.partitionBy("query_id")))
+    reaches = F.col("least").isNull() | (F.col("all") - F.col("bound") + F.col("weight") * F.col("most") >= F.col("least"))
+    used = keep(judged.join(spans.drop("weight"), ["query_id", "field", "token"]).where(reaches).select("query_id", "field", "token", "level", "weight", "other", "least", "of_others"))
+    products = lambda rows: _products(rows.select("query_id", "field", "token", "level", "weight"), index.postings, "field", "token", "level")
+    limits = used.select("query_id", "least", "of_others").distinct()
+    can = F.col("least").isNull() | (F.col("score") + F.col("of_others") >= F.col("least"))
+    found = keep(_added(products(used.where("not other"))).join(F.broadcast(limits), "query_id").where(can).select("query_id", "article_id", "score"))
+    ends = F.broadcast(found.select("query_id", "article_id")) if found.count() <= MOST_SEEDS else found.select("query_id", "article_id")
+    more = products(used.where("other")).join(ends, ["query_id", "article_id"], "left_semi")
+    return full.unionByName(_added(found.unionByName(more))).groupBy("query_id", "article_id").agg(F.max("score").alias("score"))
+
+
+def _merged(terms: DataFrame) -> DataFrame:
+    """A word that a query holds twice in a field, as a word and as the whole query, once."""
+    return terms.groupBy("query_id", "field", "token").agg(F.sum("weight").alias("weight"))
+
+
 def importance_bonus(redirects: Column, categories: Column, alternative_names: Column, infobox: Column, short_desc: Column) -> Column:
     """What an article gains by its importance: by the sizes of its lists, and for having an infobox or a short description."""
     sizes = {"redirects": F.coalesce(F.size(redirects), F.lit(0)), "categories": F.coalesce(F.size(categories), F.lit(0)), "alternative_names": F.coalesce(F.size(alternative_names), F.lit(0))}

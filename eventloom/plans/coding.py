@@ -71,7 +71,7 @@ def query_wiki(queries: DataFrame, articles: DataFrame, k: int = 50, folder: str
         path = f"{folder}/index-{uuid.uuid4().hex}"
         retrieval.write_index(index, path)
         index = retrieval.read_index(queries.sparkSession, path)
-    hits = retrieval.search(texts, index, fields, k)
+    hits = retrieval.search(texts, index, fields, k, keep=_keeper(folder) if folder else None)
     named = hits.withColumnRenamed("query_id", "task").join(numbered.select("article_id", "title", "redirects", "alternative_names", "infobox", "intro_para", "short_desc"), "article_id")
     frame = ranking.score_candidates(named.withColumns({"query": F.col("task"), "country": F.lit(None).cast("string"), "infobox_name": F.try_element_at("infobox", F.lit("name"))}))
     outside = {c: F.lit(0.0) for c in ("title_sim", "context_sim_intro", "context_sim_short", "actor_desc_sim_intro", "actor_desc_sim_short")}
