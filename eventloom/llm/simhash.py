@@ -244,24 +244,30 @@ def keep_one_per_class(docs: DataFrame, shingle: int = 3, radius: int = 3, words
     Documents are linked as in simhash_components(), and, however far apart their fingerprints are, if their sets of
     shingles of so many words have a Jaccard similarity of threshold or more (similar_classes, which loses none).
 
-    Rows with one doc_id are one document and stay or go together. Rows without doc_id can't be told apart from their
-    copies and stay. A document without any word stays too: an empty text is nobody's copy.
+    A row goes if its text's class keeps another doc_id; so of rows that share a doc_id each goes by its own text. Rows
+    without doc_id can't be told apart from their copies and stay. A document without any word stays too: an empty text
+    is nobody's copy. A text of any length is compared whole. Texts are named by 64 bits and told apart by 64 more: should
+    two different texts have one name, one of them stays unexamined. Repeated rows stay or go together; an empty table
+    gives an empty result; other columns are carried along.
     """
-    named = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("page"), "text").where("doc_id is not null")
+    check = F.xxhash64(F.lit(1), "text")
+    named = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("page"), check.alias("check"), "text").where("doc_id is not null")
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = np.array([fingerprint(x, shingle, 42) for x in raw_texts(batch.column(2))], np.uint64)
-        return pa.record_batch([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["doc_id", "page", "fp"])
+        found = np.array([fingerprint(x, shingle, 42) for x in raw_texts(batch.column(3))], np.uint64)
+        return pa.record_batch([*(batch.column(k) for k in range(3)), pa.array(found.view(np.int64))], ["doc_id", "page", "check", "fp"])
 
-    fps = cut(by_batch(named, kernel, "doc_id long, page long, fp long").where("fp <> 0"))
-    pages = cut(fps.groupBy("page").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp")))
+    fps = cut(by_batch(named, kernel, "doc_id long, page long, check long, fp long").where("fp <> 0"))
+    pages = cut(fps.groupBy("page").agg(F.min(F.struct("check", "doc_id", "fp")).alias("one")).select("page", "one.check", F.col("one.doc_id").alias("least"), "one.fp"))
     values = cut(pages.groupBy("fp").agg(F.min("page").alias("first")))
     ends = [values.select(F.col("fp").alias(c), F.col("first").alias(f"page_{c}")) for c in ("a", "b")]
     close = hamming_links(values.select("fp"), radius).join(ends[0], "a").join(ends[1], "b").select(F.col("page_a").alias("a"), F.col("page_b").alias("b"))
     equal = pages.join(values, "fp").where("page <> first").select(F.col("page").alias("a"), F.col("first").alias("b"))
     classes = similar_classes(named.select("page", "text"), close.unionByName(equal), words, threshold)
     of_page = pages.join(classes.withColumnRenamed("node", "page"), "page", "left").withColumn("class", F.coalesce("component", "page"))
-    of_page = cut(of_page.select("page", "least", "class"))
+    of_page = cut(of_page.select("page", "check", "least", "class"))
     kept = of_page.groupBy("class").agg(F.min("least").alias("kept"))
-    copies = fps.join(of_page.join(kept, "class").select("page", "kept"), "page").where("doc_id <> kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    copies = fps.join(of_page.join(kept, "class").select("page", "check", "kept"), ["page", "check"]).where("doc_id <> kept")
+    copies = copies.select("doc_id", "page", "check").distinct()
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("page"), check.alias("check"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(copies, ["doc_id", "page", "check"], "left_anti").select("row.*")

@@ -102,3 +102,22 @@ def test_recall_on_a_whole_table(spark):
     df = pd.read_parquet("/root/testdata/sf0.01/documents.parquet")
     texts = dict(zip(df.doc_id.tolist(), df.text.tolist()))
     assert kept(spark, texts) == brute_kept(texts)
+
+
+def test_rows_of_one_doc_id_go_by_their_own_text(spark):
+    """A text that nobody copies stays, though its doc_id also has a copy."""
+    a, b = (" ".join(f"{c}{i}" for i in range(50)) for c in "ab")
+    rows = [(1, a), (5, a), (5, b), (5, a + " end"), (7, a)]
+    left = simhash.keep_one_per_class(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, left)) == [(1, a), (5, b)]
+
+
+def test_two_texts_of_one_name_stay(spark, monkeypatch):
+    """Were the 64-bit names of two texts equal, neither would go as the other's copy."""
+    from pyspark.sql import functions as F
+
+    whole = F.xxhash64
+    monkeypatch.setattr(simhash.F, "xxhash64", lambda *c: whole(*c) if len(c) > 1 else F.lit(7).cast("long"))
+    texts = [(k, " ".join(f"{c}{i}" for i in range(50))) for k, c in enumerate("abc")]
+    left = simhash.keep_one_per_class(spark.createDataFrame([*texts, (9, texts[0][1])], "doc_id long, text string"))
+    assert {(0, texts[0][1]), (1, texts[1][1]), (2, texts[2][1])} <= set(map(tuple, left.collect()))
