@@ -29,9 +29,9 @@ if TYPE_CHECKING:
 
 #: Words of a generation whose ids a worker remembers. A full generation is kept until the next one is full, and words met
 #: again move over to that, so frequent ones stay. Results don't depend on it.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 150_000
 #: Bytes of text that are tokenised at once; a longer text is tokenised by itself.
-BYTES_AT_ONCE = 4 << 20
+BYTES_AT_ONCE = 2 << 20
 #: Different words that are encoded at once.
 WORDS_AT_ONCE = 256
 #: Words of lower-case ASCII and Latin-1 letters, in UTF-8. They are composed, and one piece each, under these steps.
