@@ -267,7 +267,7 @@ def keep_one_per_class(docs: DataFrame, shingle: int = 3, radius: int = 3, words
     of_page = pages.join(classes.withColumnRenamed("node", "page"), "page", "left").withColumn("class", F.coalesce("component", "page"))
     of_page = cut(of_page.select("page", "check", "least", "class"))
     kept = of_page.groupBy("class").agg(F.min("least").alias("kept"))
-    copies = fps.join(of_page.join(kept, "class").select("page", "check", "kept"), ["page", "check"]).where("doc_id <> kept")
-    copies = copies.select("doc_id", "page", "check").distinct()
+    keepers = cut(of_page.join(kept, "class").select("page", "check", "kept"))
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("page"), check.alias("check"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return rows.join(copies, ["doc_id", "page", "check"], "left_anti").select("row.*")
+    # a join of plain exchanges: where a page has many copies, its rows are split
+    return rows.join(keepers, ["page", "check"], "left").where("doc_id is null or kept is null or doc_id = kept").select("row.*")
