@@ -60,7 +60,6 @@ def tokens(text: Column) -> Column:
 
 #: Postings of a word fall into levels of impact, so many to one; a level is skipped as a whole where it can't matter.
 LEVELS = 16
-DEALT = 64
 #: A first guess of a search's k-th score comes from the scores of about SEEDS * k articles a query, taken from a level by
 #: parts of about PART postings. With more than MOST_SEEDS in all, or MOST_TERMS rows of levels, they aren't sent around,
 #: and the search goes without bounds.
@@ -121,12 +120,12 @@ def _frequencies(levels: DataFrame, totals: DataFrame) -> DataFrame:
 
 
 def write_index(index: Index, path: str) -> None:
-    """Writes an index that was built; postings are clustered by token and level, so that a search for few words skips most
-    row groups. A token's postings are dealt to DEALT files at most, so that one in every article is no task of its own.
-    The other tables are made of the written postings.
+    """Writes an index that was built. Postings stay where they were counted, dealt by word and article, so that they are
+    shuffled once and a word in every article is no task of its own. Each file is sorted by token and level, so that a
+    search for few words skips most row groups of it. The other tables are made of the written postings.
     """
-    spark, dealt = index.postings.sparkSession, F.pmod(F.xxhash64("article_id"), F.lit(DEALT))
-    index.postings.repartition("token", dealt).sortWithinPartitions("token", "level").write.mode("overwrite").parquet(f"{path}/postings")
+    spark = index.postings.sparkSession
+    index.postings.sortWithinPartitions("token", "level").write.mode("overwrite").parquet(f"{path}/postings")
     _levels(spark.read.parquet(f"{path}/postings")).write.mode("overwrite").parquet(f"{path}/levels")
     _frequencies(spark.read.parquet(f"{path}/levels"), index.totals).write.mode("overwrite").parquet(f"{path}/frequencies")
 
