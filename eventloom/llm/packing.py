@@ -29,9 +29,9 @@ if TYPE_CHECKING:
 
 #: Words of a generation whose ids a worker remembers. A full generation is kept until the next one is full, and words met
 #: again move over to that, so frequent ones stay. Results don't depend on it.
-REMEMBERED_WORDS = 150_000
+REMEMBERED_WORDS = 400_000
 #: Bytes of text that are tokenised at once; a longer text is tokenised by itself.
-BYTES_AT_ONCE = 2 << 20
+BYTES_AT_ONCE = 4 << 20
 #: Different words that are encoded at once.
 WORDS_AT_ONCE = 256
 #: Words of lower-case ASCII and Latin-1 letters, in UTF-8. They are composed, and one piece each, under these steps.
@@ -82,6 +82,7 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str):
+        self.remembered = REMEMBERED_WORDS
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one core a task
         from tokenizers import Tokenizer
 
@@ -137,7 +138,7 @@ class WordTokenizer:
                 self.known[w] = self.known[stem] + self.known[marks]
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
-        if len(self.known) > REMEMBERED_WORDS:
+        if len(self.known) > self.remembered:
             self.known, self.old = {}, self.known
         column = pa.array(texts, pa.large_string())
         lower = pc.ascii_lower(column)  # A-Z alone
@@ -162,12 +163,12 @@ def tokenizer(path: str) -> WordTokenizer:
     return made
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Successive rows of (doc_id, text) whose texts have at most BYTES_AT_ONCE bytes, or one row."""
+def slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Successive rows of (doc_id, text) whose texts have at most so many bytes, or one row."""
     ends, at = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(), dtype=np.int64), 0
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(ends, before + BYTES_AT_ONCE, "right")))
+        end = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
         yield batch.slice(at, end - at)
         at = end
 
@@ -189,13 +190,13 @@ def pieces(n: int, capacity: int, tail: int) -> tuple[int, ...]:
     return (*out, n) if n else tuple(out)
 
 
-def tokenised_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, tail: int) -> DataFrame:
+def tokenised_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, tail: int, remembered: int = REMEMBERED_WORDS, at_once: int = BYTES_AT_ONCE) -> DataFrame:
     """Pieces of each document, with the partition that made them and their number among its pieces of that length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end, part = tokenizer(path), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
-        counts: dict[int, int] = {}
-        for batch in (x for b in batches for x in slices(b)):
+        encode.remembered, counts = remembered, {}
+        for batch in (x for b in batches for x in slices(b, at_once)):
             ids, rows = batch.column(0), []
             for k, text in enumerate(encode(raw_texts(batch.column(1)))):
                 tokens, start = memoryview(text + end), 0
@@ -212,7 +213,7 @@ def tokenised_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, tai
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, idx long, part long")
 
 
-def harmonic_pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, tail: int = 32) -> DataFrame:
+def harmonic_pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, tail: int = 32, remembered: int = REMEMBERED_WORDS, at_once: int = BYTES_AT_ONCE) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document's ids, end_id last, are cut into pieces of the reciprocal lengths capacity // j and a rest of at most
@@ -223,10 +224,13 @@ def harmonic_pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2
     classes and fewer than capacity // length pieces in each, those are bounded whatever the input's size, and are packed
     together, longest first, each into the first sequence with room.
 
+    A worker remembers the ids of up to twice remembered words, and takes at_once bytes of texts, or one text, at a time:
+    less of both takes less memory and more time, to the same result.
+
     A null or empty text is the end id alone; a null doc_id stays null; repeated rows are packed once each; an empty
     table gives an empty result; other columns are ignored.
     """
-    made = cut(tokenised_pieces(docs, path, end_id, capacity, tail))
+    made = cut(tokenised_pieces(docs, path, end_id, capacity, tail, remembered, at_once))
     counts = made.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
