@@ -38,7 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of 2048 tokens."""
-    return packing.harmonic_pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.harmonic_pack(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=150_000, at_once=2 << 20)  # the other stages' memory stays with the executor
 
 
 STAGES: list[tuple[str, Stage]] = [
