@@ -23,9 +23,10 @@ _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _ADDRESS = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++(?:@|\x20?[\[({]at[\])}]\x20?|\x20at\x20(?=[\p{L}\p{N}-]++\x20dot\x20))[\p{L}\p{N}-]++(?:(?:\.|\x20?[\[({]dot[\])}]\x20?|\x20dot\x20)[\p{L}\p{N}-]++)*+"
 _HOST = r"(?<![\p{L}\p{N}:.])(?:(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])|[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\[dot\])[0-9]{1,3}){3}(?![0-9]))"
 _NUMBER = r"(?<![0-9])(?<![0-9][\x20().\/_-]{1,3})[+(]{0,2}[0-9](?:[\x20().\/_-]{0,3}[0-9]){8,18}(?![0-9])"
-#: The word next to a span, with anything but letters and digits between.
-_WORD_BEFORE = r"(?<![\p{L}\p{N}])([\p{L}\p{N}]*+)[^\p{L}\p{N}]*+$"
-_WORD_AFTER = r"^[^\p{L}\p{N}]*+([\p{L}\p{N}]++)"
+#: The last and the first words beside a span, REACH at most and of any length; a match begins at a word, so long runs of marks cost one step each.
+REACH = 5
+_WORDS_BEFORE = rf"(?:^|(?<=[^\p{{L}}\p{{N}}])(?=[\p{{L}}\p{{N}}]))((?:[\p{{L}}\p{{N}}]++[^\p{{L}}\p{{N}}]++){{0,{REACH - 1}}}[\p{{L}}\p{{N}}]*+)[^\p{{L}}\p{{N}}]*+$"
+_WORDS_AFTER = rf"^[^\p{{L}}\p{{N}}]*+([\p{{L}}\p{{N}}]++(?:[^\p{{L}}\p{{N}}]++[\p{{L}}\p{{N}}]++){{0,{REACH - 1}}})"
 
 
 def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
@@ -47,14 +48,14 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _found(text: Column, pattern: str) -> Column:
-    """The matches of pattern in text: array of (start, end, hit, left, right), places in code points, left and right the words beside it."""
-    word = lambda gap, where: F.lower(F.regexp_extract(F.coalesce(gap, F.lit("")), where, 1))
+    """The matches of pattern in text: array of (start, end, hit, left, right), places in code points, left and right up to REACH words beside it, in lower case with a space between."""
+    words = lambda gap, where: F.trim(F.regexp_replace(F.lower(F.regexp_extract(F.coalesce(gap, F.lit("")), where, 1)), r"[^\p{L}\p{N}]+", " "))
 
     def steps(p: Column) -> Column:
         return F.transform(p["hits"], lambda h, i: F.struct(F.get(p["gaps"], i).alias("gap"), h.alias("hit"), F.get(p["gaps"], i + 1).alias("next")))
 
     def shape(s: Column, end: Column) -> Column:
-        return F.struct((end - F.length(s["hit"])).alias("start"), end.alias("end"), s["hit"].alias("hit"), word(s["gap"], _WORD_BEFORE).alias("left"), word(s["next"], _WORD_AFTER).alias("right"))
+        return F.struct((end - F.length(s["hit"])).alias("start"), end.alias("end"), s["hit"].alias("hit"), words(s["gap"], _WORDS_BEFORE).alias("left"), words(s["next"], _WORDS_AFTER).alias("right"))
 
     def placed(parts: Column) -> Column:
         return F.zip_with(parts, running(F.transform(parts, lambda s: F.length(s["gap"]) + F.length(s["hit"])), lambda a, b: a + b), shape)
@@ -125,30 +126,56 @@ def candidates(text: Column, base: Column) -> Column:
     return bound(made, merged)
 
 
-def discovered(words: DataFrame, rounds: int = 2, min_support: int = 5, min_trust: float = 0.5, min_score: float = 0.7) -> DataFrame:
+def lexical_patterns(context: Column, side: str) -> Column:
+    """The patterns of a context of up to REACH words, as an array of (pattern, root, wide); none of an empty context.
+
+    The narrow pattern is the word nearest to the span; it is also the root of the wide ones: each other word of the context
+    before (after) the nearest, whatever stands between, and the three nearest words in a row.
+    """
+    words = F.split(context, " ")
+    outwards = F.reverse(words) if side == "left" else words
+    text = lambda ws, gap: F.concat(F.lit(f"{side} "), F.array_join(F.reverse(ws) if side == "left" else ws, gap))
+
+    def made(w: Column) -> Column:
+        near = F.get(w, F.lit(0))
+        root = text(F.array(near), " ")
+        pattern = lambda p, wide: F.struct(p.alias("pattern"), root.alias("root"), F.lit(wide).alias("wide"))
+        gapped = F.transform(F.array_distinct(F.slice(w, 2, REACH)), lambda x: pattern(text(F.array(near, x), " ... "), True))
+        row = F.filter(F.array(pattern(text(F.slice(w, 1, 3), " "), True)), lambda _: F.size(w) >= 3)
+        return F.concat(F.array(pattern(root, False)), gapped, row)
+
+    return F.when(context != "", bound(outwards, made)).otherwise(F.expr("cast(array() as array<struct<pattern:string,root:string,wide:boolean>>)"))
+
+
+def discovered(words: DataFrame, rounds: int = 2, min_support: int = 5, min_trust: float = 0.5, min_score: float = 0.7, sure: float = 0.9) -> DataFrame:
     """(value, kind): identifiers that the base patterns miss, of words(value, left, right, kind, seed).
 
-    Seeds are the values that base patterns matched. A lexical pattern is the word before a value or the word after it. It
-    scores, for a kind, the mean score of the different values it stands beside (others count 0), and counts only with
-    min_support such values and a mean of min_trust. A value scores 1 less the product of the doubts its patterns leave,
+    Seeds are the values that base patterns matched. Lexical patterns are the lexical_patterns() of the words before and
+    after a value. A pattern scores, for a kind, the mean score of the different values it stands beside (others count 0), and
+    counts only with min_support such values and a mean of min_trust. Of the patterns of one root beside a value the best
+    wide one speaks, be it for or against, if any of them stands beside min_support different values; the narrow one speaks
+    where none does, or if its own score is sure or more. A value scores 1 less the product of the doubts its roots leave,
     and is taken from min_score on: one pattern that mostly stands beside such identifiers is enough, as are two that
     do so every other time. Patterns and values score each other in turns over the graph of their different pairs; the graph is
-    one checkpointed table with a row per pair, aggregated before each shuffle.
+    one checkpointed table with a row per pair, aggregated before each shuffle. A value's repeats count once.
     """
-    sides = F.array(*[F.when(F.col(c) != "", F.concat(F.lit(f"{c} "), c)) for c in ("left", "right")])
-    pairs = cut(words.select("value", "kind", "seed", F.explode(F.array_compact(sides)).alias("pattern")).distinct())
+    patterns_of = F.concat(*[lexical_patterns(F.col(c), c) for c in ("left", "right")])
+    pairs = cut(words.select("value", "kind", "seed", F.explode(patterns_of).alias("p")).select("value", "kind", "seed", "p.*").distinct())
     graph = pairs.select("pattern", "value").distinct()
-    sizes = cut(graph.groupBy("pattern").agg(F.count("*").alias("size")))
+    sizes = cut(graph.groupBy("pattern").agg(F.count("*").alias("size")).where(F.col("size") >= min_support))
     seeds = cut(words.where("seed").select("value", "kind", F.lit(1.0).alias("score")).distinct())
     digits = F.length(_digits(F.col("value")))
     kinds = F.when(F.col("kind") < 2, F.array("kind")).otherwise(F.array_compact(F.array(F.when(digits >= 12, 2), F.when(digits <= 15, 3))))
-    open_ = cut(pairs.where("not seed").select("pattern", "value", F.explode(kinds).alias("kind")).distinct())
+    open_ = cut(pairs.where("not seed").join(sizes, "pattern", "left_semi").select("pattern", "root", "wide", "value", F.explode(kinds).alias("kind")).distinct())
     scores = seeds
     for _ in range(rounds):
         support = graph.join(scores, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("score"), F.count("*").alias("support")).where(F.col("support") >= min_support)
         patterns = support.join(sizes, "pattern").select("pattern", "kind", (F.col("score") / F.col("size")).alias("trust")).where(F.col("trust") >= min_trust)
+        best = lambda wide: F.max(F.when(F.col("wide") == wide, F.coalesce("trust", F.lit(0.0))))
+        roots = open_.join(patterns, ["pattern", "kind"], "left").groupBy("value", "kind", "root").agg(best(True).alias("wide"), best(False).alias("narrow"))
+        trust = F.when(F.col("wide").isNull() | (F.col("narrow") >= sure), F.greatest("wide", "narrow")).otherwise(F.col("wide"))
         doubt = F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-9))))
-        new = open_.join(patterns, ["pattern", "kind"]).groupBy("value", "kind").agg((1 - F.exp(doubt)).alias("score")).where(F.col("score") >= min_score)
+        new = roots.select("value", "kind", trust.alias("trust")).where(F.col("trust") >= min_trust).groupBy("value", "kind").agg((1 - F.exp(doubt)).alias("score")).where(F.col("score") >= min_score)
         scores = cut(seeds.unionByName(new).groupBy("value", "kind").agg(F.max("score").alias("score")))
     unseen = scores.join(seeds.select("value").distinct(), "value", "left_anti")
     return unseen.groupBy("value").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))

@@ -57,6 +57,35 @@ def test_discovery_of_planted_identifiers(spark):
     assert wrong == 0
 
 
+def test_patterns_with_gaps_tell_apart_what_the_nearest_word_does_not(spark):
+    """One word stands before identifiers and before counts; only the words further off differ."""
+    rows = [(i, f"as she said her number is +1 (017) 555-77{i:02d}") for i in range(30)]
+    rows += [(100 + i, f"then the number she gave is 044 668 18 {i:02d}") for i in range(10)]
+    rows += [(200 + i, f"by now the population is 2000{i:02d}11447") for i in range(10)]
+    found = {r.doc_id: r.added for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(bool(found[100 + i]) for i in range(10)) >= 9
+    assert not any(found[200 + i] for i in range(10))
+    assert {pii.KINDS[x.kind] for i in range(10) for x in found[100 + i]} == {"phone"}
+
+
+def test_patterns_of_a_context(spark):
+    """Nearest word, every other word with a gap, three in a row; repeated words once; nothing of an empty context."""
+    rows = [(1, "as her number is", "please a a"), (2, "", "x"), (3, None, "")]
+    of = lambda c: F.transform(pii.lexical_patterns(F.col(c), c), lambda p: p["pattern"]).alias(c)
+    found = spark.createDataFrame(rows, "id int, left string, right string").select("id", of("left"), of("right")).orderBy("id").collect()
+    assert found[0].left == ["left is", "left number ... is", "left her ... is", "left as ... is", "left her number is"]
+    assert found[0].right == ["right please", "right please ... a", "right please a a"]
+    assert (found[1].left, found[1].right) == ([], ["right x"])
+    assert (found[2].left, found[2].right) == ([], [])
+
+
+def test_long_runs_of_marks_beside_a_span(spark):
+    """Neither marks nor words have a longest run, and a long run takes no quadratic time."""
+    text = "call " + "- " * 500_000 + "a@b.cd" + " ." * 500_000 + " now"
+    found = spark.createDataFrame([(text,)], "text string").select(pii.seed_spans(F.col("text")).alias("s")).first().s
+    assert [(x.left, x.right) for x in found] == [("call", "now")]
+
+
 def test_candidates_never_touch_base_spans(spark):
     text = "call +1 (017) 555-7713 12 34 or 4111 1111 1111 1111 9, a@b.cd@localhost 10.0.0.1.22"
     r = spark.createDataFrame([(text,)], "text string").select(pii.seed_spans(F.col("text")).alias("b")).select("b").first().b
