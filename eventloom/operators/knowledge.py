@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.functions.markup import read_pages
 from eventloom.functions.text import clean_names, split_list
 
 _REDIRECT = r"(?i)^\s*#redirect"
@@ -137,52 +138,18 @@ def entry_names(title: Column, redirects: Column, alternatives: Column, infobox:
 def parse_markup(pages: DataFrame) -> DataFrame:
     """(title, short_desc, bold, box_type, infobox, categories, intro_para) of wiki markup in pages(title, text).
 
-    Braces nest, so infobox fields are found by a scan in Arrow batches; a page without an infobox has a null box_type.
+    Brackets nest, so templates, tables and picture links are found by their depth, for a whole Arrow batch at once
+    (functions.markup); a bracket without its partner is text. A page without an infobox has a null box_type.
     """
 
-    def fields(text: str) -> tuple[str | None, dict[str, str], str]:
-        """Type and fields of the first infobox, and the text without any template."""
-        out, depth, start, box = [], 0, 0, None
-        i = 0
-        while i < len(text):
-            two = text[i : i + 2]
-            if two == "{{":
-                if depth == 0:
-                    start = i + 2
-                depth += 1
-                i += 2
-            elif two == "}}" and depth:
-                depth -= 1
-                i += 2
-                if depth == 0 and box is None and text[start:].lstrip().lower().startswith("infobox"):
-                    box = text[start : i - 2]
-            else:
-                if depth == 0:
-                    out.append(text[i])
-                i += 1
-        kind, found = None, {}
-        if box is not None:
-            parts, level, part = [], 0, []
-            for j, c in enumerate(box):
-                level += box[j : j + 2] in ("{{", "[[")
-                level -= box[j : j + 2] in ("}}", "]]")
-                if c == "|" and level == 0:
-                    parts.append("".join(part))
-                    part = []
-                else:
-                    part.append(c)
-            parts.append("".join(part))
-            kind = parts[0].strip()[len("infobox") :].strip()
-            found = {k.strip(): v.strip() for k, eq, v in (p.partition("=") for p in parts[1:]) if eq and k.strip() and v.strip()}
-        return kind, found, "".join(out)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            parsed = [fields(t or "") for t in f["text"]]
-            yield pd.DataFrame({"title": f["title"], "text": f["text"], "box_type": [p[0] for p in parsed], "infobox": [p[1] for p in parsed], "plain": [p[2] for p in parsed]})
-
-    scanned = pages.select("title", "text").mapInPandas(run, "title string, text string, box_type string, infobox map<string,string>, plain string")
-    intro = F.regexp_extract("plain", r"(?s)^(.*?)(?:\n==|$)", 1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, fields, intros = read_pages(batch.column(1))
+            boxes = pa.array(fields, pa.map_(pa.string(), pa.string()))
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(kinds, pa.string()), boxes, intros], ["title", "text", "box_type", "infobox", "intro"])
+
+    intro = F.col("intro")
+    scanned = pages.select("title", "text").mapInArrow(run, "title string, text string, box_type string, infobox map<string,string>, intro string")
     bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(intro, r"(?s)<ref[^>/]*>.*?</ref>|<[^>]+>", ""), r"\[\[(?:[^\]|]*\|)?([^\]]*)\]\]", "$1"), "'{2,}", "")
     return scanned.select(
         "title",
