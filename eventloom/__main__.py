@@ -38,11 +38,11 @@ def main() -> None:
         retrieval.read_index(spark, args.output)
     else:
         countries = readers.read_countries(spark, args.countries)
-        patterns = [(r.pattern, r.code) for r in country_patterns(countries).orderBy("ordinal").collect()]  # a dimension
+        patterns, of = ([(r.pattern, r.code) for r in country_patterns(countries, c).orderBy("ordinal").collect()] for c in (False, True))  # dimensions
         roles = parse_agents(readers.read_lines(spark, args.agents)).select("pattern", "code_1", "code_2").dropDuplicates(["pattern"])
         articles = readers.read_articles(spark, args.articles) if args.articles else None
         mentions = spark.read.schema("text string, date string").json(args.input)
-        sinks.write_events(agent_to_code(mentions, Dimensions(patterns, readers.country_lookup(countries), roles), articles), args.output)
+        sinks.write_events(agent_to_code(mentions, Dimensions(patterns, readers.country_lookup(countries), roles, of), articles), args.output)
 
 
 if __name__ == "__main__":

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.dates import resolve_dates
+from eventloom.functions.dates import in_force, resolve_dates
 from eventloom.functions.text import clean_query
 from eventloom.operators import actors, events, ranking, retrieval
 from eventloom.sources.sinks import checkpointed
@@ -17,11 +17,12 @@ from eventloom.sources.sinks import checkpointed
 
 @dataclass(frozen=True)
 class Dimensions:
-    """Small tables of the chain: country patterns as (regular expression, code) pairs, names by code, and role codes by cleaned phrase."""
+    """Small tables of the chain: country patterns as (regular expression, code) pairs, names by code, role codes by cleaned phrase, and the country patterns for names of categories."""
 
     patterns: list[tuple[str, str]]
     countries: DataFrame
     roles: DataFrame
+    category_patterns: Sequence[tuple[str, str]] = ()
 
 
 def agent_to_code(mentions: DataFrame, dims: Dimensions, articles: DataFrame | None = None, folder: str | None = None) -> DataFrame:
@@ -42,8 +43,9 @@ def agent_to_code(mentions: DataFrame, dims: Dimensions, articles: DataFrame | N
     if articles is not None:
         open_ = found.join(direct.select("actor"), "actor", "left_anti").where("query <> ''")
         linked = kept(query_wiki(open_.select(F.col("actor").alias("query_id"), F.col("rest").alias("query"), "date"), articles, folder=folder))
-        coded = linked.join(article_roles(linked.select("query_id", "title", "date").distinct(), articles, dims), ["query_id", "title"])
-        codes = codes.unionByName(coded.select(F.col("query_id").alias("actor"), "pos", "code_1", F.lit("").alias("code_2"), "country", "source", F.lit("").alias("query"), F.lit(None).cast("double").alias("conf"), "office_num", F.col("title").alias("wiki")))
+        roles = article_roles(linked.select("title", "date"), articles, dims).withColumn("date", F.coalesce("date", F.lit(""))).withColumnRenamed("query", "roles_query")
+        coded = linked.withColumn("date", F.coalesce("date", F.lit(""))).join(roles, ["title", "date"])
+        codes = codes.unionByName(coded.select(F.col("query_id").alias("actor"), "pos", "code_1", F.lit("").alias("code_2"), "country", "source", F.col("roles_query").alias("query"), F.lit(None).cast("double").alias("conf"), "office_num", F.col("title").alias("wiki")))
     best = actors.clean_best(actors.pick_best_code(kept(codes), found.select("actor", "country")))
     return found.select("actor", "text", "date").join(best, "actor").drop("actor")
 
@@ -79,20 +81,77 @@ def query_wiki(queries: DataFrame, articles: DataFrame, k: int = 50, folder: str
     return queries.join(chosen.select(F.col("task").alias("query"), F.col("article_id").alias("title")), "query").select("query_id", "title", "date")
 
 
+#: Fixed domain values: what a code of an article comes from, as the rules of precedence name it.
+OFFICE, SHORT_DESCRIPTION, BOX_TITLE, BOX_TYPE = "Infobox", "Wiki short description", "Infobox Title", "Infobox Type"
+#: What of an article names countries only.
+FIRST_SENTENCE, BOX_COUNTRY, CATEGORY = "first sentence", "infobox country", "category"
+
+
+def article_evidence(articles: DataFrame, dims: Dimensions) -> DataFrame:
+    """(title, source, n, text, term_start, term_end, country, phrase, code_1): a row for each place of an article that can speak for a code or a country.
+
+    The places are the first line of the introduction without brackets, the short description, the infobox's country, its
+    own title and type, each office and each category, numbered by n within a source. country is the one that the text
+    names (in the first line the earliest, in a category after "of" or "in", else the longest), phrase the cleaned rest,
+    or for the infobox's title and type the cleaned whole, and code_1 the role of that phrase; each may be null. Nothing
+    here depends on a date, so an article is read once, whatever mentions link to it. Absent, null and empty texts give no row.
+    """
+    none = lambda kind: F.lit(None).cast(kind)
+    box = lambda key: F.try_element_at("infobox", F.lit(key))
+    part = lambda source, text, n=F.lit(0), start=none("date"), end=none("date"): F.struct(F.lit(source).alias("source"), n.alias("n"), text.alias("text"), start.alias("term_start"), end.alias("term_end"))
+    line = F.split(F.trim(F.regexp_replace("intro_para", r"\(.*?\)", "")), "\n")[0]
+    single = F.array(part(FIRST_SENTENCE, line), part(SHORT_DESCRIPTION, F.col("short_desc")), part(BOX_COUNTRY, box("country")), part(BOX_TITLE, F.col("box_type")), part(BOX_TYPE, box("type")))
+    offices = F.transform(actors.parse_offices(F.col("infobox")), lambda o, i: part(OFFICE, o["office"], i, o["term_start"], o["term_end"]))
+    categories = F.transform("categories", lambda c, i: part(CATEGORY, c, i))
+    empty = F.array_except(single, single)
+    places = F.filter(F.concat(single, F.coalesce(offices, empty), F.coalesce(categories, empty)), lambda p: F.coalesce(p["text"], F.lit("")) != "")
+    found = articles.select("title", F.explode(places).alias("p")).select("title", "p.*")
+    ways = [(~F.col("source").isin(FIRST_SENTENCE, CATEGORY), dims.patterns, "longest"), (F.col("source") == FIRST_SENTENCE, dims.patterns, "first"), (F.col("source") == CATEGORY, dims.category_patterns, "longest")]
+    for k, (mine, patterns, method) in enumerate(ways):  # one plan without branches: each way sees the texts of its sources, and null for others
+        read = actors.find_country(found.withColumns({"whole": F.col("text"), "text": F.when(mine, F.col("text"))}), list(patterns), method)
+        found = read.withColumnsRenamed({"country": f"country_{k}", "rest": f"rest_{k}"}).withColumn("text", F.col("whole")).drop("whole")
+    said = F.when(F.col("source").isin(BOX_TITLE, BOX_TYPE), F.col("text")).when(F.col("source").isin(OFFICE, SHORT_DESCRIPTION), F.col("rest_0"))
+    phrased = found.withColumn("said", said).withColumn("phrase", F.nullif(F.lower(_cleaned("said")), F.lit("")))
+    roles = dims.roles.select(F.col("pattern").alias("phrase"), "code_1")
+    country = F.coalesce("country_0", "country_1", "country_2").alias("country")
+    return phrased.join(roles, "phrase", "left").select("title", "source", "n", "text", "term_start", "term_end", country, "phrase", "code_1")
+
+
 def article_roles(linked: DataFrame, articles: DataFrame, dims: Dimensions) -> DataFrame:
-    """(query_id, title, pos, code_1, country, source, office_num) of each linked(query_id, title, date): the first office in force at the date that has a role, the short description, a former office."""
-    whole = linked.join(articles.select("title", "infobox", "short_desc", "intro_para"), "title").withColumn("when", F.try_to_date("date"))
-    offices = whole.withColumn("offices", actors.parse_offices(F.col("infobox")))
-    parts = F.array_compact(F.array(*[F.when(F.col("short_desc").isNotNull(), F.struct(F.lit("Wiki short description").alias("source"), F.lit(-1).alias("n"), F.col("short_desc").alias("text"), F.lit(True).alias("active")))]))
-    held = F.transform("offices", lambda o, i: F.struct(F.lit("Infobox").alias("source"), i.alias("n"), o["office"].alias("text"), F.coalesce((o["term_start"] < F.col("when")) & (o["term_end"].isNull() | (o["term_end"] > F.col("when"))), F.lit(False)).alias("active")))
-    texts = offices.select("query_id", "title", F.explode(F.concat(held, parts)).alias("p")).select("query_id", "title", "p.*")
-    located = actors.find_country(texts, dims.patterns).withColumn("phrase", F.lower(_cleaned("rest")))
-    coded = located.join(dims.roles.select(F.col("pattern").alias("phrase"), "code_1"), "phrase")
-    current = actors.rank_first(coded.where("source = 'Infobox' and active"), ["query_id", "title"], F.col("n"))
-    any_active = located.where("source = 'Infobox' and active").select("query_id", "title").distinct()
-    former = coded.where("source = 'Infobox' and code_1 = 'GOV'").join(any_active, ["query_id", "title"], "left_anti").groupBy("query_id", "title").agg(F.min_by("country", "n").alias("country")).select("query_id", "title", F.lit(0).alias("pos"), F.lit("ELI").alias("code_1"), "country", F.lit("Infobox").alias("source"), F.lit(0).alias("office_num"))
-    shape = lambda df, pos: df.select("query_id", "title", F.lit(pos).alias("pos"), "code_1", "country", "source", F.greatest("n", F.lit(0)).alias("office_num"))
-    return shape(current, 0).unionByName(former).unionByName(shape(coded.where("n = -1"), 1))
+    """(title, date, pos, code_1, country, source, office_num, query) of each different linked(title, date).
+
+    In order: the first office in force at the date that has a role, or a former office of government where none is in
+    force; the short description; the infobox's title; its type. Codes without a country take the article's by a vote
+    of all its evidence (of equal countries the one named first); an article whose evidence names countries but no role has one empty code.
+    query is the phrase that gave the code.
+    """
+    of_title = article_evidence(articles.join(linked.select("title"), "title", "left_semi"), dims)
+    row = F.struct("source", "n", "term_start", "term_end", "country", "phrase", "code_1")
+    evidence = of_title.groupBy("title").agg(F.array_sort(F.collect_list(row)).alias("rows"))  # an article's own places, a short list
+    dated = linked.select("title", "date").distinct().join(evidence, "title").withColumn("when", F.try_to_date("date"))
+    of = lambda *sources: F.filter("rows", lambda r: r["source"].isin(*sources))
+    first = lambda items: F.get(items, F.lit(0))
+    countries = lambda items: F.array_compact(F.transform(items, lambda r: r["country"]))
+    spoken = F.concat(*[countries(of(s)) for s in (FIRST_SENTENCE, SHORT_DESCRIPTION, BOX_COUNTRY)])
+    rows = dated.withColumns({"spoken": spoken, "offices": of(OFFICE)}).withColumn("primary", first(F.col("spoken")))
+    rows = rows.withColumn("current", F.filter("offices", lambda o: in_force(o["term_start"], o["term_end"], F.col("when"))))
+    only = F.array_distinct(countries(F.col("offices")))
+    former_country = F.when((F.size(only) == 1) & F.coalesce(F.col("primary") == first(only), F.lit(True)), first(only)).otherwise(F.col("primary"))
+    code = lambda pos, role, country, source, n, phrase: F.struct(F.lit(pos).alias("pos"), role.alias("code_1"), F.coalesce(country, F.lit("")).alias("country"), F.lit(source).alias("source"), n.alias("office_num"), phrase.alias("query"))
+    given = lambda pos, item, country, source: F.when(item["code_1"].isNotNull(), code(pos, item["code_1"], country, source, item["n"], item["phrase"]))
+    now = first(F.filter("current", lambda o: o["code_1"].isNotNull()))
+    governed = F.exists("offices", lambda o: F.coalesce(o["code_1"] == "GOV", F.lit(False)))
+    former = F.when((F.size("current") == 0) & governed, code(0, F.lit("ELI"), former_country, OFFICE, F.lit(0), F.lit("")))
+    described, titled, typed = first(of(SHORT_DESCRIPTION)), first(of(BOX_TITLE)), first(of(BOX_TYPE))
+    codes = F.array_compact(F.array(F.coalesce(given(0, now, now["country"], OFFICE), former), given(1, described, described["country"], SHORT_DESCRIPTION), given(2, titled, F.col("primary"), BOX_TITLE), given(3, typed, F.col("primary"), BOX_TYPE)))
+    known_offices = countries(F.filter("offices", lambda o: o["term_start"].isNotNull()))
+    voices = lambda cs: F.concat(F.filter(F.transform(cs, lambda c: c["country"]), lambda x: x != ""), "spoken", known_offices, countries(of(CATEGORY)))
+    rows = rows.withColumn("codes", codes).withColumn("votes", voices(F.col("codes")))
+    counted = F.transform(F.array_distinct("votes"), lambda v, i: F.struct(F.size(F.filter("votes", lambda x: x == v)).alias("n"), (-i).alias("early"), v.alias("country")))
+    rows = rows.withColumns({"top": F.coalesce(F.array_max(counted)["country"], F.lit("")), "different": F.size(F.array_distinct("votes"))})
+    filled = F.transform("codes", lambda c: c.withField("country", F.when((F.col("different") == 1) | (c["country"] == ""), F.col("top")).otherwise(c["country"])))
+    bare = F.when(F.col("different") > 0, F.array(code(0, F.lit(""), F.col("top"), "Wiki", F.lit(0), F.lit("")))).otherwise(F.filter("codes", lambda _: F.lit(False)))
+    return rows.select("title", "date", F.explode(F.when(F.size("codes") > 0, filled).otherwise(bare)).alias("c")).select("title", "date", "c.*")
 
 
 def code_events(stories: DataFrame, answers: DataFrame, places: DataFrame, dims: Dimensions, articles: DataFrame | None = None, folder: str | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.plans.coding import Dimensions, code_events
+from eventloom.plans.coding import Dimensions, article_roles, code_events
 from eventloom.plans.registry import query, scratch, table
 from eventloom.sources import readers, sinks
 from eventloom.streaming.stories import event_stream, story_stream
@@ -139,3 +139,35 @@ def e1_code_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = code_events(stories.drop("o_custkey"), answers, places, dims, articles, scratch(spark))
     first, recipient = F.get("actors", F.lit(0)), F.get("recipients", F.lit(0))
     return coded.select("event_id", "event_type", first["country"].alias("actor_country"), first["code_1"].alias("actor_role"), first["wiki"].alias("actor_wiki"), recipient["country"].alias("recipient_country"), recipient["code_1"].alias("recipient_role"), "place_reason", F.col("geo.geonameid").alias("place"), "date_resolved")
+
+
+_EVIDENCE_SQL = """
+with a as (select c_custkey as k, c_custkey % 11 as m, case when c_custkey % 2 = 0 then 'N' || (c_custkey % 25) end as fs, case when c_custkey % 3 = 0 then 'N' || ((c_custkey // 25) % 25) end as sd, case when c_custkey % 5 < 2 then 'N' || ((c_custkey + 7) % 25) end as bc,
+  case when c_custkey % 11 < 5 then 'N' || ((c_custkey * 3) % 25) end as off, case when c_custkey % 6 < 3 then 'N' || ((c_custkey + 1) % 25) end as cat, case when c_custkey % 6 < 3 then 'N' || ((c_custkey + 2) % 25) end as cat2 from customer),
+p as (select *, coalesce(fs, sd, bc) as prim from a),
+codes as (select k, 0 as pos, case when m < 3 then 'GOV' else 'ELI' end as code_1, case when m < 3 or prim is null then off else prim end as country, 'Infobox' as source from p where m < 5
+  union all select k, 1, 'COP', sd, 'Wiki short description' from p where sd is not null union all select k, 2, 'GOV', prim, 'Infobox Title' from p where k % 7 = 0 union all select k, 3, 'MIL', prim, 'Infobox Type' from p where k % 4 = 0),
+votes as (select k, pos, country from codes union all select k, 10, fs from p union all select k, 11, sd from p union all select k, 12, bc from p union all select k, 20, off from p union all select k, 30, cat from p union all select k, 31, cat2 from p),
+counts as (select k, country, count(*) as n, min(pos) as seen from votes where country is not null group by 1, 2), known as (select k, arg_max(country, (n, -seen)) as top, count(*) as different from counts group by k)
+select 'Town ' || k as title, pos, code_1, coalesce(case when different = 1 or country is null then top else country end, '') as country, source from codes left join known using (k)
+union all select 'Town ' || k, 0, '', top, 'Wiki' from known where k not in (select k from codes)"""
+
+
+@query(_EVIDENCE_SQL)
+def t20_article_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What articles say of codes and countries: one for each customer, each place of which speaks in some and is silent in others."""
+    key = F.col("c_custkey")
+    nation = lambda n: F.concat(F.lit("NATION_"), F.pmod(n, F.lit(25)).cast("string"))
+    entry = lambda given, name, value: F.when(given, F.struct(F.lit(name).alias("key"), value.alias("value")))
+    office = F.when(key % 11 < 5, F.concat(nation(key * 3), F.lit(" minister"))).otherwise("keeper")
+    entries = [entry(key % 5 < 2, "country", nation(key + 7)), entry(key % 4 == 0, "type", F.lit("army")), entry(key % 11 < 6, "office1", office), entry(key % 11 < 6, "term_start1", F.lit("1980-01-01")), entry((key % 11).isin(3, 4), "term_end1", F.lit("1989-12-31"))]
+    intro = F.concat(F.lit("A place (of NATION_9) known"), F.when(key % 2 == 0, F.concat(F.lit(" in "), nation(key), F.lit(" and from NATION_24"))).otherwise(""), F.lit(".\nIt lies in NATION_5."))
+    categories = F.when(key % 6 < 3, F.array(F.concat(F.lit("People of "), nation(key + 1)), F.lit("1950 births, NATION_8"), F.concat(F.lit("Towns in "), nation(key + 2))))
+    articles = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("Town "), key.cast("string")).alias("title"), F.when(key % 3 == 0, F.concat(nation(F.floor(key / 25)), F.lit(" police"))).when(key % 3 == 1, "a painter").alias("short_desc"), intro.alias("intro_para"),
+        F.when(key % 7 == 0, "minister").when(key % 7 == 1, "settlement").alias("box_type"), F.map_from_entries(F.array_compact(F.array(*entries))).alias("infobox"), categories.alias("categories"),
+    )
+    roles = spark.createDataFrame([("police", "COP", ""), ("minister", "GOV", ""), ("army", "MIL", "")], "pattern string, code_1 string, code_2 string")
+    nations = [(r.n_name, f"N{r.n_nationkey}") for r in table(spark, sf_dir, "nation").orderBy(-F.length("n_name"), "n_nationkey").collect()]  # a dimension
+    dims = Dimensions(nations, table(spark, sf_dir, "nation"), roles, [(f"{word} {name}", code) for word in ("of", "in") for name, code in nations])
+    return article_roles(articles.select("title", F.lit("1995-01-01").alias("date")), articles, dims).select("title", "pos", "code_1", "country", "source")
