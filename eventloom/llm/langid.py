@@ -186,8 +186,9 @@ def predict(docs: DataFrame, net: ByteNet | None) -> DataFrame:
     The whole text is cut into windows of equal length; the mean of their log probabilities, normalised, is the
     document's distribution, its maximum the prediction and score. A null text, or one without any letter, is
     undetermined with score 0, as is every text if nothing could be learned; null doc_ids and repeated rows stay, and an
-    empty table gives an empty result.
+    empty table gives an empty result. Columns that are called lang_pred or score already are replaced.
     """
+    docs = docs.drop("lang_pred", "score")
     classify, at = Classifier(net), docs.columns.index("text")
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -144,3 +144,13 @@ def test_similarity_decides(spark):
     pairs = spark.createDataFrame([(2, 1)], "a long, b long")
     assert simhash.similar_pairs(pairs, docs, 5, 0.8).count() == 0
     assert simhash.similar_pairs(pairs, docs, 5, 0.2).count() == 1
+
+
+def test_predictions_replace_columns_of_their_names(spark):
+    """score and lang_pred of the input don't stand beside those of the prediction."""
+    from eventloom.llm import langid
+
+    docs = spark.createDataFrame([("x", 1, "some text", 2)], "score string, lang_pred int, text string, other int")
+    found = langid.predict(docs, None)
+    assert found.columns == ["text", "other", "lang_pred", "score"]
+    assert found.select("lang_pred", "score").first() == ("und", 0.0)
