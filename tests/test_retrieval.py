@@ -93,3 +93,26 @@ def test_items_in_texts(spark):
     items = [(k, texts[rng.randrange(60)][1][rng.randint(0, 9) :][: rng.randint(0, 30)]) for k in range(60)] + [(98, None)]
     found = pairs.containing(spark.createDataFrame(items, "query_id long, item string"), spark.createDataFrame(texts, "doc_id long, text string"))
     assert sorted(map(tuple, found.collect())) == sorted((k, i) for k, item in items for i, t in texts if item is not None and t is not None and item in t)
+
+
+def test_articles_are_scored_where_they_are(spark, corpus, monkeypatch):
+    """Blocks of a few articles, with a required term and a bonus, give what all products added up give; one query's products aren't shuffled."""
+    articles, queries = corpus
+    index = written(spark, articles)
+    bonus = articles.select("article_id", (F.col("article_id") % 5 * 3 - 1).cast("double").alias("bonus")).where("article_id % 3 > 0")
+    required = queries.select("query_id", F.lit("w1 the").alias("term"))
+    for rows, products in ((1, 1), (50, 400), (100_000, 2_000_000)):
+        monkeypatch.setattr(retrieval, "ROWS", rows)
+        monkeypatch.setattr(retrieval, "PRODUCTS", products)
+        for most in ({}, {"importance": bonus}, {"required": required, "required_fields": FIELDS}):
+            plain = retrieval.search(queries, index, FIELDS, 5, **most)
+            there = retrieval.search(queries, index, FIELDS, 5, keep=keep, **most)
+            assert hits(there) == hits(plain)
+            plan = there._jdf.queryExecution().executedPlan().toString()
+            assert "MapInArrow" in plan and "HashAggregate" not in plan
+
+
+def test_words_are_counted_where_their_article_is(spark, corpus):
+    """Articles' texts are shuffled for the index, not their words."""
+    index = retrieval.build_index(corpus[0], FIELDS)
+    assert "hashpartitioning(field" not in index.postings._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
