@@ -76,7 +76,7 @@ def r1_bounded_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def r2_search_required(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = _queries(spark, sf_dir)
     required = queries.select("query_id", F.lit("lang=en").alias("term"))
-    hits = retrieval.search(queries, _index(spark, sf_dir), retrieval.DEFAULT_FIELDS, k=5, required=required)
+    hits = retrieval.search(queries, _index(spark, sf_dir), retrieval.DEFAULT_FIELDS, k=5, required=required, keep=_keep(spark))
     return hits.select("query_id", "article_id", F.round("score", 4).alias("score"))
 
 
@@ -101,7 +101,7 @@ select setting, k, avg((gold.article_id is null or coalesce(rank <= k, false))::
 def m5_boost_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recall of each setting of the boosts at each k, over one written index."""
     index, queries = _index(spark, sf_dir), _queries(spark, sf_dir)
-    gold = _gold(spark, sf_dir)
+    gold = _keep(spark)(_gold(spark, sf_dir))
     found = None
     for name, title, intro in _BOOSTS:
         hits = retrieval.search(queries, index, [Field("title", title), Field("intro_para", intro)], k=50, keep=_keep(spark))
