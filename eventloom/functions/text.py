@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,11 +52,36 @@ def fold_accents(text: Column) -> Column:
     Characters that become one are translated in one pass; those that become several are replaced one by one, in texts
     that hold any.
     """
-    plain = F.regexp_replace(F.translate(text, "".join(_ONE), "".join(_ONE.values())), r"\p{Mn}+", "")
+    plain = unmarked(F.translate(text, "".join(_ONE), "".join(_ONE.values())))
     written = plain
     for c, to in _MANY.items():
         written = F.replace(written, F.lit(c), F.lit(to))
-    return F.when(plain.rlike(f"[{''.join(_MANY)}]"), written).otherwise(plain)
+    other = F.when(plain.rlike(f"[{''.join(_MANY)}]"), written).otherwise(plain)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), other).otherwise(text)
+
+
+_OTHER = re.compile("[^\x00-\x7f]+")
+_FOLDED = {ord(c): to for c, to in _TABLE.items()}
+
+
+def unmarked(text: Column) -> Column:
+    """Text without combining marks."""
+    return F.regexp_replace(text, r"\p{Mn}+", "")
+
+
+def folded(text: str | None) -> str | None:
+    """fold_accents of one text that is unmarked() before, for kernels: only runs of other characters than ASCII are looked at."""
+    return text if text is None or text.isascii() else _OTHER.sub(lambda run: run[0].translate(_FOLDED), text)
+
+
+def fold_texts(text: Column) -> Column:
+    """fold_accents for long texts of many scripts, by an Arrow kernel; it can't stand in a lambda."""
+
+    @F.arrow_udf("string")
+    def fold(column: pa.Array) -> pa.Array:
+        return pa.array([folded(t) for t in column.to_pylist()], pa.string())
+
+    return fold(unmarked(text))
 
 
 def _each(text: Column, *rules: tuple[str, str]) -> Column:

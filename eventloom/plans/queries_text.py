@@ -49,7 +49,7 @@ _LETTERS_SQL = ", ".join(f"(chr({ord(c)}), '{to.replace(chr(39), chr(39) * 2)}')
 with letters(c, plain) as (values {_LETTERS_SQL}), m as (select map(list(c), list(plain)) as plain from letters)
 select doc_id, regexp_replace(array_to_string(list_transform(string_split(text, ''), lambda c: coalesce(plain[c], c)), ''), '\p{{Mn}}+', '', 'g') as plain from documents, m""")
 def t3_fold_accents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.fold_accents(F.col("text")).alias("plain"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.fold_texts(F.col("text")).alias("plain"))
 
 
 @query(r"""
