@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.dates import in_force
-from eventloom.functions.phrases import chosen_phrase
-from eventloom.functions.text import clean_query, fold_accents, title_case
+from eventloom.functions.phrases import chosen_phrase, compiled
+from eventloom.functions.text import clean_query, fold_accents, folded, title_case, unmarked
 from eventloom.operators import vector_index
 
 #: Fixed domain values: the priority of each role code.
@@ -80,10 +80,11 @@ def find_country(texts: DataFrame, patterns: list[tuple[str, str]], method: str
 
     @F.arrow_udf("struct<country: string, rest: string>")
     def scan(text: pa.Array) -> pa.Array:
-        found = [chosen_phrase(t, listed, method) for t in text.to_pylist()]
-        return pa.StructArray.from_arrays([pa.array([f[i] for f in found], pa.string()) for i in (0, 1)], ["country", "rest"])
+        different, phrases = text.dictionary_encode(), compiled(listed)  # each different text of a batch is read once
+        found = [chosen_phrase(folded(t), phrases, method) for t in different.dictionary.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([f[i] for f in found], pa.string()) for i in (0, 1)], ["country", "rest"]).take(different.indices)
 
-    return texts.withColumn("_best", scan(fold_accents(F.col("text")))).withColumns({"country": F.col("_best.country"), "rest": F.col("_best.rest")}).drop("_best")
+    return texts.withColumn("_best", scan(unmarked(F.col("text")))).withColumns({"country": F.col("_best.country"), "rest": F.col("_best.rest")}).drop("_best")
 
 
 def parse_agents(lines: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import time
 import unicodedata
 from functools import lru_cache
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,3 +108,22 @@ def test_pattern_in_other_letters(spark):
     rows = spark.createDataFrame([(1, "the People’s Republic of China’s navy"), (2, "Côte d’Ivoire"), (3, None)], "id int, text string")
     found = {r.id: (r.country, r.rest) for r in actors.find_country(rows, [("People's Republic of China", "CHN"), ("Cote d'Ivoire", "CIV")]).collect()}
     assert found == {1: ("CHN", "the 's navy"), 2: ("CIV", ""), 3: (None, None)}
+
+
+def test_each_text_of_a_batch_is_read_once(monkeypatch, spark):
+    """One batch of 1,000 rows with three texts makes three lookups; the kernel folds as the column expression does."""
+    seen = []
+    monkeypatch.setattr(F, "arrow_udf", lambda _: lambda kernel: seen.append(kernel) or (lambda _: F.struct(F.lit("a").alias("country"), F.lit("b").alias("rest"))))
+    actors.find_country(spark.createDataFrame([("x",)], "text string"), [("Ghana", "GHA")])
+    calls = []
+    monkeypatch.setattr(actors, "chosen_phrase", lambda t, patterns, method: calls.append(t) or (None, t))
+    out = seen[0](pa.array(["Accra, Ghana", "é", None, "x"] * 250)).to_pylist()
+    assert sorted(calls, key=str) == ["Accra, Ghana", "e", "x"]
+    assert [(r or {}).get("rest") for r in out[:4]] == ["Accra, Ghana", "e", None, "x"]
+
+
+def test_kernel_folds_as_the_expression(spark):
+    texts = ["plain", "Łódź é 漢字 Чайковский – x…", "".join(chr(c) for c in [*range(32, 0x2100), *range(0xFE20, 0xFE30)] if unicodedata.category(chr(c)) != "Cn"), "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "x string")
+    for r in rows.select("x", text.fold_accents(F.col("x")).alias("a"), text.fold_texts(F.col("x")).alias("b")).collect():
+        assert r.a == r.b
