@@ -163,8 +163,12 @@ def parse_markup(pages: DataFrame) -> DataFrame:
 
 
 def build_knowledge_base(pages: DataFrame) -> DataFrame:
-    """Articles from dump pages(title, text): parsed, filtered, with redirects by title."""
+    """Articles from dump pages(title, text): parsed, filtered, with redirects by title.
+
+    Pages to parse are dealt to all tasks first: a small file of many pages is read by a few.
+    """
     own = pages.where(admissible_title(F.col("title")) & redirect_target(F.col("text")).isNull())
+    own = own.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "title")
     parsed = parse_markup(own).where(admissible_intro(F.col("intro_para")))
     named = parsed.select("title", "short_desc", "intro_para", alternative_names(F.col("bold"), F.col("infobox")).alias("alternative_names"), affiliated_people(F.col("infobox")).alias("affiliated_people"), "box_type", "infobox", "categories")
     return attach_redirects(named, merge_cases(invert_redirects(pages)))

@@ -76,3 +76,11 @@ def test_a_very_long_page_takes_under_a_second():
     kinds, _, _ = read_pages(pa.array([page]))
     assert time.time() - began < 1
     assert kinds == ["x"]
+
+
+def test_pages_of_a_small_file_are_dealt_to_all_tasks(spark):
+    from eventloom.operators.knowledge import build_knowledge_base
+
+    pages = spark.createDataFrame([(f"t{i}", "text") for i in range(20)], "title string, text string").coalesce(1)
+    plan = build_knowledge_base(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [title" in plan.split("MapInArrow")[1]
