@@ -105,7 +105,8 @@ def article_evidence(articles: DataFrame, dims: Dimensions) -> DataFrame:
     categories = F.transform("categories", lambda c, i: part(CATEGORY, c, i))
     empty = F.array_except(single, single)
     places = F.filter(F.concat(single, F.coalesce(offices, empty), F.coalesce(categories, empty)), lambda p: F.coalesce(p["text"], F.lit("")) != "")
-    found = articles.select("title", F.explode(places).alias("p")).select("title", "p.*")
+    dealt = articles.repartition(int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions")), "title")  # a small file of many articles is read by a few tasks
+    found = dealt.select("title", F.explode(places).alias("p")).select("title", "p.*")
     ways = [(~F.col("source").isin(FIRST_SENTENCE, CATEGORY), dims.patterns, "longest"), (F.col("source") == FIRST_SENTENCE, dims.patterns, "first"), (F.col("source") == CATEGORY, dims.category_patterns, "longest")]
     for k, (mine, patterns, method) in enumerate(ways):  # one plan without branches: each way sees the texts of its sources, and null for others
         read = actors.find_country(found.withColumns({"whole": F.col("text"), "text": F.when(mine, F.col("text"))}), list(patterns), method)

@@ -56,3 +56,11 @@ def test_evidence_reaches_the_chain(spark):
     rows = [("Ulm", None, "Ulm is a town." + FILLER, [], [], [], "settlement", {"country": "Spain", "type": "army"}, []), ("Ann", None, "Ann is a person." + FILLER, [], [], [], None, {}, ["People of France"])]
     coded = agent_to_code(spark.createDataFrame([("Ulm", "2000-01-01"), ("Ann", None)], "text string, date string"), _dims(spark), spark.createDataFrame(rows, SCHEMA))
     assert {r.text: (r.country, r.code_1) for r in coded.collect()} == {"Ulm": ("ESP", "MIL"), "Ann": ("FRA", "")}
+
+
+def test_articles_of_a_small_file_are_dealt_to_all_tasks(spark):
+    from eventloom.plans import catalog
+    from tests.compare import SF
+
+    plan = catalog.QUERIES["t20_article_evidence"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [title" in plan
