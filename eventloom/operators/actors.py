@@ -14,6 +14,7 @@ from eventloom.functions.dates import in_force
 from eventloom.functions.phrases import chosen_phrase, compiled
 from eventloom.functions.text import clean_query, fold_accents, folded, title_case, unmarked
 from eventloom.operators import vector_index
+from eventloom.operators.spread import dealt
 
 #: Fixed domain values: the priority of each role code.
 ROLE_PRIORITIES = {
@@ -222,7 +223,7 @@ def article_codes(codes: DataFrame, countries: DataFrame) -> DataFrame:
     return named.unionByName(bare.select("article", F.lit(0).cast(codes.schema["pos"].dataType).alias("pos"), F.lit("").alias("code_1"), F.col("top").alias("country"), F.lit("Wiki").alias("source")))
 
 
-def pick_best_code(codes: DataFrame, known: DataFrame) -> DataFrame:
+def pick_best_code(codes: DataFrame, known: DataFrame, n: int | None = None) -> DataFrame:
     """(actor, code_1, code_2, country, source, wiki, best_reason): one code for each actor.
 
     codes(actor, pos, code_1, code_2, country, source, query, conf, office_num, wiki) are the candidates in order;
@@ -230,13 +231,18 @@ def pick_best_code(codes: DataFrame, known: DataFrame) -> DataFrame:
     accepts; an actor's code is the candidate of the first rule that accepts one: settlement, infobox office by number,
     one role only (from an article, else by confidence), short description, lookup before the article, role priority
     (from an article first). An actor with a country but no candidate gets that alone. Countries: unanimous, else known,
-    else by majority. One aggregation by actor; a candidate list is short.
+    else by majority. One aggregation by actor; a candidate list is short. With n, actors are dealt to so many tasks.
     """
-    votes = codes.select("actor", "pos", "country").unionByName(known.select("actor", F.lit(1 << 30).cast(codes.schema["pos"].dataType).alias("pos"), "country"))
-    top = majority(votes, ["actor"], "country", "pos").select("actor", F.col("country").alias("top"))
+    codes, known = dealt(codes, n, "actor"), dealt(known, n, "actor")
     row = F.struct("pos", "code_1", "code_2", "country", "source", "query", "conf", "office_num", "wiki")
     grouped = codes.groupBy("actor").agg(F.array_sort(F.collect_list(row)).alias("all"), F.max(F.when(F.col("wiki") != "", F.struct((-F.col("pos")).alias("p"), "wiki"))).alias("w"))
-    actors = known.select("actor", F.col("country").alias("known")).join(grouped, "actor", "full_outer").join(top, "actor", "left").join(votes.where("country <> ''").groupBy("actor").agg(F.count_distinct("country").alias("different")), "actor", "left")
+    actors = known.select("actor", F.col("country").alias("known")).join(grouped, "actor", "full_outer")
+    vote = lambda country, pos: F.struct(country.alias("country"), pos.cast("long").alias("pos"))
+    given = F.coalesce(F.transform("all", lambda c: vote(c["country"], c["pos"])), F.expr("cast(array() as array<struct<country:string,pos:bigint>>)"))
+    actors = actors.withColumn("votes", F.filter(F.concat(given, F.array(vote(F.col("known"), F.lit(1 << 30)))), lambda v: F.coalesce(v["country"], F.lit("")) != ""))
+    of = lambda country: F.filter("votes", lambda v: v["country"] == country)
+    counted = F.transform(F.array_distinct(F.transform("votes", lambda v: v["country"])), lambda x: F.struct(F.size(of(x)).alias("n"), (-F.array_min(F.transform(of(x), lambda v: v["pos"]))).alias("early"), x.alias("country")))
+    actors = actors.withColumn("counted", counted).withColumns({"top": F.array_max("counted")["country"], "different": F.size("counted")})
     filled = lambda c: F.coalesce(c, F.lit("")) != ""
     rows = F.col("all")
     roles = F.array_distinct(F.filter(F.transform(rows, lambda c: c["code_1"]), filled))

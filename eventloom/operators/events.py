@@ -104,6 +104,11 @@ def match_location(events: DataFrame, min_overlap: float = 0.5, min_score: float
     largest intersection over union counts, the first of equal ones; it must reach min_overlap, and its score must be
     over min_score; without a score it is taken.
     """
+    return with_location(events, min_overlap, min_score).select("event_id", "overlap", "reason", "geo")
+
+
+def with_location(events: DataFrame, min_overlap: float = 0.5, min_score: float = 0.85) -> DataFrame:
+    """events(loc, geo_ents, ...) with overlap, reason and geo, as in match_location."""
     from eventloom.functions.spans import overlap
 
     scored = F.transform("geo_ents", lambda g, i: F.struct(overlap(F.col("loc.start_char"), F.col("loc.end_char"), g["start_char"], g["end_char"]).alias("overlap"), (-i).alias("order"), g.alias("geo")))
@@ -119,7 +124,7 @@ def match_location(events: DataFrame, min_overlap: float = 0.5, min_score: float
         .otherwise("A place overlaps but its score is too low")
     )
     accepted = reason.isin("A place overlaps", "A place overlaps but has no score")
-    return found.select("event_id", F.col("_best.overlap").alias("overlap"), reason.alias("reason"), F.when(accepted, F.col("_geo")).alias("geo"))
+    return found.withColumns({"overlap": F.col("_best.overlap"), "reason": reason, "geo": F.when(accepted, F.col("_geo"))}).drop("_best", "_geo")
 
 
 def name_places(entities: Column, names: Column) -> Column:

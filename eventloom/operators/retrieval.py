@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventloom.operators.knowledge import holds_any
+from eventloom.operators.spread import spread_join, tasks
 
 
 @dataclass(frozen=True)
@@ -70,6 +71,8 @@ SEEDS, PART, MOST_SEEDS, MOST_TERMS = 3, 128, 1_000_000, 1_000_000
 ROUNDING = 1e-9
 #: A task scores articles in blocks of about so many postings, and of about so many products of a query's weight and a posting's impact.
 ROWS, PRODUCTS = 100_000, 2_000_000
+#: A task counts about so many words of articles when an index is built.
+WORDS = 300_000
 #: Ranks go by scores rounded to nine places, so what is this much below a k-th best score can't be among the k best.
 MARGIN = 1e-8
 
@@ -105,11 +108,12 @@ def build_index(articles: DataFrame, fields: list[Field]) -> Index:
     flat = lambda which: F.col("field").isin(*[f.name for f in unique if which(f)] or [""])
     per_field = F.array(*[F.struct(F.lit(f.name).alias("field"), words(f).alias("tokens")) for f in unique])
     split = lambda rows: rows.select("article_id", F.explode(per_field).alias("f")).select("article_id", "f.field", "f.tokens").where(F.size("tokens") > 0)
-    # Texts are shuffled, and not their words: all words of an article are counted where it is.
-    dealt = split(articles.repartition(int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions")), "article_id"))
-    counted = dealt.select("article_id", "field", F.size("tokens").alias("len"), F.explode("tokens").alias("token")).groupBy("field", "token", "article_id").agg(F.count("*").alias("tf"), F.first("len").alias("len"))
     totals = split(articles).groupBy("field").agg(F.count("*").alias("n"), F.avg(F.size("tokens")).alias("mean_len"))
-    totals = articles.sparkSession.createDataFrame(totals.collect(), totals.schema)  # a row per field, for postings and for frequencies
+    known = totals.collect()  # a row per field, for postings and for frequencies
+    totals = articles.sparkSession.createDataFrame(known, totals.schema)
+    # Texts are shuffled, and not their words: all words of an article are counted where it is, in tasks of about WORDS words.
+    dealt = split(articles.repartition(tasks(articles.sparkSession, sum(r.n * r.mean_len for r in known), WORDS), "article_id"))
+    counted = dealt.select("article_id", "field", F.size("tokens").alias("len"), F.explode("tokens").alias("token")).groupBy("field", "token", "article_id").agg(F.count("*").alias("tf"), F.first("len").alias("len"))
     boolean, whole = flat(lambda f: f.boolean), flat(lambda f: f.whole)
     norm = F.when(whole, 1.0).otherwise(1 - B + B * F.col("len") / F.col("mean_len"))
     impact = F.when(boolean, 1.0).otherwise(F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * norm))
@@ -165,8 +169,8 @@ def search(queries: DataFrame, index: Index, fields: list[Field], k: int = 200,
     The score is the sum, over fields and the query's words, of boost times BM25, or of the boost alone in boolean fields,
     and of the exact boost where the query itself is a word of the field. With required(query_id, term) an article must
     match the term too, in required_fields, and its score there is added. importance(article_id, bonus) adds a bonus to
-    articles that match. Clauses are few, so Spark broadcasts them if they are small enough, and postings meet them in
-    one pass; products are summed per partition before they shuffle by query and article, and the rank filter is pushed
+    articles that match. Postings meet clauses by word; a word in very many articles is dealt to several tasks, and isn't
+    shuffled where no query holds it (spread_join). Products are summed per partition before they shuffle by query and article, and the rank filter is pushed
     into the window, so each partition sorts k rows a query. Scores that are equal to nine places rank by article_id.
 
     With keep, a function that writes a small table and reads it back, and up to MOST_TERMS words of queries, postings of
@@ -188,7 +192,8 @@ def search(queries: DataFrame, index: Index, fields: list[Field], k: int = 200,
             scored = _by_article(terms, index.postings, ["field", "token"], keep, k, importance, required is not None)
             importance = None
     if scored is None:
-        hits = terms.join(index.postings, ["field", "token"])
+        word = ["field", "token"]
+        hits = spread_join(index.postings, terms, word, F.col("article_id"), index.levels.groupBy(*word).agg(F.sum("n").alias("n")))
         scored = hits.groupBy("query_id", "article_id").agg(F.sum(F.col("weight") * F.col("impact")).alias("score"), F.max("required").alias("held"), F.min("required").alias("only"))
         scored = scored.where("not only" if required is None else "held and not only").select("query_id", "article_id", "score")
     if importance is not None:

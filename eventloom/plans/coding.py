@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 from eventloom.functions.dates import in_force, resolve_dates
 from eventloom.functions.text import clean_query
 from eventloom.operators import actors, events, ranking, retrieval
+from eventloom.operators.spread import dealt, spread_join, tasks
 from eventloom.sources.sinks import checkpointed
 
+#: A task of the chain joins and groups the rows of about so many mentions or events.
+ROWS = 100_000
+
 
 @dataclass(frozen=True)
 class Dimensions:
@@ -37,17 +41,18 @@ def agent_to_code(mentions: DataFrame, dims: Dimensions, articles: DataFrame | N
     distinct = mentions.select("text", "date").distinct()
     found = actors.find_country(distinct, dims.patterns).withColumn("query", F.lower(_cleaned("rest"))).withColumn("actor", F.concat_ws("|", "text", "date"))
     found = kept(found)
+    n = _tasks(found, folder)
     direct = found.join(dims.roles.select(F.col("pattern").alias("query"), "code_1", "code_2"), "query")
     candidate = lambda df, source, wiki, conf: df.select("actor", F.lit(0).alias("pos"), "code_1", "code_2", "country", F.lit(source).alias("source"), "query", F.lit(conf).alias("conf"), F.lit(None).cast("int").alias("office_num"), wiki.alias("wiki"))
     codes = candidate(direct, "Direct match", F.lit(""), 1.0)
     if articles is not None:
-        open_ = found.join(direct.select("actor"), "actor", "left_anti").where("query <> ''")
-        linked = kept(query_wiki(open_.select(F.col("actor").alias("query_id"), F.col("rest").alias("query"), "date"), articles, folder=folder))
+        open_ = found.join(dims.roles.select(F.col("pattern").alias("query")), "query", "left_anti").where("query <> ''")
+        linked = kept(query_wiki(open_.select(F.col("actor").alias("query_id"), F.col("rest").alias("query"), "date"), articles, folder=folder, n=n))
         roles = article_roles(linked.select("title", "date"), articles, dims).withColumn("date", F.coalesce("date", F.lit(""))).withColumnRenamed("query", "roles_query")
-        coded = linked.withColumn("date", F.coalesce("date", F.lit(""))).join(roles, ["title", "date"])
+        coded = dealt(linked.withColumn("date", F.coalesce("date", F.lit(""))), n, "title", "date").join(dealt(roles, n, "title", "date"), ["title", "date"])
         codes = codes.unionByName(coded.select(F.col("query_id").alias("actor"), "pos", "code_1", F.lit("").alias("code_2"), "country", "source", F.col("roles_query").alias("query"), F.lit(None).cast("double").alias("conf"), "office_num", F.col("title").alias("wiki")))
-    best = actors.clean_best(actors.pick_best_code(kept(codes), found.select("actor", "country")))
-    return found.select("actor", "text", "date").join(best, "actor").drop("actor")
+    best = actors.clean_best(actors.pick_best_code(kept(codes), found.select("actor", "country"), n))
+    return dealt(found.select("actor", "text", "date"), n, "actor").join(best, "actor").drop("actor")
 
 
 def _cleaned(column: str) -> Column:
@@ -58,16 +63,21 @@ def _keeper(folder: str | None) -> Callable[[DataFrame], DataFrame]:
     return (lambda df: checkpointed(df, folder)) if folder else (lambda df: df)
 
 
-def query_wiki(queries: DataFrame, articles: DataFrame, k: int = 50, folder: str | None = None) -> DataFrame:
+def _tasks(df: DataFrame, folder: str | None) -> int | None:
+    """Tasks for the rows of a table that is written in folder, which are quickly counted; else None, and Spark chooses."""
+    return tasks(df.sparkSession, df.count(), ROWS) if folder else None
+
+
+def query_wiki(queries: DataFrame, articles: DataFrame, k: int = 50, folder: str | None = None, n: int | None = None) -> DataFrame:
     """(query_id, title, date): the article that each of queries(query_id, query, date) names, if one does.
 
     Each different text is searched once. Of its k best hits that can be actors, the rules of precedence choose
     (ranking.choose_by_rules), over flags and name similarities; similarities that encoders would give count 0 unless
-    articles bring them.
+    articles bring them. With n, queries are dealt to so many tasks.
     """
     numbered = articles.where(retrieval.good_article(F.col("title"), F.col("intro_para"))).withColumn("article_id", F.col("title"))
     fields = retrieval.DEFAULT_FIELDS
-    texts = queries.select(F.col("query").alias("query_id"), "query").distinct()
+    texts = _keeper(folder)(queries.select(F.col("query").alias("query_id"), "query").distinct())
     index = retrieval.build_index(numbered, fields)
     if folder:
         path = f"{folder}/index-{uuid.uuid4().hex}"
@@ -78,7 +88,7 @@ def query_wiki(queries: DataFrame, articles: DataFrame, k: int = 50, folder: str
     frame = ranking.score_candidates(named.withColumns({"query": F.col("task"), "country": F.lit(None).cast("string"), "infobox_name": F.try_element_at("infobox", F.lit("name"))}))
     outside = {c: F.lit(0.0) for c in ("title_sim", "context_sim_intro", "context_sim_short", "actor_desc_sim_intro", "actor_desc_sim_short")}
     chosen = ranking.choose_by_rules(frame.withColumns(outside).withColumn("has_context", F.lit(False)))
-    return queries.join(chosen.select(F.col("task").alias("query"), F.col("article_id").alias("title")), "query").select("query_id", "title", "date")
+    return dealt(queries, n, "query").join(chosen.select(F.col("task").alias("query"), F.col("article_id").alias("title")), "query").select("query_id", "title", "date")
 
 
 #: Fixed domain values: what a code of an article comes from, as the rules of precedence name it.
@@ -164,20 +174,24 @@ def code_events(stories: DataFrame, answers: DataFrame, places: DataFrame, dims:
     """
     kept = _keeper(folder)
     lengthened = kept(events.lengthen_stories(stories))
-    parsed = events.parse_answers(answers)
-    long = kept(events.attribute_rows(parsed).join(lengthened.select(F.col("id").alias("event_id"), "pub_date", "event_text"), "event_id"))
-    people = long.where(F.col("attr_type").isin("ACTOR", "RECIP")).withColumn("date", F.col("pub_date"))
-    coded = people.join(kept(agent_to_code(people, dims, articles, folder)), ["text", "date"], "left").select("event_id", "attr_type", "pos", "text", F.coalesce("country", F.lit("")).alias("country"), F.coalesce("code_1", F.lit("")).alias("code_1"), F.coalesce("wiki", F.lit("")).alias("wiki"))
+    n = _tasks(lengthened, folder)
+    texts = lengthened.select(F.col("id").alias("event_id"), "pub_date", "event_text")
+    parsed = events.parse_answers(dealt(answers.select("event_id", "response"), n, "event_id"))
+    long = kept(events.attribute_rows(parsed).join(dealt(texts, n, "event_id"), "event_id"))
+    people = long.where(F.col("attr_type").isin("ACTOR", "RECIP")).withColumn("date", F.col("pub_date")).drop("pub_date", "event_text")
+    mentions = people.groupBy("text", "date").agg(F.count("*").alias("n"))
+    coded = spread_join(people, kept(agent_to_code(people, dims, articles, folder)), ["text", "date"], F.col("event_id"), mentions, "left", n).select("event_id", "attr_type", "pos", "text", F.coalesce("country", F.lit("")).alias("country"), F.coalesce("code_1", F.lit("")).alias("code_1"), F.coalesce("wiki", F.lit("")).alias("wiki"))
     named = events.country_names(coded, dims.countries)
     row = F.struct("pos", "text", "country", "code_1", "wiki", "country_name")
     of = lambda t, name: F.array_sort(F.collect_list(F.when(F.col("attr_type") == t, row))).alias(name)
-    grouped = named.groupBy("event_id").agg(of("ACTOR", "actors"), of("RECIP", "recipients"))
-    first = lambda t: actors.rank_first(long.where(F.col("attr_type") == t), ["event_id"], F.col("pos"), F.col("text"))
-    at = F.instr(F.col("event_text"), F.col("text")) - 1
-    locations = first("LOC").select("event_id", F.struct("text", at.alias("start_char"), (at + F.length("text")).alias("end_char")).alias("loc"))
-    spans = lengthened.select(F.col("id").alias("event_id"), "orig_id").join(places, "orig_id", "left").join(locations, "event_id", "left")
-    located = events.match_location(spans.select("event_id", "loc", "geo_ents")).select("event_id", F.col("reason").alias("place_reason"), "geo")
-    dated = lengthened.select(F.col("id").alias("event_id"), "pub_date").join(first("DATE").select("event_id", "text"), "event_id", "left")
-    dates = resolve_dates(dated, "text", "pub_date").select("event_id", "date_resolved", "date_raw")
-    base = lengthened.select(F.col("id").alias("event_id"), "orig_id", "event_type", "event_mode")
-    return base.join(grouped, "event_id", "left").join(located, "event_id", "left").join(dates, "event_id", "left")
+    grouped = dealt(named, n, "event_id").groupBy("event_id").agg(of("ACTOR", "actors"), of("RECIP", "recipients"))
+    first = lambda t: F.min(F.when(F.col("attr_type") == t, F.struct("pos", "text"))).getField("text").alias(t)
+    said = dealt(long.where(F.col("attr_type").isin("LOC", "DATE")).select("event_id", "attr_type", "pos", "text"), n, "event_id").groupBy("event_id").agg(first("LOC"), first("DATE"))
+    base = lengthened.select(F.col("id").alias("event_id"), "orig_id", "event_type", "event_mode", "pub_date", "event_text")
+    placed = dealt(base, n, "orig_id").join(dealt(places.select("orig_id", "geo_ents"), n, "orig_id"), "orig_id", "left")
+    whole = dealt(placed, n, "event_id").join(said, "event_id", "left").join(grouped, "event_id", "left")
+    at = F.instr(F.col("event_text"), F.col("LOC")) - 1
+    loc = F.when(F.col("LOC").isNotNull(), F.struct(F.col("LOC").alias("text"), at.alias("start_char"), (at + F.length("LOC")).alias("end_char")))
+    located = events.with_location(whole.withColumn("loc", loc))
+    dated = resolve_dates(located, "DATE", "pub_date")
+    return dated.select("event_id", "orig_id", "event_type", "event_mode", "actors", "recipients", F.col("reason").alias("place_reason"), "geo", "date_resolved", "date_raw")

@@ -13,12 +13,14 @@ from eventloom.sources import readers, sinks
 from eventloom.streaming.stories import event_stream, story_stream
 
 
-def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stories(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """A story for each order, with more columns of it."""
     none = F.lit(None).cast("string")
     key = F.col("o_orderkey").cast("string")
     return table(spark, sf_dir, "orders").select(
         key.alias("id"), none.alias("date"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("pub_date"), F.concat(F.lit("Ringish police met the anvil men in place"), key).alias("event_text"), none.alias("headline"), none.alias("publisher"), key.alias("story_id"), F.lit("1").alias("version"),
         F.array(F.col("o_orderstatus")).alias("event_type"), F.array(F.concat(F.col("o_orderstatus"), F.lit("-x"))).alias("event_mode"), F.array().cast("array<string>").alias("contexts"),
+        *more,
     )
 
 
@@ -117,7 +119,7 @@ def e1_code_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     One customer in four is named by a role alone; the others are articles, whose office is in force, or over, or who have
     only a short description.
     """
-    stories = _stories(spark, sf_dir).join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), "o_custkey"), "id")
+    stories = _stories(spark, sf_dir, "o_custkey")
     event_id = F.concat_ws("_", "id", F.col("event_type")[0], F.lit("x"))
     place, key = F.concat(F.lit("place"), "id"), F.col("o_custkey")
     lord = F.concat(F.lit("Lord"), key.cast("string"))
