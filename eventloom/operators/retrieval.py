@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventloom.operators.knowledge import holds_any
-from eventloom.operators.spread import spread_join, tasks
+from eventloom.operators.spread import shuffled, spread_join, tasks
 
 
 @dataclass(frozen=True)
@@ -181,7 +181,8 @@ def search(queries: DataFrame, index: Index, fields: list[Field], k: int = 200,
     clauses = _clauses(queries, "query", fields, False)
     if required is not None:
         clauses = clauses.unionByName(_clauses(required, "term", required_fields, True))
-    terms = clauses.join(index.frequencies, ["field", "token"]).select("query_id", "required", "field", "token", (F.col("boost") * F.col("idf")).alias("weight"))
+    frequencies = shuffled(index.frequencies) if keep is None else index.frequencies  # without keep, queries may be as many as articles
+    terms = clauses.join(frequencies, ["field", "token"]).select("query_id", "required", "field", "token", (F.col("boost") * F.col("idf")).alias("weight"))
     scored = None
     if required is None and keep is not None and few is not None:
         ends = importance.agg(F.least(F.min("bonus"), F.lit(0.0)), F.greatest(F.max("bonus"), F.lit(0.0))).first() if importance is not None else (0.0, 0.0)

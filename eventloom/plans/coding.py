@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from eventloom.functions.dates import in_force, resolve_dates
 from eventloom.functions.text import clean_query
 from eventloom.operators import actors, events, ranking, retrieval
-from eventloom.operators.spread import dealt, spread_join, tasks
+from eventloom.operators.spread import dealt, shuffled, spread_join, tasks
 from eventloom.sources.sinks import checkpointed
 
 #: A task of the chain joins and groups the rows of about so many mentions or events.
@@ -49,10 +49,10 @@ def agent_to_code(mentions: DataFrame, dims: Dimensions, articles: DataFrame | N
         open_ = found.join(dims.roles.select(F.col("pattern").alias("query")), "query", "left_anti").where("query <> ''")
         linked = kept(query_wiki(open_.select(F.col("actor").alias("query_id"), F.col("rest").alias("query"), "date"), articles, folder=folder, n=n))
         roles = article_roles(linked.select("title", "date"), articles, dims).withColumn("date", F.coalesce("date", F.lit(""))).withColumnRenamed("query", "roles_query")
-        coded = dealt(linked.withColumn("date", F.coalesce("date", F.lit(""))), n, "title", "date").join(dealt(roles, n, "title", "date"), ["title", "date"])
+        coded = dealt(linked.withColumn("date", F.coalesce("date", F.lit(""))), n, "title", "date").join(shuffled(dealt(roles, n, "title", "date")), ["title", "date"])
         codes = codes.unionByName(coded.select(F.col("query_id").alias("actor"), "pos", "code_1", F.lit("").alias("code_2"), "country", "source", F.col("roles_query").alias("query"), F.lit(None).cast("double").alias("conf"), "office_num", F.col("title").alias("wiki")))
     best = actors.clean_best(actors.pick_best_code(kept(codes), found.select("actor", "country"), n))
-    return dealt(found.select("actor", "text", "date"), n, "actor").join(best, "actor").drop("actor")
+    return dealt(found.select("actor", "text", "date"), n, "actor").join(shuffled(best), "actor").drop("actor")
 
 
 def _cleaned(column: str) -> Column:
@@ -84,11 +84,11 @@ def query_wiki(queries: DataFrame, articles: DataFrame, k: int = 50, folder: str
         retrieval.write_index(index, path)
         index = retrieval.read_index(queries.sparkSession, path)
     hits = retrieval.search(texts, index, fields, k)
-    named = hits.withColumnRenamed("query_id", "task").join(numbered.select("article_id", "title", "redirects", "alternative_names", "infobox", "intro_para", "short_desc"), "article_id")
+    named = hits.withColumnRenamed("query_id", "task").join(shuffled(numbered.select("article_id", "title", "redirects", "alternative_names", "infobox", "intro_para", "short_desc")), "article_id")
     frame = ranking.score_candidates(named.withColumns({"query": F.col("task"), "country": F.lit(None).cast("string"), "infobox_name": F.try_element_at("infobox", F.lit("name"))}))
     outside = {c: F.lit(0.0) for c in ("title_sim", "context_sim_intro", "context_sim_short", "actor_desc_sim_intro", "actor_desc_sim_short")}
     chosen = ranking.choose_by_rules(frame.withColumns(outside).withColumn("has_context", F.lit(False)))
-    return dealt(queries, n, "query").join(chosen.select(F.col("task").alias("query"), F.col("article_id").alias("title")), "query").select("query_id", "title", "date")
+    return dealt(queries, n, "query").join(shuffled(chosen.select(F.col("task").alias("query"), F.col("article_id").alias("title"))), "query").select("query_id", "title", "date")
 
 
 #: Fixed domain values: what a code of an article comes from, as the rules of precedence name it.
@@ -136,10 +136,10 @@ def article_roles(linked: DataFrame, articles: DataFrame, dims: Dimensions) -> D
     of all its evidence (of equal countries the one named first); an article whose evidence names countries but no role has one empty code.
     query is the phrase that gave the code.
     """
-    of_title = article_evidence(articles.join(linked.select("title"), "title", "left_semi"), dims)
+    of_title = article_evidence(articles.join(shuffled(linked.select("title")), "title", "left_semi"), dims)
     row = F.struct("source", "n", "term_start", "term_end", "country", "phrase", "code_1")
     evidence = of_title.groupBy("title").agg(F.array_sort(F.collect_list(row)).alias("rows"))  # an article's own places, a short list
-    dated = linked.select("title", "date").distinct().join(evidence, "title").withColumn("when", F.try_to_date("date"))
+    dated = linked.select("title", "date").distinct().join(shuffled(evidence), "title").withColumn("when", F.try_to_date("date"))
     of = lambda *sources: F.filter("rows", lambda r: r["source"].isin(*sources))
     first = lambda items: F.get(items, F.lit(0))
     countries = lambda items: F.array_compact(F.transform(items, lambda r: r["country"]))
@@ -177,7 +177,7 @@ def code_events(stories: DataFrame, answers: DataFrame, places: DataFrame, dims:
     n = _tasks(lengthened, folder)
     texts = lengthened.select(F.col("id").alias("event_id"), "pub_date", "event_text")
     parsed = events.parse_answers(dealt(answers.select("event_id", "response"), n, "event_id"))
-    long = kept(events.attribute_rows(parsed).join(dealt(texts, n, "event_id"), "event_id"))
+    long = kept(events.attribute_rows(parsed).join(shuffled(dealt(texts, n, "event_id")), "event_id"))
     people = long.where(F.col("attr_type").isin("ACTOR", "RECIP")).withColumn("date", F.col("pub_date")).drop("pub_date", "event_text")
     mentions = people.groupBy("text", "date").agg(F.count("*").alias("n"))
     coded = spread_join(people, kept(agent_to_code(people, dims, articles, folder)), ["text", "date"], F.col("event_id"), mentions, "left", n).select("event_id", "attr_type", "pos", "text", F.coalesce("country", F.lit("")).alias("country"), F.coalesce("code_1", F.lit("")).alias("code_1"), F.coalesce("wiki", F.lit("")).alias("wiki"))
@@ -188,8 +188,8 @@ def code_events(stories: DataFrame, answers: DataFrame, places: DataFrame, dims:
     first = lambda t: F.min(F.when(F.col("attr_type") == t, F.struct("pos", "text"))).getField("text").alias(t)
     said = dealt(long.where(F.col("attr_type").isin("LOC", "DATE")).select("event_id", "attr_type", "pos", "text"), n, "event_id").groupBy("event_id").agg(first("LOC"), first("DATE"))
     base = lengthened.select(F.col("id").alias("event_id"), "orig_id", "event_type", "event_mode", "pub_date", "event_text")
-    placed = dealt(base, n, "orig_id").join(dealt(places.select("orig_id", "geo_ents"), n, "orig_id"), "orig_id", "left")
-    whole = dealt(placed, n, "event_id").join(said, "event_id", "left").join(grouped, "event_id", "left")
+    placed = dealt(base, n, "orig_id").join(shuffled(dealt(places.select("orig_id", "geo_ents"), n, "orig_id")), "orig_id", "left")
+    whole = dealt(placed, n, "event_id").join(shuffled(said), "event_id", "left").join(shuffled(grouped), "event_id", "left")
     at = F.instr(F.col("event_text"), F.col("LOC")) - 1
     loc = F.when(F.col("LOC").isNotNull(), F.struct(F.col("LOC").alias("text"), at.alias("start_char"), (at + F.length("LOC")).alias("end_char")))
     located = events.with_location(whole.withColumn("loc", loc))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from eventloom.operators import retrieval, spread
 from eventloom.plans import coding
 from eventloom.plans.queries_sources import e1_code_events
+from eventloom.sources import sinks
 from __spark_entry__ import SMOKE_DIR
 
 FIELDS = [retrieval.Field("title", 50, exact=250), retrieval.Field("intro_para", 5)]
@@ -55,3 +56,15 @@ def test_chain_tasks(spark, monkeypatch):
     small = e1_code_events(spark, SMOKE_DIR)
     assert max(_sizes(small)) < 150
     assert small.count() == plain.count() and small.exceptAll(plain).count() == 0
+
+
+def test_driver_sends_no_growing_table(spark, monkeypatch):
+    """Every join of the chain says how it is done, so that none is left to the size of files, except those with a list of roles or countries."""
+    plans = []
+    note = lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+    monkeypatch.setattr(coding, "checkpointed", lambda df, path: note(df) or sinks.checkpointed(df, path))
+    note(e1_code_events(spark, SMOKE_DIR))
+    joins = [line.strip(" :+-") for plan in plans for line in plan.splitlines() if line.strip(" :+-").startswith("Join ")]
+    grown = [j for j in joins if not any(f"({c}#" in j for c in ("query", "phrase", "country"))]  # keys of roles and countries
+    open_ = [j for j in grown if "Hint=(strategy=" not in j and not j.startswith("Join FullOuter")]  # a full outer join always shuffles
+    assert len(grown) > 10 and not open_
